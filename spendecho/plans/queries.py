@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import channel_of, content_hash, parse_date_any, parse_rating
 from ..operators import enrichment as enr
 from ..operators import history, incremental, quality, staging
-from ..schemas import AD_TABLES, LIST_COLUMNS, SNAPSHOT_CHECKS
-from ..session import scratch_path
+from ..schemas import AD_TABLES, CHANNELS, LIST_COLUMNS, SNAPSHOT_CHECKS
+from ..session import materialize, scratch_path
 from ..sources import cache as cache_files
 from ..sources import landing
 from ..sources import sample_tables as sample
@@ -61,6 +61,15 @@ def _facts(spark: SparkSession, sf: str) -> DataFrame:
     return marts.fct_feedback(_staged_enriched(spark, sf), _staged_feedback(spark, sf))
 
 
+def _enriched_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Written out: for queries that read it more than once."""
+    return materialize(_enriched(spark, sf), "feedback-enriched")
+
+
+def _catalog(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(staging.campaign_catalog(sample.ads(spark, sf)), "campaign-catalog")
+
+
 def _performance(spark: SparkSession, sf: str) -> DataFrame:
     return marts.fct_campaign_performance(
         marts.fct_campaign_summary(_ad_spend(spark, sf)), _facts(spark, sf)
@@ -209,7 +218,9 @@ def texts_to_enrich(spark, sf):
 @query
 def batch_payload(spark, sf):
     keys = sample.keys(spark, sf)
-    chosen = enr.texts_to_enrich(keys, sample.cache(spark, sf, keys), MODEL)
+    chosen = materialize(
+        enr.texts_to_enrich(keys, sample.cache(spark, sf, keys), MODEL), "texts-to-enrich"
+    )
     return enr.batch_payloads(sample.feedback(spark, sf), chosen, BATCH_SIZE, hex_digits=1)
 
 
@@ -226,15 +237,14 @@ def response_parse(spark, sf):
 
 @query
 def enrich_normalize(spark, sf):
-    catalog = staging.campaign_catalog(sample.ads(spark, sf))
-    return _json_lists(enr.normalize(sample.raw_answers(spark, sf), catalog))
+    return _json_lists(enr.normalize(sample.raw_answers(spark, sf), _catalog(spark, sf)))
 
 
 def _new_records(spark: SparkSession, sf: str, keys: DataFrame, cached: DataFrame) -> DataFrame:
-    chosen = enr.texts_to_enrich(keys, cached, MODEL)
+    chosen = materialize(enr.texts_to_enrich(keys, cached, MODEL), "texts-to-enrich")
     texts = enr.enricher_input(sample.feedback(spark, sf), chosen)
     answers = enr.run_enricher(texts, sample.rule_enricher(), BATCH_SIZE)
-    clean = enr.normalize(answers, staging.campaign_catalog(sample.ads(spark, sf)))
+    clean = enr.normalize(answers, _catalog(spark, sf))
     return enr.new_cache_records(clean, MODEL)
 
 
@@ -247,10 +257,12 @@ def enrich_new_texts(spark, sf):
 
 @query
 def enrich_live(spark, sf):
-    """Misses enriched, cache updated, every feedback row assembled."""
+    """Misses enriched, cache updated, every feedback row assembled. The new
+    records are written first: the enricher is called once per text."""
     keys = sample.keys(spark, sf)
     cached = sample.cache(spark, sf, keys)
-    updated = enr.upsert_cache(cached, _new_records(spark, sf, keys, cached))
+    new = materialize(_new_records(spark, sf, keys, cached), "new-records")
+    updated = enr.upsert_cache(cached, new)
     return enr.assemble(keys, updated, MODEL, ntz(ENRICHED_AT))
 
 
@@ -336,6 +348,7 @@ def _increment_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
     """First load: rows enriched before the 16th, Spanish ones arriving late.
     Second source: all rows, those of mixed sentiment enriched again."""
     rows = _facts(spark, sf).withColumn("_enriched_at", _enriched_day())
+    rows = materialize(rows, "feedback-facts")
     loaded = rows.filter((F.col("_enriched_at") < ntz(BATCH_DAY)) & (F.col("language") != "es"))
     again = F.col("sentiment") == "mixed"
     source = rows.withColumns({
@@ -388,7 +401,9 @@ def _version_log(spark: SparkSession, sf: str) -> DataFrame:
     cached = sample.cache(spark, sf, keys)
     first = enr.assemble(keys, cached, OLD_MODEL, ntz(RUNS[0])).filter("language <> 'fr'")
     second = enr.assemble(keys, cached, MODEL, ntz(RUNS[1])).filter("language <> 'de'")
-    log = history.first_versions(first, "feedback_id", SNAPSHOT_CHECKS, ntz(RUNS[0]))
+    log = materialize(
+        history.first_versions(first, "feedback_id", SNAPSHOT_CHECKS, ntz(RUNS[0])), "version-log"
+    )
     return history.apply_run(log, second, ntz(RUNS[1]))
 
 
@@ -413,14 +428,17 @@ def scd2_asof(spark, sf):
 
 
 def declared_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    raw_ads = sample.ad_tables(spark, sf)
+    """All checked tables; those with several readers are written once."""
+    all_ads = materialize(sample.ads(spark, sf), "ads")
+    channel = F.col("channel")
+    raw_ads = {t: all_ads.filter(channel == c) for t, c in zip(AD_TABLES, CHANNELS)}
     staged_ads = {t: staging.stage_ads(df) for t, df in raw_ads.items()}
-    feedback, enriched = sample.feedback(spark, sf), _enriched(spark, sf)
+    feedback, enriched = sample.feedback(spark, sf), _enriched_table(spark, sf)
     staged_feedback = staging.stage_feedback(feedback)
     staged_enriched = staging.stage_enriched(enriched)
-    spend = _ad_spend(spark, sf)
-    summary = marts.fct_campaign_summary(spend)
-    facts = marts.fct_feedback(staged_enriched, staged_feedback)
+    spend = marts.fct_ad_spend(*staged_ads.values())
+    summary = materialize(marts.fct_campaign_summary(spend), "campaign-summary")
+    facts = materialize(marts.fct_feedback(staged_enriched, staged_feedback), "feedback-facts")
     return {
         **{f"raw.{t}": df for t, df in raw_ads.items()},
         "raw.customer_feedback": feedback,
@@ -456,7 +474,7 @@ def precision_gate(spark, sf):
 @query
 def resolution_quality(spark, sf):
     return quality.resolution_quality(
-        _facts(spark, sf), _staged_feedback(spark, sf),
+        materialize(_facts(spark, sf), "feedback-facts"), _staged_feedback(spark, sf),
         marts.dim_campaigns(_ad_spend(spark, sf)),
     )
 
@@ -490,7 +508,7 @@ def sentiment_mix(spark, sf):
 
 
 def _theme_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    staged = _staged_enriched(spark, sf)
+    staged = staging.stage_enriched(_enriched_table(spark, sf))
     return marts.fct_feedback_themes(staged), marts.fct_feedback(staged, _staged_feedback(spark, sf))
 
 

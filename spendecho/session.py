@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # No call-site capture per column: halves the driver time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
