@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import ratio
 from ..schemas import PRECISION_GATE
@@ -29,35 +29,38 @@ class QualityError(RuntimeError):
     """A declared check failed; the message lists the failures."""
 
 
-def _row_failure(check: Check) -> Column:
-    """True for a failing row. NULL passes every kind but not_null."""
-    c = F.col(check.column)
+def _literal(value) -> str:
+    return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+
+
+def failure_sql(check: Check) -> str:
+    """The condition of a failing row. NULL passes every kind but not_null."""
+    c = f"`{check.column}`"
     if check.kind == "not_null":
-        failed = c.isNull()
-    elif check.kind == "accepted_values":
-        failed = ~c.isin(list(check.values))
+        return f"{c} IS NULL"
+    if check.kind == "accepted_values":
+        failed = f"{c} NOT IN ({', '.join(_literal(v) for v in check.values)})"
     elif check.kind == "between":
-        failed = ~c.between(check.low, check.high)
+        failed = f"{c} NOT BETWEEN {check.low} AND {check.high}"
     elif check.kind == "length_between":
-        failed = ~F.length(c).between(int(check.low), int(check.high))
+        failed = f"length({c}) NOT BETWEEN {check.low} AND {check.high}"
     else:
         raise ValueError(check.kind)
-    if check.where:
-        failed = F.expr(check.where) & failed
-    return failed
+    return f"({check.where}) AND {failed}" if check.where else failed
 
 
-def _row(check: Check, n_failed: Column) -> Column:
-    return F.struct(
-        F.lit(check.table).alias("table_name"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.kind).alias("check_name"),
-        n_failed.cast("bigint").alias("n_failed"),
+def _report_rows(counts: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row per check from a single row of counters n0, n1, ..."""
+    rows = ", ".join(
+        f"named_struct('table_name', '{c.table}', 'column_name', '{c.column}', "
+        f"'check_name', '{c.kind}', 'n_failed', CAST(n{i} AS BIGINT))"
+        for i, c in enumerate(checks)
     )
+    return counts.selectExpr(f"inline(array({rows}))")
 
 
 def failing_rows(df: DataFrame, check: Check) -> DataFrame:
-    return df.filter(_row_failure(check))
+    return df.filter(failure_sql(check))
 
 
 def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
@@ -72,23 +75,20 @@ def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
 
 def row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """All row-level checks of a table in one pass over its columns."""
-    counts = df.agg(
-        *[F.count_if(_row_failure(c)).alias(f"n{i}") for i, c in enumerate(checks)]
-    )
-    rows = F.array(*[_row(c, F.col(f"n{i}")) for i, c in enumerate(checks)])
-    return counts.select(F.inline(rows))
+    counters = [F.expr(f"count_if({failure_sql(c)}) AS n{i}") for i, c in enumerate(checks)]
+    return _report_rows(df.agg(*counters), checks)
 
 
 def unique_check(df: DataFrame, check: Check) -> DataFrame:
-    counted = duplicate_keys(df, check.column).agg(F.count("*").alias("n"))
-    return counted.select(F.inline(F.array(_row(check, F.col("n")))))
+    counted = duplicate_keys(df, check.column).agg(F.count("*").alias("n0"))
+    return _report_rows(counted, [check])
 
 
 def relationship_check(df: DataFrame, check: Check, parent: DataFrame) -> DataFrame:
     counted = orphans(df, check.column, parent, check.parent_column).agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n")
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n0")
     )
-    return counted.select(F.inline(F.array(_row(check, F.col("n")))))
+    return _report_rows(counted, [check])
 
 
 def quality_report(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:

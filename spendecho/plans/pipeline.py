@@ -33,7 +33,7 @@ class Settings:
     enricher: enr.Enricher | None = None  # None replays the cache only
     batch_size: int = 100
     rounds: int = 1
-    buckets: int = 32
+    buckets: int = 32  # by feedback_id; size them to fit a task, 0 for none
     export_dir: str | None = None
     declared: list[quality.Check] = field(default_factory=lambda: checks.DECLARED)
 
@@ -42,8 +42,8 @@ class Run:
     def __init__(self, spark: SparkSession, settings: Settings):
         self.spark, self.s = spark, settings
         self.db = create_layers(spark, settings.prefix)
-        self.run_ts = F.lit(settings.run_ts).cast("timestamp_ntz")
-        self.by_feedback = (settings.buckets, "feedback_id")
+        self.run_ts = F.lit(settings.run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
+        self.by_feedback = (settings.buckets, "feedback_id") if settings.buckets else None
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.db[layer]}.{table}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import first_per_key
@@ -12,8 +13,14 @@ KEY = ["content_hash", "model_version"]
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     """One record per key; of several, the one that was written last (newest
-    file, then position in the file) wins. Blank lines have no key."""
-    lines = spark.read.schema(CACHE_SCHEMA).json(path)
+    file, then position in the file) wins. Blank lines have no key; a cache
+    that does not exist yet is empty."""
+    try:
+        lines = spark.read.schema(CACHE_SCHEMA).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], CACHE_SCHEMA)
     placed = lines.select(
         *CACHE_SCHEMA.names,
         F.col("_metadata.file_modification_time").alias("_t"),

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..schemas import AD_SCHEMA, FEEDBACK_SCHEMA
+from .tables import Bucket, save
 
 NULL_TOKENS = ("", "NULL")
 
@@ -39,7 +40,8 @@ def read_csv(
     bad number fails the job. Free text may hold line breaks, so those files
     are read whole per file: land them as many files, not one.
     """
-    raw = spark.read.csv(
+    # With column pruning the parser would let a row with too few fields pass.
+    raw = spark.read.option("columnPruning", False).csv(
         path, header=True, sep=",", quote='"', escape='"', mode="FAILFAST",
         multiLine=dataset.text_only,
     )
@@ -62,13 +64,10 @@ def read_all(
     return {t: read_csv(spark, f"{folder}/{d.file}", d) for t, d in datasets.items()}
 
 
-def land(df: DataFrame, table: str, truncate: bool = False, bucket: tuple[int, str] | None = None) -> int:
+def land(df: DataFrame, table: str, truncate: bool = False, bucket: Bucket | None = None) -> int:
     """Append to (or replace) a Bronze table; returns the rows written, counted
-    during the write."""
+    during the write. Appending the same files twice doubles them."""
     seen = Observation()
     out = with_load_time(df).observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.mode("overwrite" if truncate else "append").format("parquet")
-    if bucket:
-        writer = writer.bucketBy(bucket[0], bucket[1]).sortBy(bucket[1])
-    writer.saveAsTable(table)
+    save(out, table, "overwrite" if truncate else "append", bucket=bucket)
     return seen.get["rows"]

@@ -17,30 +17,44 @@ def create_layers(spark: SparkSession, prefix: str = "") -> dict[str, str]:
     return names
 
 
-def replace_table(
+Bucket = tuple[int, str]  # number of buckets, key
+
+
+def save(
     df: DataFrame,
     table: str,
+    mode: str,
     partition_by: str | None = None,
-    bucket: tuple[int, str] | None = None,
-) -> DataFrame:
-    """Write a table in full. Partitioned output is rebalanced first, so large
-    partitions are split over tasks and small ones share a file."""
+    bucket: Bucket | None = None,
+) -> None:
+    """Write a catalog table.
+
+    Partitioned output is rebalanced first: large partitions are split over
+    tasks and small ones share a file. Bucketed output is shuffled by the
+    bucket key, so that each task writes one bucket instead of a file in every
+    bucket; later joins and rankings on that key then need no shuffle.
+    """
     if partition_by:
         df = df.hint("rebalance", partition_by)
-    writer = df.write.mode("overwrite").format("parquet")
+    if bucket:
+        df = df.repartition(*bucket)
+    writer = df.write.mode(mode).format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if bucket:
-        writer = writer.bucketBy(bucket[0], bucket[1]).sortBy(bucket[1])
+        writer = writer.bucketBy(*bucket).sortBy(bucket[1])
     writer.saveAsTable(table)
+
+
+def replace_table(
+    df: DataFrame, table: str, partition_by: str | None = None, bucket: Bucket | None = None
+) -> DataFrame:
+    save(df, table, "overwrite", partition_by, bucket)
     return df.sparkSession.table(table)
 
 
-def append_table(df: DataFrame, table: str, bucket: tuple[int, str] | None = None) -> None:
-    writer = df.write.mode("append").format("parquet")
-    if bucket:
-        writer = writer.bucketBy(bucket[0], bucket[1]).sortBy(bucket[1])
-    writer.saveAsTable(table)
+def append_table(df: DataFrame, table: str, bucket: Bucket | None = None) -> None:
+    save(df, table, "append", bucket=bucket)
 
 
 def export_marts(spark: SparkSession, marts: str, folder: str) -> dict[str, int]:
@@ -48,7 +62,8 @@ def export_marts(spark: SparkSession, marts: str, folder: str) -> dict[str, int]
     counts = {}
     for name in GOLD_TABLES:
         seen = Observation()
-        df = served(spark.table(f"{marts}.{name}")).observe(seen, F.count(F.lit(1)).alias("rows"))
+        rows = served(spark.table(f"{marts}.{name}")).drop("month")
+        df = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
         counts[name] = seen.get["rows"]
     return counts

@@ -12,14 +12,14 @@ from pyspark.sql.types import StructType
 
 from ..operators.incremental import newer_rows
 from ..session import shared_dir
-from ..sources.tables import append_table
+from ..sources.tables import Bucket, append_table
 
 
 def enriched_stream(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
     return spark.readStream.schema(schema).parquet(folder)
 
 
-def append_newer(table: str, column: str, bucket: tuple[int, str] | None = None):
+def append_newer(table: str, column: str, bucket: Bucket | None = None):
     """A foreachBatch function: append the rows newer than the table's maximum.
 
     A batch that is replayed after a failure finds its rows at or below the
@@ -40,9 +40,11 @@ def drain(
     table: str,
     column: str,
     label: str,
-    bucket: tuple[int, str] | None = None,
+    bucket: Bucket | None = None,
 ) -> StreamingQuery:
-    """Take everything that is there now, then stop."""
+    """Take everything that is there now, then stop. All new files make one
+    micro-batch (no maxFilesPerTrigger): a split would let the first part's
+    maximum hide rows of the second."""
     location = f"{shared_dir(stream.sparkSession)}/spendecho/streams/{label}"
     return (
         stream.writeStream.foreachBatch(append_newer(table, column, bucket))
