@@ -9,7 +9,9 @@ from __future__ import annotations
 import re
 
 from spendecho.plans import checks
-from spendecho.plans.queries import BATCH_DAY, BATCH_SIZE, HIGH_SPEND, RUNS, SLICE_FROM, SLICE_TO, TOP_THEMES
+from spendecho.plans.queries import (
+    BATCH_DAY, BATCH_SIZE, FIRST_ROWS, HIGH_SPEND, RUNS, SLICE_FROM, SLICE_TO, TOP_THEMES,
+)
 from spendecho.schemas import (
     AD_TABLES, CHANNEL_LABELS, KEY_NULL_TOKEN, OBJECTIVES, RECORD_COLUMNS, SENTIMENTS,
     SNAPSHOT_CHECKS, THEMES, WHITESPACE,
@@ -415,6 +417,8 @@ from {SCORED} where rid is not null"""
 RESOLVED = "resolved_campaign_id is not null"
 SLICE = f"date between date '{SLICE_FROM}' and date '{SLICE_TO}'"
 
+DIGITS = f"(select greatest(1, cast(ceil(log(count(*) / {100.0 * BATCH_SIZE}) / log(16)) as integer)) from missing)"
+
 ORACLE: dict[str, str] = {
     "bronze_ads": f"select * exclude (_loaded_at) {DOUBLES.format(CPC)} from ads",
     "bronze_feedback": """
@@ -436,7 +440,13 @@ from cached""",
     "rating_parse": "select feedback_id, rating_value from feedback_staged",
     "stg_feedback_enriched": "select * from enriched_staged",
     "hash_keys": "select feedback_id, content_hash from hashes",
-    "enricher_rows": "select feedback_id, posted_at, source, rating, review_text from feedback order by feedback_id",
+    "enricher_rows": "select feedback_id, posted_at, source, rating, review_text from feedback",
+    "enricher_first_rows": f"""
+select feedback_id, posted_at, source, rating, review_text from feedback
+order by feedback_id limit {FIRST_ROWS}""",
+    "output_sample": f"""
+select feedback_id, sentiment, sentiment_confidence, themes, language, resolved_campaign_id, resolution_confidence
+from enriched order by feedback_id limit {FIRST_ROWS}""",
     "campaign_catalog": "select * from catalog order by campaign_id",
     "catalog_lines": """
 select campaign_id, '  - ' || campaign_id || ' | ' || campaign_name || ' | ' || channel || ' | ' || objective as line
@@ -456,7 +466,7 @@ select bucket, batch_no, count(*) as n_items,
     'review_text': review_text}} order by feedback_id)) as varchar) as payload
 from (select *, cast((row_number() over (partition by bucket order by feedback_id) - 1) // {BATCH_SIZE}
         as integer) as batch_no
-      from (select f.*, md5(f.feedback_id)[1:1] as bucket
+      from (select f.*, md5(f.feedback_id)[1:{DIGITS}] as bucket
             from feedback f join missing m on m.feedback_id = f.feedback_id))
 group by bucket, batch_no""",
     "response_parse": f"select * exclude (n) {as_json()} from answers",

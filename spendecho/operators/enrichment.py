@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -91,23 +92,34 @@ def enricher_input(
 # --- batches ----------------------------------------------------------------
 
 
-def batch_ids(rows: DataFrame, batch_size: int, hex_digits: int = 2) -> DataFrame:
+BATCHES_PER_BUCKET = 100
+
+
+def bucket_digits(n_rows: int, batch_size: int) -> int:
+    """Hex digits so that a bucket holds about BATCHES_PER_BUCKET batches."""
+    digits = 1
+    while 16 ** digits * BATCHES_PER_BUCKET * batch_size < n_rows:
+        digits += 1
+    return digits
+
+
+def batch_ids(rows: DataFrame, batch_size: int, hex_digits: int) -> DataFrame:
     """Fixed-size batches in id order inside hash buckets.
 
     A bucket is the first hex digits of md5(feedback_id): ids are unique, so
-    buckets are even, and 16^hex_digits of them bound each window group. No
-    global row number is needed.
+    buckets are even and their number grows with the rows; only the last batch
+    of a bucket can be short. No global row number is needed.
     """
     bucketed = rows.withColumn("bucket", F.substring(F.md5(F.col("feedback_id")), 1, hex_digits))
     position = F.row_number().over(Window.partitionBy("bucket").orderBy("feedback_id"))
     return bucketed.withColumn("batch_no", F.floor((position - 1) / batch_size).cast("int"))
 
 
-def batch_payloads(
-    feedback: DataFrame, chosen: DataFrame, batch_size: int, hex_digits: int = 2
-) -> DataFrame:
-    """One JSON array of at most batch_size items per batch."""
-    batches = batch_ids(chosen.select("feedback_id"), batch_size, hex_digits)
+def batch_payloads(feedback: DataFrame, chosen: DataFrame, batch_size: int) -> DataFrame:
+    """One JSON array of at most batch_size items per batch. `chosen` should be
+    a written table: it is counted to size the buckets."""
+    digits = bucket_digits(chosen.count(), batch_size)
+    batches = batch_ids(chosen.select("feedback_id"), batch_size, digits)
     item = F.struct(*ENRICHER_INPUT)
     return (
         enricher_input(feedback, batches)
@@ -122,6 +134,14 @@ def batch_payloads(
     )
 
 
+def full_batches(n_rows: int, batch_size: int) -> int | None:
+    """Partitions that leave few batches short when there are few rows; None
+    (keep the scan's) when every partition has plenty."""
+    if n_rows > BROADCAST_ROWS:
+        return None
+    return max(1, math.ceil(n_rows / (8 * batch_size)))
+
+
 def run_enricher(
     texts: DataFrame, enricher: Enricher, batch_size: int = 100, partitions: int | None = None
 ) -> DataFrame:

@@ -22,21 +22,27 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def _fingerprint(key: str) -> Column:
+    return F.xxhash64(key).alias("_fp")
+
+
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, limit: int = HOT_KEYS) -> DataFrame:
-    """The largest key groups: at most `limit` rows, safe to broadcast.
+    """Fingerprints of the largest key groups: at most `limit` rows, safe to
+    broadcast.
 
     A key that is not listed holds fewer than min_rows rows or less than
     1 / limit of the table, so its group fits an ordinary shuffle partition.
-    Counting is pre-aggregated before it shuffles.
+    Counting 64-bit fingerprints, pre-aggregated, moves far less than the keys
+    would; two keys with the same fingerprint are merely spread together.
     """
     return (
         df.filter(F.col(key).isNotNull())
-        .groupBy(key)
+        .groupBy(_fingerprint(key))
         .agg(F.count("*").alias("_n"))
         .filter(F.col("_n") >= min_rows)
-        .orderBy(F.desc("_n"), key)
+        .orderBy(F.desc("_n"), "_fp")
         .limit(limit)
-        .select(key, F.lit(True).alias("_hot"))
+        .select("_fp", F.lit(True).alias("_hot"))
     )
 
 
@@ -60,25 +66,24 @@ def salted_left_join(
     """
     on = [key, "_salt"]
     hot = F.broadcast(hot_keys(left, key, min_rows))
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.withColumn("_fp", _fingerprint(key)).join(hot, "_fp", "left")
+
     salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
     spread = F.col("_hot") | F.col(key).isNull()
-    salted_left = (
-        left.join(hot, key, "left")
-        .withColumn("_salt", F.when(spread, salt).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
+    salted_left = marked(left).withColumn("_salt", F.when(spread, salt).otherwise(F.lit(0)))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))
     )
-    salted_right = (
-        right.filter(F.col(key).isNotNull())
-        .join(hot, key, "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_hot")
-    )
+    salted_right = marked(right.filter(F.col(key).isNotNull())).withColumn("_salt", F.explode(copies))
     if best_first:
         salted_right = first_per_key(salted_right, on, best_first)
-    return salted_left.join(salted_right, on, "left").drop("_salt")
+    return (
+        salted_left.drop("_fp", "_hot")
+        .join(salted_right.drop("_fp", "_hot"), on, "left")
+        .drop("_salt")
+    )
 
 
 def lookup_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:

@@ -209,7 +209,9 @@ def enrich_in_rounds(
         if rounds > 1:
             todo = todo.filter(F.pmod(F.xxhash64("content_hash"), F.lit(rounds)) == i)
         chosen = materialize(todo, "texts-to-enrich")
-        answers = enr.run_enricher(enr.enricher_input(feedback, chosen), enricher, batch_size)
+        texts = enr.enricher_input(feedback, chosen)
+        partitions = enr.full_batches(chosen.count(), batch_size)
+        answers = enr.run_enricher(texts, enricher, batch_size, partitions)
         records = enr.new_cache_records(enr.normalize(answers, catalog), model)
         cache_files.append_cache(records, cache_path)
 

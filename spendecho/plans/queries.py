@@ -29,6 +29,7 @@ SLICE_FROM, SLICE_TO = date(1998, 1, 1), date(1999, 12, 31)
 TOP_THEMES = 5
 HIGH_SPEND = 1_000_000.0
 BATCH_SIZE = 100
+FIRST_ROWS = 6
 BATCH_DAY = "2024-01-16 00:00:00"
 
 
@@ -174,13 +175,32 @@ def hash_keys(spark, sf):
     )
 
 
+def _enricher_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return sample.feedback(spark, sf).select(
+        "feedback_id", "posted_at", "source", "rating", "review_text"
+    )
+
+
 @query
 def enricher_rows(spark, sf):
-    """Enricher input: ordered by id, without the held-out label."""
-    rows = sample.feedback(spark, sf)
-    return rows.select("feedback_id", "posted_at", "source", "rating", "review_text").orderBy(
-        "feedback_id"
+    """Enricher input, without the held-out label."""
+    return _enricher_rows(spark, sf)
+
+
+@query
+def enricher_first_rows(spark, sf):
+    """The first rows by id, for a smoke run; a top-k, not a sort."""
+    return _enricher_rows(spark, sf).orderBy("feedback_id").limit(FIRST_ROWS)
+
+
+@query
+def output_sample(spark, sf):
+    """The first assembled rows by id, to look at."""
+    rows = _enriched(spark, sf).select(
+        "feedback_id", "sentiment", "sentiment_confidence", "themes", "language",
+        "resolved_campaign_id", "resolution_confidence",
     )
+    return rows.orderBy("feedback_id").limit(FIRST_ROWS)
 
 
 @query
@@ -195,7 +215,7 @@ def catalog_lines(spark, sf):
 
 @query
 def catalog_text(spark, sf):
-    return views.catalog_text(staging.campaign_catalog(sample.ads(spark, sf)))
+    return views.catalog_text(_catalog(spark, sf))
 
 
 @query
@@ -221,14 +241,14 @@ def batch_payload(spark, sf):
     chosen = materialize(
         enr.texts_to_enrich(keys, sample.cache(spark, sf, keys), MODEL), "texts-to-enrich"
     )
-    return enr.batch_payloads(sample.feedback(spark, sf), chosen, BATCH_SIZE, hex_digits=1)
+    return enr.batch_payloads(sample.feedback(spark, sf), chosen, BATCH_SIZE)
 
 
 @query
 def response_parse(spark, sf):
     """Answers as JSON text, one array per hash bucket, parsed back to rows."""
     answers = sample.raw_answers(spark, sf)
-    batches = enr.batch_ids(answers, 10, hex_digits=2)
+    batches = enr.batch_ids(answers, BATCH_SIZE, enr.bucket_digits(answers.count(), BATCH_SIZE))
     responses = batches.groupBy("bucket", "batch_no").agg(
         F.to_json(F.collect_list(F.struct(*answers.columns))).alias("response")
     )
@@ -243,7 +263,8 @@ def enrich_normalize(spark, sf):
 def _new_records(spark: SparkSession, sf: str, keys: DataFrame, cached: DataFrame) -> DataFrame:
     chosen = materialize(enr.texts_to_enrich(keys, cached, MODEL), "texts-to-enrich")
     texts = enr.enricher_input(sample.feedback(spark, sf), chosen)
-    answers = enr.run_enricher(texts, sample.rule_enricher(), BATCH_SIZE)
+    partitions = enr.full_batches(chosen.count(), BATCH_SIZE)
+    answers = enr.run_enricher(texts, sample.rule_enricher(), BATCH_SIZE, partitions)
     clean = enr.normalize(answers, _catalog(spark, sf))
     return enr.new_cache_records(clean, MODEL)
 

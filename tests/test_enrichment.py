@@ -167,7 +167,7 @@ def test_batch_hook(spark):
 def test_batch_payloads(spark):
     feedback = feedback_of(spark, 250)
     todo = enr.texts_to_enrich(enr.feedback_keys(feedback), cache_of(spark), "m")
-    got = enr.batch_payloads(feedback, todo, batch_size=10, hex_digits=1).collect()
+    got = enr.batch_payloads(feedback, todo, batch_size=10).collect()
     items = [json.loads(r.payload) for r in got]
     assert all(len(i) == r.n_items <= 10 for i, r in zip(items, got))
     flat = [x for i in items for x in i]
@@ -177,6 +177,26 @@ def test_batch_payloads(spark):
         assert [x["feedback_id"] for x in i] == sorted(x["feedback_id"] for x in i)
 
 
+def test_batch_sizes():
+    assert [enr.bucket_digits(n, 100) for n in (0, 160_000, 160_001, 10**9)] == [1, 1, 2, 5]
+    assert enr.full_batches(1500, 100) == 2
+    assert enr.full_batches(10**6, 100) is None
+
+
+def test_few_rows_fill_their_batches(spark):
+    feedback = feedback_of(spark, 1500)
+    todo = enr.texts_to_enrich(enr.feedback_keys(feedback), cache_of(spark), "m")
+
+    def enricher(batch):
+        return [{"feedback_id": r["feedback_id"], "language": str(len(batch)), "sentiment": batch[0]["feedback_id"]}
+                for r in batch]
+
+    texts = enr.enricher_input(feedback, todo)
+    got = enr.run_enricher(texts, enricher, 100, enr.full_batches(1500, 100)).collect()
+    assert len(got) == 1500
+    assert len({r.sentiment for r in got}) <= 17  # calls
+
+
 def test_response_text(spark):
     text = json.dumps([
         {"feedback_id": "a", "sentiment": "positive", "sentiment_confidence": 0.5, "themes": ["price"],
