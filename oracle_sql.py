@@ -554,6 +554,8 @@ select count(*) as n_feedback, count(*) filter (where {RESOLVED}) as n_resolved,
   {avg6(f'(case when {RESOLVED} then resolution_confidence end)', 4)} as avg_confidence
 from facts""",
     "channel_trend_sliced": f"select * from channel_daily where {SLICE} and channel in ('meta', 'tiktok')",
+    "ad_detail_sliced": f"""
+select * {DOUBLES.format('')} from ad_spend where {SLICE} and channel = 'google_ads'""",
     "campaign_kpis_sliced": SUMMARY.format(
         f"(select * from ad_spend where {SLICE} and campaign_id in ('META_001', 'TKTK_003'))"
     ),

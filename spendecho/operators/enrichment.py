@@ -18,7 +18,7 @@ from .joins import (
     BROADCAST_ROWS, first_per_key, fits_broadcast, lookup_left_join, salted_left_join,
 )
 
-Enricher = Callable[[list[dict]], list[dict]]
+Enricher = Callable[[list[dict]], list[dict] | None]
 
 
 # --- keys and cache ---------------------------------------------------------
@@ -148,7 +148,8 @@ def run_enricher(
     """Call a user-supplied function on batches of rows, inside the tasks.
 
     Answers are matched to their batch by id, the last answer for an id wins;
-    rows without an answer are simply missing and stay misses.
+    rows without an answer are simply missing and stay misses. An enricher that
+    returns None (out of quota) is not called again for its partition.
     """
     spread = texts.repartition(partitions, "feedback_id") if partitions else texts
     inputs, lists, answer_columns = ENRICHER_INPUT, LIST_COLUMNS, RAW_RECORD_SCHEMA.names
@@ -164,6 +165,8 @@ def run_enricher(
                 batch = frame.iloc[start:start + batch_size]
                 asked = batch[inputs].astype(object).where(batch[inputs].notna(), None)
                 answers = enricher(asked.to_dict("records"))
+                if answers is None:
+                    return
                 table = pd.DataFrame(
                     [[cell(c, a.get(c)) for c in answer_columns]
                      for a in answers if isinstance(a, dict)],

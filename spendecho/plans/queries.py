@@ -572,3 +572,11 @@ def campaign_kpis_sliced(spark, sf):
         _ad_spend(spark, sf), SLICE_FROM, SLICE_TO, campaigns=["META_001", "TKTK_003"]
     )
     return marts.served(marts.fct_campaign_summary(spend))
+
+
+@query
+def ad_detail_sliced(spark, sf):
+    """Ad rows of some channels over a date slice."""
+    return marts.served(
+        views.slice_rows(_ad_spend(spark, sf), SLICE_FROM, SLICE_TO, channels=["google_ads"])
+    )

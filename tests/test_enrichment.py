@@ -164,6 +164,19 @@ def test_batch_hook(spark):
     assert got[0].sentiment_confidence == "0.5" and got[0].language is None
 
 
+def test_enricher_out_of_quota(spark):
+    feedback = feedback_of(spark, 100)
+    todo = enr.texts_to_enrich(enr.feedback_keys(feedback), cache_of(spark), "m")
+    calls = []
+
+    def enricher(batch):
+        calls.append(1)
+        return None if len(calls) > 2 else [{"feedback_id": r["feedback_id"]} for r in batch]
+
+    got = enr.run_enricher(enr.enricher_input(feedback, todo), enricher, batch_size=10, partitions=1)
+    assert got.count() == 20
+
+
 def test_batch_payloads(spark):
     feedback = feedback_of(spark, 250)
     todo = enr.texts_to_enrich(enr.feedback_keys(feedback), cache_of(spark), "m")

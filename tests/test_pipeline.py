@@ -116,6 +116,16 @@ def test_runs_end_to_end_and_daily(spark, tmp_path):
     assert result["summary"]["to_enrich"] < 150 and result["summary"]["fallback_rows"] == 0
 
 
+def test_first_rows_without_keeping_the_cache(spark, tmp_path):
+    landing_files(tmp_path / "landing")
+    s = settings(tmp_path, 2, limit=6, keep_cache=False, declared=[], export_dir=None)
+    result = pipeline.run_pipeline(spark, s)
+    assert result["summary"]["feedback_rows"] == result["summary"]["cache_hits"] == 6
+    run = pipeline.Run(spark, s)
+    assert run.table("marts", "fct_feedback").count() == 6
+    assert not (tmp_path / "cache").exists()
+
+
 def test_failed_check_blocks_the_export(spark, tmp_path):
     landing_files(tmp_path / "landing")
     (tmp_path / "landing" / "tiktok_ads.csv").unlink()
@@ -126,6 +136,24 @@ def test_failed_check_blocks_the_export(spark, tmp_path):
     assert not (tmp_path / "export").exists()
 
 
+def test_a_stopped_run_is_resumed(spark, tmp_path):
+    landing_files(tmp_path / "landing")
+    honest = make_enricher()
+
+    def broken(batch):
+        if any(r["feedback_id"] == "FB_000119" for r in batch):
+            raise RuntimeError("no answer")
+        return honest(batch)
+
+    one_round = settings(tmp_path, 2, enricher=broken, rounds=8, export_dir=None)
+    with pytest.raises(Exception, match="no answer"):
+        pipeline.run_pipeline(spark, one_round)
+    run = pipeline.Run(spark, one_round)
+    kept = run.cache().count()
+    result = pipeline.run_pipeline(spark, settings(tmp_path, 3, rounds=8, export_dir=None))
+    assert kept < result["summary"]["cache_hits"] == 120
+
+
 def test_precision_gate_blocks(spark, tmp_path):
     landing_files(tmp_path / "landing")
 
