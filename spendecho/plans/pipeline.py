@@ -81,7 +81,8 @@ class Run:
         return enr.upsert_cache(cached, cache_files.read_cache(self.spark, self.new_records))
 
     def catalog(self) -> DataFrame:
-        return staging.campaign_catalog(*[self.table("raw", t) for t in AD_TABLES])
+        catalog = staging.campaign_catalog(*[self.table("raw", t) for t in AD_TABLES])
+        return materialize(catalog, "campaign-catalog")
 
     def enrich(self) -> DataFrame:
         feedback = self.table("raw", "customer_feedback")
@@ -221,8 +222,11 @@ def enrich_in_rounds(
         if rounds > 1:
             todo = todo.filter(F.pmod(F.xxhash64("content_hash"), F.lit(rounds)) == i)
         chosen = materialize(todo, "texts-to-enrich")
+        n_texts = chosen.count()
+        if n_texts == 0:
+            continue
         texts = enr.enricher_input(feedback, chosen)
-        partitions = enr.full_batches(chosen.count(), batch_size)
+        partitions = enr.full_batches(n_texts, batch_size)
         answers = enr.run_enricher(texts, enricher, batch_size, partitions)
         records = enr.new_cache_records(enr.normalize(answers, catalog), model)
         cache_files.append_cache(records, cache_path)
