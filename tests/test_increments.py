@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,13 +53,14 @@ def test_log_reads_like_the_upsert(spark):
 
 
 def test_stream_appends_only_newer_rows(spark, tmp_path):
-    folder, table = str(tmp_path / "in"), "stream_log"
+    label = uuid.uuid4().hex  # the shared folder outlives a test run
+    folder, table = str(tmp_path / "in"), f"stream_log_{label}"
     schema = frame(spark).schema
 
     def deliver(*rows):
         frame(spark, *rows).coalesce(1).write.mode("append").parquet(folder)
         stream = increments.enriched_stream(spark, folder, schema)
-        q = increments.drain(stream, table, "_enriched_at", label=tmp_path.name, bucket=(4, "feedback_id"))
+        q = increments.drain(stream, table, "_enriched_at", label=label, bucket=(4, "feedback_id"))
         q.awaitTermination()
 
     deliver(("a", 1, 1), ("b", 1, 5))
