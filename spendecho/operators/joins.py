@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 BROADCAST_ROWS = 50_000
 HOT_KEYS = 1_000
 HOT_ROWS = 1_000_000
-SALTS = 64
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -27,22 +26,22 @@ def _fingerprint(key: str) -> Column:
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, limit: int = HOT_KEYS) -> DataFrame:
-    """Fingerprints of the largest key groups: at most `limit` rows, safe to
-    broadcast.
+    """Fingerprints of the largest key groups and the number of salts that cut
+    each to about min_rows rows; at most `limit` rows, safe to broadcast.
 
     A key that is not listed holds fewer than min_rows rows or less than
     1 / limit of the table, so its group fits an ordinary shuffle partition.
     Counting 64-bit fingerprints, pre-aggregated, moves far less than the keys
-    would; two keys with the same fingerprint are merely spread together.
+    would; two keys with the same fingerprint are merely spread together. NULL
+    has a fingerprint too.
     """
     return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(_fingerprint(key))
+        df.groupBy(_fingerprint(key))
         .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") >= min_rows)
+        .filter(F.col("_n") > min_rows)
         .orderBy(F.desc("_n"), "_fp")
         .limit(limit)
-        .select("_fp", F.lit(True).alias("_hot"))
+        .select("_fp", F.ceil(F.col("_n") / min_rows).cast("int").alias("_salts"))
     )
 
 
@@ -53,13 +52,13 @@ def salted_left_join(
     spread_by: str,
     best_first: list[Column] | None = None,
     min_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """left LEFT JOIN right ON key; right has one row per key.
 
-    Rows of a hot key (and rows whose key is NULL, which match nothing) are
-    spread over `salts` tasks by a hash of their row id; only the right rows of
-    hot keys are repeated, once per salt. Everything else is a plain shuffle.
+    Rows of a hot key are spread by a hash of their row id over as many tasks
+    as the size of the group asks for, and only the right rows of hot keys are
+    repeated, once per salt. Rows without a key match nothing and are spread
+    the same way. Everything else is a plain shuffle.
 
     With `best_first`, right may hold several rows per key and the first in
     that order is taken; the ranking runs on the join's own shuffle.
@@ -68,22 +67,19 @@ def salted_left_join(
     hot = F.broadcast(hot_keys(left, key, min_rows))
 
     def marked(df: DataFrame) -> DataFrame:
-        return df.withColumn("_fp", _fingerprint(key)).join(hot, "_fp", "left")
+        return df.withColumn("_fp", _fingerprint(key)).join(hot, "_fp", "left").drop("_fp")
 
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    spread = F.col("_hot") | F.col(key).isNull()
-    salted_left = marked(left).withColumn("_salt", F.when(spread, salt).otherwise(F.lit(0)))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    salted_left = marked(left).withColumn(
+        "_salt", F.pmod(F.xxhash64(spread_by), salts).cast("int")
+    )
+    salted_right = marked(right.filter(F.col(key).isNotNull())).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    salted_right = marked(right.filter(F.col(key).isNotNull())).withColumn("_salt", F.explode(copies))
     if best_first:
         salted_right = first_per_key(salted_right, on, best_first)
-    return (
-        salted_left.drop("_fp", "_hot")
-        .join(salted_right.drop("_fp", "_hot"), on, "left")
-        .drop("_salt")
-    )
+    joined = salted_left.drop("_salts").join(salted_right.drop("_salts"), on, "left")
+    return joined.drop("_salt")
 
 
 def lookup_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:

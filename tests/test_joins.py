@@ -26,10 +26,10 @@ def rows(df):
     return sorted((r.row_id, r.k or "", r.id if r.id is not None else -1) for r in df.collect())
 
 
-@pytest.mark.parametrize("min_rows", [2, 100, 10**9])
+@pytest.mark.parametrize("min_rows", [1, 2, 100, 10**9])
 def test_salted_join_equals_plain_join(spark, min_rows):
     left, right = skewed(spark), lookup(spark)
-    got = joins.salted_left_join(left, right, "k", "row_id", min_rows=min_rows, salts=8)
+    got = joins.salted_left_join(left, right, "k", "row_id", min_rows=min_rows)
     assert rows(got) == rows(left.join(right, "k", "left"))
 
 
@@ -40,7 +40,7 @@ def test_hot_key_is_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        got = joins.salted_left_join(skewed(spark), lookup(spark), "k", "row_id", min_rows=500)
+        got = joins.salted_left_join(skewed(spark), lookup(spark), "k", "row_id", min_rows=20)
         plain = skewed(spark).join(lookup(spark), "k", "left")
         salted, unsalted = (
             [r["count"] for r in
@@ -59,7 +59,7 @@ def test_salted_join_takes_the_best_row(spark):
         [("hot", 1, "b"), ("hot", 2, "a"), ("k1", 3, "a"), ("k1", 4, "z")], "k string, id long, o string"
     )
     got = joins.salted_left_join(
-        skewed(spark), right, "k", "row_id", best_first=[F.col("o").desc()], min_rows=100, salts=8
+        skewed(spark), right, "k", "row_id", best_first=[F.col("o").desc()], min_rows=100
     ).select("row_id", "k", "id")
     best = {"hot": 1, "k1": 4}
     assert all(r.id == best.get(r.k) for r in got.collect())
@@ -68,10 +68,10 @@ def test_salted_join_takes_the_best_row(spark):
 
 def test_hot_keys_are_bounded_and_hold_the_largest(spark):
     df = skewed(spark)
-    got = {r._fp for r in joins.hot_keys(df, "k", min_rows=2, limit=3).collect()}
+    got = {r._fp: r._salts for r in joins.hot_keys(df, "k", min_rows=2, limit=3).collect()}
     assert len(got) == 3
-    assert df.filter("k = 'hot'").select(F.xxhash64("k")).head()[0] in got
-    assert joins.hot_keys(df, "k", min_rows=1001).count() == 0
+    assert got[df.filter("k = 'hot'").select(F.xxhash64("k")).head()[0]] == 500
+    assert joins.hot_keys(df, "k", min_rows=1000).count() == 0
 
 
 def test_lookup_join_both_ways(spark, monkeypatch):
