@@ -5,7 +5,7 @@ import itertools
 import pytest
 
 from spendecho.operators.quality import QualityError
-from spendecho.plans import checks, pipeline
+from spendecho.plans import checks, marts, pipeline
 from spendecho.schemas import AD_SCHEMA, FEEDBACK_SCHEMA, GOLD_TABLES
 
 PLATFORMS = {"meta": "META", "google_ads": "GOOG", "tiktok": "TKTK"}
@@ -91,6 +91,18 @@ def test_runs_end_to_end_and_daily(spark, tmp_path):
     assert len(best) == 6 and all(r.feedback_count == r.positive_count > 0 for r in best)
     assert set(pipeline.sentiment_page(run)) >= {"sentiment_mix", "resolved_share"}
 
+    # Bucketed by feedback_id: current rows and the fact join need no shuffle.
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        staged = run.staged()
+        joined = marts.fct_feedback(staged["stg_feedback_enriched"], staged["stg_customer_feedback"])
+        for df in (run.table("marts", "fct_feedback"), joined, run.history()):
+            plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+            assert "Exchange" not in plan, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
     # The same inputs again, a day later: nothing new anywhere.
     pipeline.run_pipeline(spark, settings(tmp_path, 3))
     assert run.table("marts", "fct_feedback_log").count() == 120
