@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import scratch_path
@@ -28,6 +30,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def mapped(df: DataFrame, run, schema) -> DataFrame:
+    """`df.mapInArrow`, with this package on the workers' path where they share the
+    folder it lies in (elsewhere it is shipped with --py-files)."""
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    return df.mapInArrow(run, schema)
+
+
 def words(text: Column) -> Column:
     """Maximal runs of characters other than space and \\t to \\r; NULL has none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

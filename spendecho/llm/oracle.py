@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, quality_rules, urls
+from . import decontaminate, mixing, quality_rules, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -130,8 +130,31 @@ SELECT page_id, cut.host, cut.path, rule, coalesce(action, 'allow') AS verdict
 FROM cut LEFT JOIN fits ON cut.r = fits.r AND place = 1"""
 
 
+def decontaminate_sql(docs: str = "documents", items: str = "benchmark") -> str:
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH split AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({lower}, '{word}') AS w FROM {docs}),
+item_words AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({lower}, '{word}') AS w FROM {items}),
+item_windows AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS line
+  FROM (SELECT item, w, least({decontaminate.WINDOW}, len(w)) AS n,
+               unnest(generate_series(1, len(w) - least({decontaminate.WINDOW}, len(w)) + 1)) AS i FROM item_words WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS line
+  FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM split, sizes WHERE len(w) >= n)),
+found AS (SELECT d.r, d.i, d.n, x.item FROM doc_windows d JOIN item_windows x ON d.n = x.n AND d.line = x.line),
+hit AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS j FROM found) GROUP BY r),
+ids AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS line FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(line, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM split LEFT JOIN hit ON split.r = hit.r LEFT JOIN ids ON split.r = ids.r"""
+
+
 ORACLE_SQL = {
     "op1_mix": mix_sql(),
     "op2_quality": quality_sql(),
+    "op4_decontaminate": decontaminate_sql(),
     "op9_urls": url_sql(),
 }

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, quality_rules, urls
+from . import decontaminate, licenses, mixing, quality_rules, ranking, simhash, urls
 from .common import table, written
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -18,6 +18,11 @@ def query(fn):
     return fn
 
 
+def _remainder(n: int):
+    """crc32 of doc_id as text, modulo n; a NULL id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
+
+
 @query
 def op1_mix(spark, sf_dir):
     docs = mixing.sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
@@ -36,3 +41,31 @@ def op2_quality(spark, sf_dir):
 def op9_urls(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages, urls.rule_table(spark, urls.RULES)).drop("url")
+
+
+@query
+def op3_simhash(spark, sf_dir):
+    found = simhash.grouped(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op4_decontaminate(spark, sf_dir):
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+@query
+def op5_licenses(spark, sf_dir):
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
+@query
+def op10_ranking(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = _remainder(3) == 1
+    model = ranking.train(docs, labels, "quality", ~held_out)
+    return ranking.score(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
