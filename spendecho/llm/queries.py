@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, licenses, mixing, quality_rules, ranking, simhash, urls
+from . import decontaminate, licenses, mixing, quality_rules, ranking, simhash, substring, urls
 from .common import table, written
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -69,3 +69,8 @@ def op10_ranking(spark, sf_dir):
     held_out = _remainder(3) == 1
     model = ranking.train(docs, labels, "quality", ~held_out)
     return ranking.score(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_substring(spark, sf_dir):
+    return substring.deduplicate(table(spark, sf_dir, "documents"), ["doc_id"]).drop("kept_text")
