@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, licenses, mixing, quality_rules, ranking, simhash, substring, urls
+from . import decontaminate, langid, licenses, mixing, quality_rules, ranking, simhash, substring, urls
 from .common import table, written
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -74,3 +74,10 @@ def op10_ranking(spark, sf_dir):
 @query
 def op8_substring(spark, sf_dir):
     return substring.deduplicate(table(spark, sf_dir, "documents"), ["doc_id"]).drop("kept_text")
+
+
+@query
+def op7_language(spark, sf_dir):
+    docs, held_out, vocab = table(spark, sf_dir, "documents"), _remainder(5) == 0, langid.vocabulary()
+    model = langid.train(docs, ~held_out, vocab)
+    return langid.predict(docs, model, vocab, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
