@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, licenses, mixing, quality_rules, ranking, simhash, substring, urls
+from . import decontaminate, langid, licenses, mixing, ppm, quality_rules, ranking, simhash, substring, urls
 from .common import table, written
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -81,3 +81,10 @@ def op7_language(spark, sf_dir):
     docs, held_out, vocab = table(spark, sf_dir, "documents"), _remainder(5) == 0, langid.vocabulary()
     model = langid.train(docs, ~held_out, vocab)
     return langid.predict(docs, model, vocab, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op6_ppm(spark, sf_dir):
+    held_out = _remainder(5) == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return ppm.score(docs, ~F.col("held_out"), ["doc_id", "held_out"])
