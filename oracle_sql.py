@@ -12,15 +12,35 @@ from spendecho.plans import checks
 from spendecho.plans.queries import (
     BATCH_DAY, BATCH_SIZE, FIRST_ROWS, HIGH_SPEND, RUNS, SLICE_FROM, SLICE_TO, TOP_THEMES,
 )
-from spendecho.schemas import (
-    AD_TABLES, CHANNEL_LABELS, KEY_NULL_TOKEN, OBJECTIVES, RECORD_COLUMNS, SENTIMENTS,
-    SNAPSHOT_CHECKS, THEMES, WHITESPACE,
-)
+from spendecho.schemas import WHITESPACE
 from spendecho.sources.sample_tables import (
-    ANSWER_CAMPAIGNS, ANSWER_CONFIDENCES, ANSWER_SENTIMENTS, AUTHORS, CAMPAIGNS,
-    CHANNEL_OF_FLAG, ENRICHED_AT, FLAG_OF, LOADED_AT, MODEL, OLD_MODEL, SOURCES,
+    ANSWER_CAMPAIGNS, ANSWER_CONFIDENCES, ANSWER_SENTIMENTS, AUTHORS, CAMPAIGNS, ENRICHED_AT,
+    LOADED_AT, MODEL, OLD_MODEL, SOURCES,
 )
 
+# Fixed values, written out so that a wrong vocabulary in the library shows.
+SENTIMENTS = ["positive", "negative", "neutral", "mixed"]
+THEMES = [
+    "shipping", "price", "product_quality", "customer_service",
+    "sizing_fit", "website_app", "returns", "other",
+]
+OBJECTIVES = ["awareness", "traffic", "conversion"]
+CHANNEL_LABELS = {
+    "meta": ["fb", "facebook", "meta", "fb comment", "ig", "instagram", "insta"],
+    "google_ads": ["google", "google reviews", "google play", "play store", "gmb"],
+    "tiktok": ["tiktok", "tt", "tt comment"],
+}
+KEY_NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
+AD_TABLES = ["meta_ads", "google_ads", "tiktok_ads"]
+FLAG_OF = {"meta_ads": "R", "google_ads": "A", "tiktok_ads": "N"}
+CHANNEL_OF_FLAG = {"R": "meta", "A": "google_ads", "N": "tiktok"}
+RECORD_COLUMNS = [
+    "sentiment", "sentiment_confidence", "themes", "product_mentions", "competitor_mentions",
+    "language", "campaign_reference", "resolved_campaign_id", "resolution_confidence",
+]
+SNAPSHOT_CHECKS = ["sentiment", "resolved_campaign_id", "themes", "model_version"]
+# End of fixed values.
+
 
 def text(value) -> str:
     return "null" if value is None else "'" + str(value).replace("'", "''") + "'"
@@ -52,18 +72,18 @@ def strip(c: str) -> str:
     return f"trim(coalesce({c}, ''), {text(WHITESPACE)})"
 
 
-def avg6(c: str, places: int) -> str:
-    return div(f"sum(cast({c} as decimal(8,6)))", f"count({c})", places)
+def exact(c: str, places: int) -> str:
+    return div(f"sum(cast({c} as decimal(38,17)))", f"count({c})", places)
 
 
 CTE: dict[str, str] = {}
 
 CTE["ads"] = f"""
 select day as date, channel,
-  prefix || '_' || lpad(cast(ad_no % 3 + 1 as varchar), 3, '0') as campaign_id,
+  prefix || '-c' || (ad_no % 3 + 1) as campaign_id,
   channel || ' — campaign ' || (ad_no % 3 + 1) as campaign_name,
   {words(OBJECTIVES)}[ad_no % 3 + 1] as objective,
-  'AS_' || prefix[1:1] || lpad(cast(ad_no + 1 as varchar), 3, '0') as ad_set_id,
+  prefix || '-set-' || lpad(cast(ad_no + 1 as varchar), 2, '0') as ad_set_id,
   'Audience & ' || (ad_no + 1) as ad_set_name,
   impressions, clicks, spend, conversions, conversion_value,
   cast({div('spend', 'clicks', 4)} as decimal(18,4)) as cpc,
@@ -71,7 +91,7 @@ select day as date, channel,
 from (
   select cast(l_shipdate as date) as day,
     case l_returnflag when 'R' then 'meta' when 'A' then 'google_ads' else 'tiktok' end as channel,
-    case l_returnflag when 'R' then 'META' when 'A' then 'GOOG' else 'TKTK' end as prefix,
+    case l_returnflag when 'R' then 'mt' when 'A' then 'gg' else 'tk' end as prefix,
     cast(l_suppkey % 12 as integer) as ad_no,
     cast(sum(cast(l_quantity as bigint) - 1) * 100 as bigint) as impressions,
     cast(sum(l_linenumber) as bigint) as clicks,
@@ -190,7 +210,7 @@ select content_hash, model_version,
   case when rid <> '' then ' your ad ' else '' end as campaign_reference,
   rid as resolved_campaign_id,
   case when rid <> '' then (60 + n % 40) / 100.0::double else 0.0::double end as resolution_confidence
-from (select *, case when n % 15 >= 9 or n % 13 = 0 then '' when n % 97 = 0 then 'META_999'
+from (select *, case when n % 15 >= 9 or n % 13 = 0 then '' when n % 97 = 0 then 'mt-c99'
         when n % 10 = 0 then {words(CAMPAIGNS)}[(n % 15 + 1) % 9 + 1]
         else {words(CAMPAIGNS)}[n % 15 + 1] end as rid
       from cache_keys)"""
@@ -254,7 +274,7 @@ COUNTS = ", ".join(f"count(*) filter (where sentiment = '{s}') as {s}_count" for
 CTE["voice"] = f"""
 select resolved_campaign_id as campaign_id, count(*) as feedback_count, {COUNTS},
   {div('sum(sentiment_score)', 'count(sentiment_score)', 4)} as net_sentiment_score,
-  {avg6('resolution_confidence', 4)} as avg_resolution_confidence
+  {exact('resolution_confidence', 4)} as avg_resolution_confidence
 from facts where resolved_campaign_id is not null group by resolved_campaign_id"""
 
 ZEROED = ", ".join(
@@ -362,6 +382,8 @@ def sql(body: str) -> str:
 
     add(body)
     parts = [f"{name} as ({CTE[name]})" for name in CTE if name in needed]
+    if parts and body.lstrip().startswith("with "):
+        body = ", " + body.lstrip()[5:]
     return ("with " + ",\n".join(parts) if parts else "") + "\n" + body
 
 
@@ -434,6 +456,36 @@ from cached""",
         f"stg_{t}": f"select * {DOUBLES.format(CPC)} from ads_staged where channel = '{CHANNEL_OF_FLAG[FLAG_OF[t]]}'"
         for t in AD_TABLES
     },
+    "bronze_mixed_headers": f"select * exclude (_loaded_at) {DOUBLES.format(CPC)} from ads where channel = 'google_ads'",
+    "bronze_loads": """
+select unnest([0, 1, 2]) as step, n as landed, unnest([n, 2 * n, n]) as there
+from (select count(*) as n from documents)""",
+    "mart_export": "select * from channel_daily",
+    "staged_view": "select source_channel, rating_value, count(*) as n from feedback_staged group by all",
+    "catalog_pages": """
+select cast((n - 1) // 4 as integer) as page, count(*) as n_lines, string_agg(line, chr(10) order by n) as page_text
+from (select line, row_number() over (order by campaign_id, line) as n from (
+  select campaign_id, '  - ' || campaign_id || ' | ' || campaign_name || ' | ' || channel || ' | ' || objective as line
+  from catalog)) group by page""",
+    "enrich_rerun_duplicates": "select * from enriched",
+    "enrich_resumed": f"select * {as_json()} from new_records",
+    "precision_gate_strict": f"select precision from ({PRECISION}) where precision < 1.01",
+    "dq_failures": """
+with bad as (
+  select * replace (case when language = 'fr' then 'angry' else sentiment end as sentiment,
+                    resolution_confidence + case when language = 'de' then 150.0 else 0.0 end as resolution_confidence)
+  from facts),
+twice as (select * from bad union all select * from bad where language = 'es'),
+failures as (
+  select 'unique' as check_name, 'feedback_id' as column_name, count(*) as n_failed
+  from (select feedback_id from twice group by feedback_id having count(*) > 1)
+  union all select 'accepted_values', 'sentiment', count(*) from twice
+    where sentiment not in ('positive', 'negative', 'neutral', 'mixed')
+  union all select 'between', 'resolution_confidence', count(*) from twice where resolution_confidence not between 0 and 1)
+select 'marts.fct_feedback' as table_name, column_name, check_name, n_failed from failures where n_failed > 0""",
+    "sentiment_mix_sliced": """
+select resolved_campaign_id, sentiment, count(*) as n_feedback from facts
+where posted_date between date '2024-02-01' and date '2024-09-30' and source_channel in ('meta', 'tiktok') group by all""",
     "stg_customer_feedback": "select * from feedback_staged",
     "channel_map": "select feedback_id, source_channel from feedback_staged",
     "date_parse": "select feedback_id, posted_date from feedback_staged",
@@ -545,19 +597,19 @@ select language, count(*) as n_feedback,
   {div('count(*)', '(select count(*) from facts)', 6)} as share
 from facts group by language""",
     "resolution_confidence": f"""
-select count(*) as n_resolved, {avg6('resolution_confidence', 4)} as avg_confidence,
+select count(*) as n_resolved, {exact('resolution_confidence', 4)} as avg_confidence,
   min(resolution_confidence) as min_confidence, max(resolution_confidence) as max_confidence
 from facts where {RESOLVED}""",
     "resolved_share": f"""
 select count(*) as n_feedback, count(*) filter (where {RESOLVED}) as n_resolved,
   {div(f'count(*) filter (where {RESOLVED})', 'count(*)', 6)} as resolved_share,
-  {avg6(f'(case when {RESOLVED} then resolution_confidence end)', 4)} as avg_confidence
+  {exact(f'(case when {RESOLVED} then resolution_confidence end)', 4)} as avg_confidence
 from facts""",
     "channel_trend_sliced": f"select * from channel_daily where {SLICE} and channel in ('meta', 'tiktok')",
     "ad_detail_sliced": f"""
 select * {DOUBLES.format('')} from ad_spend where {SLICE} and channel = 'google_ads'""",
     "campaign_kpis_sliced": SUMMARY.format(
-        f"(select * from ad_spend where {SLICE} and campaign_id in ('META_001', 'TKTK_003'))"
+        f"(select * from ad_spend where {SLICE} and campaign_id in ('mt-c1', 'tk-c3'))"
     ),
 }
 

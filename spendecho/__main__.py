@@ -24,14 +24,16 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--landing", required=True, help="folder with the CSV files")
     parser.add_argument("--cache", required=True, help="folder of the enrichment cache")
     parser.add_argument("--model", default="default", help="model version to prefer")
-    parser.add_argument("--truncate", action="store_true", help="replace Bronze instead of appending")
+    bronze = parser.add_mutually_exclusive_group()
+    bronze.add_argument("--truncate", action="store_true", default=None, help="replace Bronze (what run does)")
+    bronze.add_argument("--append", action="store_false", dest="truncate", help="append to Bronze (what load does)")
     parser.add_argument("--enricher", help="module:function for unseen texts; none replays the cache")
     parser.add_argument("--batch-size", type=int, default=100)
-    parser.add_argument("--rounds", type=int, default=1, help="checkpointed slices of the unseen texts")
+    parser.add_argument("--rounds", type=int, help="checkpointed slices of the unseen texts; else by their number")
     parser.add_argument("--limit", type=int, help="enrich only the first rows by id")
     parser.add_argument("--sample", type=int, default=0, help="print some enriched rows")
     parser.add_argument("--no-cache-write", action="store_true")
-    parser.add_argument("--buckets", type=int, default=32)
+    parser.add_argument("--buckets", type=int, help="by feedback_id, 0 for none; else by the bytes landed")
     parser.add_argument("--prefix", default="", help="prefix of the four databases")
     parser.add_argument("--export", help="folder for the Parquet exports")
     return parser.parse_args(argv)
@@ -61,7 +63,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "load":
         result = run.load()
     elif args.step == "enrich":
-        result = run.enrich().head().asDict()
+        result = run.enrich()
     else:
         result = export_marts(spark, run.db["marts"], args.export)
     print(json.dumps(result))

@@ -28,10 +28,12 @@ def money_sum(amount: Column) -> Column:
 
 
 def exact_avg(x: Column, places: int) -> Column:
-    """Average of a double in [-1, 1] that does not depend on row order: values
-    are added as six-place decimals, then divided once."""
-    total = F.sum(x.cast("decimal(8,6)"))
-    return ratio(total, F.count(x), places)
+    """Average of a double that does not depend on row order: values are added as
+    decimals of 17 places, which hold every double of [0, 1] to its last digit.
+    Values of 1e11 and more, where that type ends, are averaged as doubles."""
+    wide = F.when(F.abs(x) < 1e11, x).cast("decimal(28,17)")
+    exact = ratio(F.sum(wide), F.count(x), places)
+    return F.when(F.count(wide) == F.count(x), exact).otherwise(round_n(F.avg(x), places))
 
 
 def clamp01(x: Column) -> Column:

@@ -14,9 +14,7 @@ from ..schemas import (
     MAX_MENTIONS, MAX_REFERENCE_CHARS, NEUTRAL_LANGUAGE, RAW_RECORD_SCHEMA, RECORD_COLUMNS,
     SENTIMENTS, THEMES,
 )
-from .joins import (
-    BROADCAST_ROWS, first_per_key, fits_broadcast, lookup_left_join, salted_left_join,
-)
+from .joins import BROADCAST_ROWS, first_per_key, fits_broadcast
 
 Enricher = Callable[[list[dict]], list[dict] | None]
 
@@ -24,13 +22,28 @@ Enricher = Callable[[list[dict]], list[dict] | None]
 # --- keys and cache ---------------------------------------------------------
 
 
-def feedback_keys(feedback: DataFrame) -> DataFrame:
-    """(feedback_id, content_hash): the only thing the joins below move."""
+def hashed_keys(feedback: DataFrame) -> DataFrame:
+    """(feedback_id, content_hash, _loaded_at) of every Bronze row."""
+    loaded = F.col("_loaded_at") if "_loaded_at" in feedback.columns else F.lit(None)
     return feedback.select(
-        "feedback_id", content_hash(F.col("review_text"), F.col("source")).alias("content_hash")
+        "feedback_id", content_hash(F.col("review_text"), F.col("source")).alias("content_hash"),
+        loaded.cast("timestamp_ntz").alias("_loaded_at"),
     )
 
 
+def newest_keys(hashed: DataFrame) -> DataFrame:
+    """(feedback_id, content_hash), unique by id: of several Bronze rows with one
+    id, the one loaded last stands (then the greatest hash). The duplicates are
+    reported by the declared checks."""
+    order = [F.col("_loaded_at").desc_nulls_last(), F.col("content_hash").desc()]
+    return first_per_key(hashed, ["feedback_id"], order).select("feedback_id", "content_hash")
+
+
+def feedback_keys(feedback: DataFrame) -> DataFrame:
+    """The only thing the joins below move."""
+    return newest_keys(hashed_keys(feedback))
+
+
 def model_preference(model: str) -> list[Column]:
     """The requested model's record first, else the last model's."""
     return [(F.col("model_version") == model).desc(), F.col("model_version").desc()]
@@ -51,18 +64,9 @@ def upsert_cache(cache: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def cache_misses(keys: DataFrame, cache: DataFrame, model: str) -> DataFrame:
-    """Feedback rows whose text the model has not seen.
-
-    Decided once per distinct hash: counting per hash before the join takes hot
-    texts out of it, and the join back is salted.
-    """
+    """Feedback rows whose text the model has not seen."""
     known = cache.filter(F.col("model_version") == model).select("content_hash")
-    marked = known.withColumn("_known", F.lit(True))
-    return (
-        salted_left_join(keys, marked, "content_hash", "feedback_id")
-        .filter(F.col("_known").isNull())
-        .select(*keys.columns)
-    )
+    return keys.join(known, "content_hash", "left_anti").select(*keys.columns)
 
 
 def texts_to_enrich(keys: DataFrame, cache: DataFrame, model: str) -> DataFrame:
@@ -134,11 +138,8 @@ def batch_payloads(feedback: DataFrame, chosen: DataFrame, batch_size: int) -> D
     )
 
 
-def full_batches(n_rows: int, batch_size: int) -> int | None:
-    """Partitions that leave few batches short when there are few rows; None
-    (keep the scan's) when every partition has plenty."""
-    if n_rows > BROADCAST_ROWS:
-        return None
+def full_batches(n_rows: int, batch_size: int) -> int:
+    """Partitions of about eight batches, so that few batches are short."""
     return max(1, math.ceil(n_rows / (8 * batch_size)))
 
 
@@ -149,7 +150,9 @@ def run_enricher(
 
     Answers are matched to their batch by id, the last answer for an id wins;
     rows without an answer are simply missing and stay misses. An enricher that
-    returns None (out of quota) is not called again for its partition.
+    returns None (out of quota) is not called again for its partition. Write the
+    answers before they are read: every reading of this frame asks again, and so
+    does a task that Spark retries.
     """
     spread = texts.repartition(partitions, "feedback_id") if partitions else texts
     inputs, lists, answer_columns = ENRICHER_INPUT, LIST_COLUMNS, RAW_RECORD_SCHEMA.names
@@ -211,7 +214,7 @@ def normalize(raw: DataFrame, catalog: DataFrame) -> DataFrame:
         .withColumn("_valid", F.lit(True))
     )
     asked = raw.withColumn("_rid", F.nullif(strip(F.col("resolved_campaign_id")), F.lit("")))
-    checked = lookup_left_join(asked, valid, "_rid", "feedback_id")
+    checked = asked.join(valid, "_rid", "left")
     rid = F.when(F.col("_valid"), F.col("_rid")).otherwise(F.lit(""))
     clean = {
         "sentiment": F.when(F.col("sentiment").isin(SENTIMENTS), F.col("sentiment")).otherwise(
@@ -268,14 +271,10 @@ def assemble(
 
     With `previous`, a row whose record, text and producing model are the same
     as before keeps its old timestamp, so only real changes pass the watermark.
+    Of several previous rows with one id the newest counts.
     """
-    joined = salted_left_join(
-        keys,
-        cache.withColumn("_hit", F.lit(True)),
-        "content_hash",
-        "feedback_id",
-        best_first=model_preference(model),
-    )
+    best = best_records(cache, model).withColumn("_hit", F.lit(True))
+    joined = keys.join(best, "content_hash", "left")
     fallback = fallback_values()
     record = {
         c: F.when(F.col("_hit"), F.col(c)).otherwise(fallback[c]) for c in RECORD_COLUMNS
@@ -290,7 +289,8 @@ def assemble(
     if previous is None:
         return rows
     content = [*RECORD_COLUMNS, "model_version", "content_hash"]
-    old = previous.select(
+    newest = [F.col("_enriched_at").desc(), F.struct(*content).desc()]
+    old = first_per_key(previous, ["feedback_id"], newest).select(
         "feedback_id",
         F.struct(*content).alias("_old"),
         F.col("_enriched_at").alias("_old_at"),

@@ -1,12 +1,14 @@
-"""Joins that stay even when one key holds a large share of the rows."""
+"""Joins and rankings that stay even when one key holds a large share of the rows.
+
+Look-ups are plain left or anti joins against unique keys: the adaptive planner
+splits the partition of a hot key on the left side, however many hot keys there are.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BROADCAST_ROWS = 50_000
-HOT_KEYS = 1_000
-HOT_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -21,75 +23,6 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def _fingerprint(key: str) -> Column:
-    return F.xxhash64(key).alias("_fp")
-
-
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, limit: int = HOT_KEYS) -> DataFrame:
-    """Fingerprints of the largest key groups and the number of salts that cut
-    each to about min_rows rows; at most `limit` rows, safe to broadcast.
-
-    A key that is not listed holds fewer than min_rows rows or less than
-    1 / limit of the table, so its group fits an ordinary shuffle partition.
-    Counting 64-bit fingerprints, pre-aggregated, moves far less than the keys
-    would; two keys with the same fingerprint are merely spread together. NULL
-    has a fingerprint too.
-    """
-    return (
-        df.groupBy(_fingerprint(key))
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > min_rows)
-        .orderBy(F.desc("_n"), "_fp")
-        .limit(limit)
-        .select("_fp", F.ceil(F.col("_n") / min_rows).cast("int").alias("_salts"))
-    )
-
-
-def salted_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread_by: str,
-    best_first: list[Column] | None = None,
-    min_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """left LEFT JOIN right ON key; right has one row per key.
-
-    Rows of a hot key are spread by a hash of their row id over as many tasks
-    as the size of the group asks for, and only the right rows of hot keys are
-    repeated, once per salt. Rows without a key match nothing and are spread
-    the same way. Everything else is a plain shuffle.
-
-    With `best_first`, right may hold several rows per key and the first in
-    that order is taken; the ranking runs on the join's own shuffle.
-    """
-    on = [key, "_salt"]
-    hot = F.broadcast(hot_keys(left, key, min_rows))
-
-    def marked(df: DataFrame) -> DataFrame:
-        return df.withColumn("_fp", _fingerprint(key)).join(hot, "_fp", "left").drop("_fp")
-
-    salts = F.coalesce(F.col("_salts"), F.lit(1))
-    salted_left = marked(left).withColumn(
-        "_salt", F.pmod(F.xxhash64(spread_by), salts).cast("int")
-    )
-    salted_right = marked(right.filter(F.col(key).isNotNull())).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    )
-    if best_first:
-        salted_right = first_per_key(salted_right, on, best_first)
-    joined = salted_left.drop("_salts").join(salted_right.drop("_salts"), on, "left")
-    return joined.drop("_salt")
-
-
-def lookup_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
-    """Left join to a reference table: broadcast when it is small enough (one
-    bounded count decides), salted shuffle join beyond that."""
-    if fits_broadcast(right):
-        return left.join(F.broadcast(right), key, "left")
-    return salted_left_join(left, right, key, spread_by)
-
-
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child key values without a parent, with their row counts.
 

@@ -84,6 +84,16 @@ def unique_check(df: DataFrame, check: Check) -> DataFrame:
     return _report_rows(counted, [check])
 
 
+def keyed_checks(df: DataFrame, checks: list[Check], unique: Check) -> DataFrame:
+    """Row checks and one uniqueness check in one pass: failures are added up per
+    key on the way to counting the keys."""
+    counters = [F.expr(f"count_if({failure_sql(c)})").alias(f"n{i}") for i, c in enumerate(checks)]
+    per_key = df.groupBy(unique.column).agg(F.count("*").alias("_rows"), *counters)
+    totals = [F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(checks))]
+    repeated = F.count_if(F.col(unique.column).isNotNull() & (F.col("_rows") > 1)).alias(f"n{len(checks)}")
+    return _report_rows(per_key.agg(*totals, repeated), [*checks, unique])
+
+
 def relationship_check(df: DataFrame, check: Check, parent: DataFrame) -> DataFrame:
     counted = orphans(df, check.column, parent, check.parent_column).agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n0")
@@ -98,9 +108,12 @@ def quality_report(tables: dict[str, DataFrame], checks: list[Check]) -> DataFra
         mine = [c for c in checks if c.table == name]
         df = tables[name]
         simple = [c for c in mine if c.kind not in ("unique", "relationship")]
-        if simple:
+        unique = [c for c in mine if c.kind == "unique"]
+        if unique:
+            parts.append(keyed_checks(df, simple, unique[0]))
+        elif simple:
             parts.append(row_checks(df, simple))
-        parts += [unique_check(df, c) for c in mine if c.kind == "unique"]
+        parts += [unique_check(df, c) for c in unique[1:]]
         parts += [
             relationship_check(df, c, tables[c.parent]) for c in mine if c.kind == "relationship"
         ]

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import exact_avg, from_json_list, money_sum, ratio, sentiment_score, surrogate_key
-from ..schemas import SENTIMENTS
+from ..operators.joins import first_per_key
 from ..operators.staging import union_all
+from ..schemas import SENTIMENTS
 
+# The columns of the mart.
 SPEND_COLUMNS = [
     "surrogate_key", "date", "channel", "campaign_id", "campaign_name", "objective",
     "ad_set_id", "ad_set_name", "impressions", "clicks", "spend", "conversions",
     "conversion_value", "click_through_rate", "cost_per_conversion", "roas",
 ]
+# End of fixed values.
 
 
 def served(df: DataFrame) -> DataFrame:
@@ -79,7 +82,11 @@ def dim_campaigns(ad_spend: DataFrame) -> DataFrame:
 
 
 def fct_feedback(staged_enriched: DataFrame, staged_feedback: DataFrame) -> DataFrame:
-    cleaned = staged_feedback.select("feedback_id", "posted_date", "source_channel", "rating_value")
+    """One row per enriched id; of several staged rows with an id, the one loaded last."""
+    own = ["posted_date", "source_channel", "rating_value"]
+    newest = [F.col("_loaded_at").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in own]]
+    narrow = staged_feedback.select("feedback_id", *own, "_loaded_at")
+    cleaned = first_per_key(narrow, ["feedback_id"], newest).drop("_loaded_at")
     return staged_enriched.join(cleaned, "feedback_id", "left").select(
         "feedback_id",
         "posted_date",

@@ -1,8 +1,9 @@
 """Landing to marts in one call, as catalog tables.
 
-Tables that are rebuilt are written in full. The two that grow (feedback facts
-and enrichment history) are append-only logs with a view of their current rows,
-so a daily run costs the size of its increment.
+Tables that are rebuilt are written in full. Those that grow (hashed feedback
+keys, enriched rows, feedback facts, enrichment history) are append-only logs with
+a view of their current rows. A daily run reads the narrow keys and the cache, but
+hashes only texts loaded since the last run and writes only rows that changed.
 """
 
 from __future__ import annotations
@@ -15,14 +16,31 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import enrichment as enr
 from ..operators import history, incremental, quality, staging
-from ..schemas import AD_TABLES, ENRICHED_COLUMNS, SNAPSHOT_CHECKS
-from ..session import materialize, scratch_path
+from ..schemas import AD_TABLES, ENRICHED_COLUMNS, KEY_NULL_TOKEN, KEY_SEPARATOR, SNAPSHOT_CHECKS
+from ..session import clear_scratch, materialize, scratch_mark, scratch_path
 from ..sources import cache as cache_files
 from ..sources import landing
 from ..sources.tables import append_table, create_layers, export_marts, replace_table
 from . import checks, marts, views
 
 
+KEY_LOG, ENRICHED_LOG = "feedback_key_log", "feedback_enriched_log"
+BUCKET_BYTES = 256 << 20
+ROUND_BATCHES, MAX_ROUNDS = 20, 64
+HIGH_SPEND, TOP_THEMES = 10_000.0, 10
+
+
+def landed_bytes(spark: SparkSession, path: str) -> int:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(place).getLength() if files.exists(place) else 0
+
+
+def buckets_for(n_bytes: int) -> int:
+    """One bucket per BUCKET_BYTES."""
+    return max(1, -(-n_bytes // BUCKET_BYTES))
+
+
 @dataclass
 class Settings:
     landing_dir: str
@@ -30,13 +48,14 @@ class Settings:
     model: str
     run_ts: datetime
     prefix: str = ""
-    truncate: bool = False
+    truncate: bool | None = None  # replace Bronze; None: a run does, a load alone appends
     enricher: enr.Enricher | None = None  # None replays the cache only
     batch_size: int = 100
-    rounds: int = 1
+    rounds: int | None = None  # None: so many that a round is about twenty batches
     limit: int | None = None  # only the first rows by id, for a smoke run
     keep_cache: bool = True  # False: new records serve this run only
-    buckets: int = 32  # by feedback_id; size them to fit a task, 0 for none
+    buckets: int | None = None  # by feedback_id, 0 for none; None: from the bytes landed
+    compact_above: int = 1000  # cache files at which they are rewritten as few
     export_dir: str | None = None
     declared: list[quality.Check] = field(default_factory=lambda: checks.DECLARED)
 
@@ -49,7 +68,19 @@ class Run:
         self.new_records = (
             settings.cache_path if settings.keep_cache else scratch_path(spark, "new-records")
         )
-        self.by_feedback = (settings.buckets, "feedback_id") if settings.buckets else None
+        self.by_feedback = self._buckets()
+
+    def _buckets(self) -> tuple[int, str] | None:
+        """An existing table keeps its number of buckets; a new one gets one per
+        BUCKET_BYTES of landed feedback."""
+        n = self.s.buckets
+        if n is None and self.exists("raw", "customer_feedback"):
+            described = self.spark.sql(f"DESCRIBE EXTENDED {self.name('raw', 'customer_feedback')}")
+            found = described.filter("col_name = 'Num Buckets'").head()
+            n = int(found.data_type) if found else 0
+        if n is None:
+            n = buckets_for(landed_bytes(self.spark, f"{self.s.landing_dir}/customer_feedback.csv"))
+        return (n, "feedback_id") if n else None
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.db[layer]}.{table}"
@@ -62,11 +93,14 @@ class Run:
 
     # -- Bronze
 
-    def load(self) -> dict[str, int]:
+    def load(self, truncate: bool = False) -> dict[str, int]:
         inputs = landing.read_all(self.spark, self.s.landing_dir)
+        truncate = truncate if self.s.truncate is None else self.s.truncate
+        if truncate and self.exists("raw", KEY_LOG):
+            self.spark.sql(f"DROP TABLE {self.name('raw', KEY_LOG)}")
         return {
             t: landing.land(
-                df, self.name("raw", t), self.s.truncate,
+                df, self.name("raw", t), truncate,
                 self.by_feedback if t == "customer_feedback" else None,
             )
             for t, df in inputs.items()
@@ -84,25 +118,53 @@ class Run:
         catalog = staging.campaign_catalog(*[self.table("raw", t) for t in AD_TABLES])
         return materialize(catalog, "campaign-catalog")
 
-    def enrich(self) -> DataFrame:
+    def keys(self) -> DataFrame:
+        """(feedback_id, content_hash). Texts are hashed once: only Bronze rows newer
+        than the key log are read, and appended to it."""
         feedback = self.table("raw", "customer_feedback")
         if self.s.limit:
             feedback = feedback.orderBy("feedback_id").limit(self.s.limit)
-        keys = materialize(enr.feedback_keys(feedback), "feedback-keys")
-        if self.s.enricher:
+            return materialize(enr.feedback_keys(feedback), "feedback-keys")
+        if self.exists("raw", KEY_LOG):
+            feedback = incremental.newer_rows(feedback, self.table("raw", KEY_LOG), "_loaded_at")
+        append_table(enr.hashed_keys(feedback), self.name("raw", KEY_LOG), self.by_feedback)
+        return materialize(enr.newest_keys(self.table("raw", KEY_LOG)), "feedback-keys")
+
+    def enrich(self) -> dict[str, int]:
+        """Enrich unseen texts and log the rows that changed. The counts of hits and
+        misses are those before enriching, the outcomes those after it."""
+        keys = self.keys()
+        before = enr.run_summary(keys, self.cache(), self.s.model).head().asDict()
+        if self.s.enricher and before["to_enrich"]:
             enrich_in_rounds(
-                feedback, keys, self.cache, self.catalog(), self.s.model, self.s.enricher,
-                self.new_records, self.s.batch_size, self.s.rounds,
+                self.table("raw", "customer_feedback"), keys, self.cache, self.catalog(), self.s.model,
+                self.s.enricher, self.new_records, self.s.batch_size, self.s.rounds,
             )
-        cached = self.cache()
-        known = self.exists("raw", "feedback_enriched")
-        previous = self.table("raw", "feedback_enriched") if known else None
-        rows = enr.assemble(keys, cached, self.s.model, self.run_ts, previous)
-        # The table is read (previous) and replaced in one run: write the new
-        # rows out first, then replace.
-        rows = materialize(rows.select(*ENRICHED_COLUMNS), "feedback-enriched")
-        replace_table(rows, self.name("raw", "feedback_enriched"), bucket=self.by_feedback)
-        return enr.run_summary(keys, cached, self.s.model)
+        cached = materialize(self.cache(), "cache")
+        known = self.exists("raw", ENRICHED_LOG)
+        log = self.table("raw", ENRICHED_LOG) if known else None
+        last = log.agg(F.max("_enriched_at")).head()[0] if known else None
+        if last is not None and last >= self.s.run_ts:
+            raise ValueError(f"run_ts has to be later than the last run's, {last}")
+        rows = enr.assemble(keys, cached, self.s.model, self.run_ts, log)
+        if last is not None:
+            # The log is read and appended to in one run: write the new rows out first.
+            rows = materialize(rows.filter(F.col("_enriched_at") > F.lit(last)), "feedback-enriched")
+        append_table(rows.select(*ENRICHED_COLUMNS), self.name("raw", ENRICHED_LOG), self.by_feedback)
+        in_bronze = None if self.s.limit else self.name("raw", KEY_LOG)
+        self._current_view("raw", "feedback_enriched", ENRICHED_LOG, "_enriched_at", in_bronze)
+        after = enr.run_summary(keys, cached, self.s.model).head().asDict()
+        return {**after, "cache_hits": before["cache_hits"], "to_enrich": before["to_enrich"]}
+
+    def compact(self) -> None:
+        """Rewrite a cache of many files, and logs of many versions, as few rows."""
+        if cache_files.count_files(self.spark, self.s.cache_path) > self.s.compact_above:
+            cache_files.compact_cache(self.spark, self.s.cache_path)
+
+    def compact_log(self, layer: str, log: str, column: str) -> None:
+        """Keep the live version of each key. Not for the history, whose versions count."""
+        live = incremental.current_rows(self.table(layer, log), "feedback_id", column)
+        replace_table(materialize(live, "log-compacted"), self.name(layer, log), bucket=self.by_feedback)
 
     # -- Silver: lazy views over Bronze
 
@@ -142,14 +204,16 @@ class Run:
         )
         replace_table(performance, self.name("marts", "fct_campaign_performance"))
 
-    def _current_view(self, layer: str, view: str, log: str, column: str) -> None:
+    def _current_view(self, layer: str, view: str, log: str, column: str, of: str | None = None) -> None:
+        """The newest row per id; with `of`, of the ids that this table still has."""
         columns = ", ".join(self.table(layer, log).columns)
+        present = f"AND feedback_id IN (SELECT feedback_id FROM {of})" if of else ""
         self.spark.sql(f"""
             CREATE OR REPLACE VIEW {self.name(layer, view)} AS
             SELECT {columns} FROM (
               SELECT *, row_number() OVER (PARTITION BY feedback_id ORDER BY {column} DESC) AS n
               FROM {self.name(layer, log)})
-            WHERE n = 1""")
+            WHERE n = 1 {present}""")
 
     # -- history
 
@@ -162,6 +226,14 @@ class Run:
         else:
             rows = history.first_versions(source, "feedback_id", SNAPSHOT_CHECKS, self.run_ts)
         append_table(rows, self.name("snapshots", log), self.by_feedback)
+        token = KEY_NULL_TOKEN
+        parts = ", ".join(f"coalesce(cast({c} as string), '{token}')" for c in ("feedback_id", "valid_from"))
+        columns = ", ".join(["feedback_id", *SNAPSHOT_CHECKS, "valid_from"])
+        self.spark.sql(f"""
+            CREATE OR REPLACE VIEW {self.name("snapshots", "feedback_enrichment_snapshot")} AS
+            SELECT *, md5(concat_ws('{KEY_SEPARATOR}', {parts})) AS version_key, valid_to IS NULL AS is_current
+            FROM (SELECT {columns}, lead(valid_from) OVER (PARTITION BY feedback_id ORDER BY valid_from) AS valid_to
+                  FROM {self.name("snapshots", log)})""")
 
     def history(self) -> DataFrame:
         return history.with_validity(self.table("snapshots", "feedback_enrichment_log"))
@@ -189,8 +261,16 @@ class Run:
 def run_pipeline(spark: SparkSession, settings: Settings) -> dict:
     """Load, enrich, build, snapshot, check, export. Raises QualityError when a
     declared check fails; nothing is exported then."""
+    mark = scratch_mark()
+    try:
+        return _run_pipeline(spark, settings)
+    finally:
+        clear_scratch(spark, mark)
+
+
+def _run_pipeline(spark: SparkSession, settings: Settings) -> dict:
     run = Run(spark, settings)
-    loaded = run.load()
+    loaded = run.load(truncate=True)
     summary = run.enrich()
     staged = run.staged()
     run.build_spend(staged)
@@ -200,7 +280,9 @@ def run_pipeline(spark: SparkSession, settings: Settings) -> dict:
     exported = {}
     if settings.export_dir:
         exported = export_marts(spark, run.db["marts"], settings.export_dir)
-    return {"loaded": loaded, "summary": summary.head().asDict(), "exported": exported}
+    if settings.keep_cache:
+        run.compact()
+    return {"loaded": loaded, "summary": summary, "exported": exported}
 
 
 def enrich_in_rounds(
@@ -212,11 +294,18 @@ def enrich_in_rounds(
     enricher: enr.Enricher,
     cache_path: str,
     batch_size: int = 100,
-    rounds: int = 1,
+    rounds: int | None = None,
 ) -> None:
     """Enrich the misses in `rounds` slices of the hash space. Every slice is
     one distributed job whose records are in the cache before the next starts,
-    so a run that stops is resumed by running again: only misses are left."""
+    so a run that stops is resumed by running again: only misses are left.
+
+    Answers are written as they come, before anything else reads them, so no text
+    is sent twice by a later step. A task that Spark retries sends its texts again;
+    keep speculation off."""
+    if rounds is None:
+        n_misses = enr.texts_to_enrich(keys, read_cache(), model).count()
+        rounds = min(MAX_ROUNDS, max(1, -(-n_misses // (ROUND_BATCHES * batch_size))))
     for i in range(rounds):
         todo = enr.texts_to_enrich(keys, read_cache(), model)
         if rounds > 1:
@@ -227,16 +316,20 @@ def enrich_in_rounds(
             continue
         texts = enr.enricher_input(feedback, chosen)
         partitions = enr.full_batches(n_texts, batch_size)
-        answers = enr.run_enricher(texts, enricher, batch_size, partitions)
+        answers = materialize(enr.run_enricher(texts, enricher, batch_size, partitions), "answers")
         records = enr.new_cache_records(enr.normalize(answers, catalog), model)
         cache_files.append_cache(records, cache_path)
 
 
-def sentiment_page(run: Run) -> dict[str, DataFrame]:
-    """The customer-voice report views over the built marts."""
+def sentiment_page(run: Run, high_spend: float = HIGH_SPEND, k: int = TOP_THEMES, **slicers) -> dict[str, DataFrame]:
+    """The customer-voice report views over the built marts. `slicers` (date_from,
+    date_to, channels, campaigns) narrow every view of feedback rows."""
     performance = marts.served(run.table("marts", "fct_campaign_performance"))
-    facts, themes = run.table("marts", "fct_feedback"), run.table("marts", "fct_feedback_themes")
+    facts = views.slice_feedback(run.table("marts", "fct_feedback"), **slicers)
+    themes = run.table("marts", "fct_feedback_themes")
     return {
+        "spend_vs_sentiment": views.spend_vs_sentiment(performance, high_spend),
+        "top_themes": views.top_themes(themes, facts, k),
         "sentiment_mix": views.sentiment_mix(performance),
         "theme_counts": views.theme_counts(themes, facts),
         "language_split": views.language_split(facts),

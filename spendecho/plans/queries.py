@@ -6,7 +6,9 @@ inputs down. Keys are the names used for the result check.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,7 +22,9 @@ from ..sources import cache as cache_files
 from ..sources import landing
 from ..sources import sample_tables as sample
 from ..sources.sample_tables import ENRICHED_AT, MODEL, OLD_MODEL, ntz
+from ..sources.tables import create_layers, export_marts, replace_table
 from . import checks, marts, views
+from .pipeline import enrich_in_rounds
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -121,6 +125,56 @@ def cache_files_round_trip(spark, sf):
     return _json_lists(cache_files.read_cache(spark, path))
 
 
+@query
+def bronze_mixed_headers(spark, sf):
+    """Ad files of one folder with their columns in two orders, read by name."""
+    dataset = landing.DATASETS["google_ads"]
+    rows, names = sample.ads(spark, sf, "google_ads"), dataset.schema.names
+    path = scratch_path(spark, "mixed-headers")
+    even = F.pmod(F.xxhash64("ad_set_id", "date"), F.lit(2)) == 0
+    for mode, columns, half in (("error", names, rows.filter(even)), ("append", names[::-1], rows.filter(~even))):
+        half.select(*columns).write.mode(mode).csv(
+            path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
+    return marts.served(landing.read_csv(spark, path, dataset))
+
+
+@contextmanager
+def _layers(spark: SparkSession) -> Iterator[dict[str, str]]:
+    """The four databases under a name of their own; dropped at the end, so what a
+    query returns is written elsewhere first."""
+    names = create_layers(spark, f"q{uuid.uuid4().hex}_")
+    try:
+        yield names
+    finally:
+        for name in names.values():
+            spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@query
+def bronze_loads(spark, sf):
+    """Rows landed and rows there after a load, an append of the same, and a replacement."""
+    rows = sample.feedback(spark, sf).drop("_loaded_at")
+    with _layers(spark) as db:
+        table, seen = f"{db['raw']}.customer_feedback", []
+        for step, truncate in enumerate((False, False, True)):
+            landed = landing.land(rows, table, truncate)
+            seen.append((step, landed, spark.table(table).filter(F.col("_loaded_at").isNotNull()).count()))
+    return spark.createDataFrame(seen, "step int, landed long, there long")
+
+
+@query
+def mart_export(spark, sf):
+    """A mart as a catalog table partitioned by month, exported to Parquet and read back."""
+    daily = marts.fct_channel_daily(_ad_spend(spark, sf))
+    path = scratch_path(spark, "export")
+    with _layers(spark) as db:
+        by_month = daily.withColumn("month", F.date_format("date", "yyyy-MM"))
+        replace_table(by_month, f"{db['marts']}.fct_channel_daily", partition_by="month")
+        export_marts(spark, db["marts"], path, ["fct_channel_daily"])
+    return spark.read.parquet(f"{path}/fct_channel_daily")
+
+
 # --- Silver ---------------------------------------------------------------------
 
 
@@ -158,6 +212,13 @@ def rating_parse(spark, sf):
     return rows.select("feedback_id", parse_rating(F.col("rating")).alias("rating_value"))
 
 
+@query
+def staged_view(spark, sf):
+    """Silver as a session view, read by SQL."""
+    _staged_feedback(spark, sf).createOrReplaceTempView("stg_customer_feedback")
+    return spark.sql("SELECT source_channel, rating_value, count(*) AS n FROM stg_customer_feedback GROUP BY ALL")
+
+
 @query
 def stg_feedback_enriched(spark, sf):
     return _staged_enriched(spark, sf)
@@ -213,6 +274,12 @@ def catalog_lines(spark, sf):
     return views.catalog_lines(staging.campaign_catalog(sample.ads(spark, sf)))
 
 
+@query
+def catalog_pages(spark, sf):
+    """All lines in numbered pages of four lines."""
+    return views.catalog_pages(_catalog(spark, sf), 4)
+
+
 @query
 def catalog_text(spark, sf):
     return views.catalog_text(_catalog(spark, sf))
@@ -264,7 +331,9 @@ def _new_records(spark: SparkSession, sf: str, keys: DataFrame, cached: DataFram
     chosen = materialize(enr.texts_to_enrich(keys, cached, MODEL), "texts-to-enrich")
     texts = enr.enricher_input(sample.feedback(spark, sf), chosen)
     partitions = enr.full_batches(chosen.count(), BATCH_SIZE)
-    answers = enr.run_enricher(texts, sample.rule_enricher(), BATCH_SIZE, partitions)
+    answers = materialize(
+        enr.run_enricher(texts, sample.rule_enricher(), BATCH_SIZE, partitions), "answers"
+    )
     clean = enr.normalize(answers, _catalog(spark, sf))
     return enr.new_cache_records(clean, MODEL)
 
@@ -303,6 +372,48 @@ def enrich_carry_forward(spark, sf):
     return after.select("feedback_id", "model_version", "content_hash", "_enriched_at")
 
 
+@query
+def enrich_rerun_duplicates(spark, sf):
+    """Bronze appended three times, and a run after each: one row per id, unchanged."""
+    once = sample.feedback(spark, sf)
+    days = ["2025-01-02 00:00:00", "2025-01-03 00:00:00", "2025-01-04 00:00:00"]
+    bronze = staging.union_all(*[once.withColumn("_loaded_at", ntz(day)) for day in days])
+    keys = materialize(enr.feedback_keys(bronze), "feedback-keys")
+    cached = sample.cache(spark, sf, sample.keys(spark, sf))
+    log = materialize(enr.assemble(keys, cached, MODEL, ntz(days[0])), "enriched-log")
+    for day in days[1:]:
+        again = enr.assemble(keys, cached, MODEL, ntz(day), previous=log.unionByName(log))
+        log = materialize(again, "enriched-log")
+    return log
+
+
+@query
+def enrich_resumed(spark, sf):
+    """A run that stops after one of three rounds, and the next, which takes the rest."""
+    keys, catalog = sample.keys(spark, sf), _catalog(spark, sf)
+    cached = sample.cache(spark, sf, keys)
+    path, feedback = scratch_path(spark, "cache"), sample.feedback(spark, sf)
+
+    def known():
+        return enr.upsert_cache(cached, cache_files.read_cache(spark, path))
+
+    class Stopped(Exception):
+        pass
+
+    calls = []
+
+    def stopping():
+        calls.append(1)
+        if len(calls) > 1:
+            raise Stopped
+        return known()
+
+    with suppress(Stopped):
+        enrich_in_rounds(feedback, keys, stopping, catalog, MODEL, sample.rule_enricher(), path, BATCH_SIZE, 3)
+    enrich_in_rounds(feedback, keys, known, catalog, MODEL, sample.rule_enricher(), path, BATCH_SIZE, 3)
+    return _json_lists(cache_files.read_cache(spark, path))
+
+
 @query
 def enrich_summary(spark, sf):
     keys = sample.keys(spark, sf)
@@ -457,7 +568,7 @@ def declared_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     feedback, enriched = sample.feedback(spark, sf), _enriched_table(spark, sf)
     staged_feedback = staging.stage_feedback(feedback)
     staged_enriched = staging.stage_enriched(enriched)
-    spend = marts.fct_ad_spend(*staged_ads.values())
+    spend = materialize(marts.fct_ad_spend(*staged_ads.values()), "ad-spend")
     summary = materialize(marts.fct_campaign_summary(spend), "campaign-summary")
     facts = materialize(marts.fct_feedback(staged_enriched, staged_feedback), "feedback-facts")
     return {
@@ -492,6 +603,24 @@ def precision_gate(spark, sf):
     return quality.precision_failures(_facts(spark, sf), _staged_feedback(spark, sf))
 
 
+@query
+def precision_gate_strict(spark, sf):
+    """The same gate above any precision: the row by which it blocks."""
+    return quality.precision_failures(_facts(spark, sf), _staged_feedback(spark, sf), gate=1.01)
+
+
+@query
+def dq_failures(spark, sf):
+    """What stops a build: rows for checks that fail, here on facts with bad values."""
+    facts = _facts(spark, sf).withColumns({
+        "sentiment": F.when(F.col("language") == "fr", "angry").otherwise(F.col("sentiment")),
+        "resolution_confidence": F.col("resolution_confidence") + F.when(F.col("language") == "de", 150.0).otherwise(0.0),
+    })
+    facts = materialize(facts.unionByName(facts.filter("language = 'es'")), "feedback-facts")
+    mine = [c for c in checks.DECLARED if c.table == "marts.fct_feedback" and c.kind != "relationship"]
+    return quality.quality_report({"marts.fct_feedback": facts}, mine).filter("n_failed > 0")
+
+
 @query
 def resolution_quality(spark, sf):
     return quality.resolution_quality(
@@ -528,6 +657,15 @@ def sentiment_mix(spark, sf):
     return views.sentiment_mix(_performance(spark, sf))
 
 
+@query
+def sentiment_mix_sliced(spark, sf):
+    """Feedback by campaign and sentiment over a date and channel slice."""
+    facts = views.slice_feedback(
+        _facts(spark, sf), date(2024, 2, 1), date(2024, 9, 30), channels=["meta", "tiktok"]
+    )
+    return facts.groupBy("resolved_campaign_id", "sentiment").agg(F.count("*").alias("n_feedback"))
+
+
 def _theme_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     staged = staging.stage_enriched(_enriched_table(spark, sf))
     return marts.fct_feedback_themes(staged), marts.fct_feedback(staged, _staged_feedback(spark, sf))
@@ -569,7 +707,7 @@ def channel_trend_sliced(spark, sf):
 def campaign_kpis_sliced(spark, sf):
     """Lifetime figures over a date slice: the slice reaches the scan."""
     spend = views.slice_rows(
-        _ad_spend(spark, sf), SLICE_FROM, SLICE_TO, campaigns=["META_001", "TKTK_003"]
+        _ad_spend(spark, sf), SLICE_FROM, SLICE_TO, campaigns=["mt-c1", "tk-c3"]
     )
     return marts.served(marts.fct_campaign_summary(spend))
 

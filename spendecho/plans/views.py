@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import exact_avg, ratio
 from ..schemas import SENTIMENTS
+from ..session import materialize
+
+PAGE_LINES = 10_000
 
 
 def slice_rows(
@@ -34,6 +37,19 @@ def slice_rows(
     return df
 
 
+def slice_feedback(
+    facts: DataFrame,
+    date_from: date | None = None,
+    date_to: date | None = None,
+    channels: list[str] | None = None,
+    campaigns: list[str] | None = None,
+) -> DataFrame:
+    """The same slicers on feedback facts, by their date, channel and campaign."""
+    names = {"date": "posted_date", "channel": "source_channel", "campaign_id": "resolved_campaign_id"}
+    sliced = facts.withColumns({new: F.col(old) for new, old in names.items()})
+    return slice_rows(sliced, date_from, date_to, channels, campaigns).select(*facts.columns)
+
+
 def spend_vs_sentiment(performance: DataFrame, high_spend: float) -> DataFrame:
     """Per campaign: spend, net sentiment, volume; flags costly and disliked."""
     flagged = (F.col("total_spend") >= F.lit(high_spend)) & (F.col("net_sentiment_score") < 0)
@@ -123,12 +139,28 @@ def catalog_lines(catalog: DataFrame) -> DataFrame:
     return catalog.select("campaign_id", F.concat(F.lit("  - "), line).alias("line"))
 
 
-def catalog_text(catalog: DataFrame, max_campaigns: int = 10_000) -> DataFrame:
-    """All lines in one text. A prompt has to fit a context window, so a larger
-    catalog is refused rather than cut; `catalog_lines` has no limit."""
-    if catalog.limit(max_campaigns + 1).count() > max_campaigns:
-        raise ValueError(f"catalog has more than {max_campaigns} campaigns; use catalog_lines")
-    items = F.array_sort(F.collect_list(F.struct("campaign_id", "line")))
-    return catalog_lines(catalog).agg(
-        F.array_join(F.transform(items, lambda i: i["line"]), "\n").alias("catalog_text")
+def catalog_pages(catalog: DataFrame, lines_per_page: int = PAGE_LINES) -> DataFrame:
+    """(page, n_lines, page_text): the lines in id order, `lines_per_page` to a page,
+    every line on one page. Pages joined by line breaks are the whole catalog.
+
+    Lines are numbered by a range sort: each partition numbers its own rows, and
+    one row per partition carries the offsets."""
+    lines = materialize(
+        catalog_lines(catalog).orderBy("campaign_id", "line").withColumn("_part", F.spark_partition_id()),
+        "catalog-lines",
+    )
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = lines.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy("campaign_id", "line"))
+    numbered = lines.withColumn("_line", inside).join(offsets, "_part").withColumn("_line", F.col("_before") + F.col("_line") - 1)
+    items = F.array_sort(F.collect_list(F.struct("_line", "line")))
+    return numbered.groupBy(F.floor(F.col("_line") / lines_per_page).cast("int").alias("page")).agg(
+        F.count("*").alias("n_lines"), F.array_join(F.transform(items, lambda i: i["line"]), "\n").alias("page_text")
+    )
+
+
+def catalog_text(catalog: DataFrame, page: int = 0, lines_per_page: int = PAGE_LINES) -> DataFrame:
+    """The text of one page; a caller joins the pages that its prompt has room for."""
+    return catalog_pages(catalog, lines_per_page).filter(F.col("page") == page).select(F.col("page_text").alias("catalog_text"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MADE: list[str] = []
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -27,19 +28,30 @@ def build_session(app: str = "spendecho", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in local mode."""
+    """The cluster's checkpoint folder, else the warehouse: both are shared."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="spendecho-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/spendecho/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/spendecho/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """For `clear_scratch`: what is made from now on."""
+    return len(_MADE)
+
+
+def clear_scratch(spark: SparkSession, mark: int = 0) -> None:
+    """Remove the scratch folders that this driver made after `mark`. Call it when
+    nothing reads them any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in _MADE[mark:]:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    del _MADE[mark:]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -2,45 +2,70 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.joins import first_per_key
 from ..schemas import CACHE_SCHEMA
+from ..session import materialize
 
 KEY = ["content_hash", "model_version"]
+#: When a record was written, in microseconds of the writing driver's clock.
+SEQUENCE = "written_at"
+FILE_SCHEMA = T.StructType([*CACHE_SCHEMA.fields, T.StructField(SEQUENCE, T.LongType())])
 
 
-def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """One record per key; of several, the one that was written last (newest
-    file, then position in the file) wins. Blank lines have no key; a cache
-    that does not exist yet is empty."""
+def read_versions(spark: SparkSession, path: str) -> DataFrame:
+    """One record per key, with its write sequence: the greatest sequence wins, in
+    files without one the position (newest file, then place in the file). Blank
+    lines have no key; a cache that does not exist yet is empty."""
     try:
-        lines = spark.read.schema(CACHE_SCHEMA).json(path)
+        lines = spark.read.schema(FILE_SCHEMA).json(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], CACHE_SCHEMA)
+        return spark.createDataFrame([], FILE_SCHEMA)
     placed = lines.select(
-        *CACHE_SCHEMA.names,
+        *FILE_SCHEMA.names,
         F.col("_metadata.file_modification_time").alias("_t"),
         F.col("_metadata.file_path").alias("_f"),
         F.col("_metadata.file_block_start").alias("_b"),
         F.monotonically_increasing_id().alias("_i"),
     ).filter(F.col("content_hash").isNotNull() & F.col("model_version").isNotNull())
-    newest = [F.col(c).desc() for c in ("_t", "_f", "_b", "_i")]
-    return first_per_key(placed, KEY, newest).select(*CACHE_SCHEMA.names)
+    newest = [F.col(SEQUENCE).desc_nulls_last(), *[F.col(c).desc() for c in ("_t", "_f", "_b", "_i")]]
+    return first_per_key(placed, KEY, newest).select(*FILE_SCHEMA.names)
+
+
+def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    return read_versions(spark, path).select(*CACHE_SCHEMA.names)
+
+
+def _write(records: DataFrame, path: str, mode: str) -> None:
+    records.select(*sorted(records.columns)).write.mode(mode).json(path, ignoreNullFields=False)
 
 
 def write_cache(cache: DataFrame, path: str) -> None:
     """Replace the cache: rows in key order, fields in name order."""
-    cache.select(*sorted(CACHE_SCHEMA.names)).orderBy(*KEY).write.mode("overwrite").json(
-        path, ignoreNullFields=False
-    )
+    _write(cache.orderBy(*KEY), path, "overwrite")
 
 
-def append_cache(records: DataFrame, path: str) -> None:
+def append_cache(records: DataFrame, path: str, sequence: int | None = None) -> None:
     """Add records as new files: a checkpoint that a rerun resumes from."""
-    records.select(*sorted(CACHE_SCHEMA.names)).write.mode("append").json(
-        path, ignoreNullFields=False
-    )
+    at = time.time_ns() // 1000 if sequence is None else sequence
+    _write(records.select(*CACHE_SCHEMA.names, F.lit(at).cast("long").alias(SEQUENCE)), path, "append")
+
+
+def count_files(spark: SparkSession, path: str) -> int:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(place).getFileCount() if files.exists(place) else 0
+
+
+def compact_cache(spark: SparkSession, path: str) -> None:
+    """Keep one record per key, sorted, in few files. The kept records are written
+    elsewhere first, so a failure leaves the old files or all of the new ones to
+    write again."""
+    kept = materialize(read_versions(spark, path), "cache-compacted")
+    write_cache(kept, path)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -31,26 +33,49 @@ DATASETS = {
 }
 
 
+def _columns(line: str) -> tuple[str, ...]:
+    return tuple(next(csv.reader([line.rstrip("\r").removeprefix("\ufeff")]), ()))
+
+
+def header_groups(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by the order of their columns, from the first line of each that is not blank."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("i"), "value",
+    )
+    first = lines.filter((F.col("at") == 0) & (F.trim("value") != "")).groupBy("file").agg(F.min_by("value", "i").alias("line"))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in first.collect():  # one row per file
+        groups.setdefault(_columns(row.line), []).append(row.file)
+    return groups
+
+
 def read_csv(
     spark: SparkSession, path: str, dataset: Dataset, null_tokens: tuple[str, ...] = NULL_TOKENS
 ) -> DataFrame:
-    """Columns by header name, cast to the declared types.
+    """Columns by header name, cast to the declared types. Files of one folder may
+    have their columns in different orders; each order is read on its own.
 
     A missing path fails here, before anything is written. A malformed row or a
     bad number fails the job. Free text may hold line breaks, so those files
     are read whole per file: land them as many files, not one.
     """
     # With column pruning the parser would let a row with too few fields pass.
-    raw = spark.read.option("columnPruning", False).csv(
-        path, header=True, sep=",", quote='"', escape='"', mode="FAILFAST",
-        multiLine=dataset.text_only,
-    )
+    reader = spark.read.option("columnPruning", False)
+    groups = [files for _, files in sorted(header_groups(spark, path).items())] or [path]
 
     def value(field: T.StructField):
         c = F.col(field.name)
         return F.when(~c.isin(list(null_tokens)), c).cast(field.dataType).alias(field.name)
 
-    return raw.select(*[value(f) for f in dataset.schema])
+    parts = [
+        reader.csv(
+            files, header=True, sep=",", quote='"', escape='"', mode="FAILFAST",
+            multiLine=dataset.text_only, enforceSchema=False,
+        ).select(*[value(f) for f in dataset.schema])
+        for files in groups
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def with_load_time(df: DataFrame) -> DataFrame:

@@ -57,10 +57,12 @@ def append_table(df: DataFrame, table: str, bucket: Bucket | None = None) -> Non
     save(df, table, "append", bucket=bucket)
 
 
-def export_marts(spark: SparkSession, marts: str, folder: str) -> dict[str, int]:
+def export_marts(
+    spark: SparkSession, marts: str, folder: str, names: list[str] = GOLD_TABLES
+) -> dict[str, int]:
     """Each mart as a Parquet dataset, with its row count from the write."""
     counts = {}
-    for name in GOLD_TABLES:
+    for name in names:
         seen = Observation()
         rows = served(spark.table(f"{marts}.{name}")).drop("month")
         df = rows.observe(seen, F.count(F.lit(1)).alias("rows"))

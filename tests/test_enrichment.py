@@ -10,7 +10,7 @@ from spendecho.sources.sample_tables import ntz
 TS = "2025-01-02 00:00:00"
 
 
-def record(h, model, sentiment="positive", rid="META_001", themes=("price",)):
+def record(h, model, sentiment="positive", rid="mt-c1", themes=("price",)):
     return (h, model, sentiment, 0.9, list(themes), ["p"], [], "en", "ref", rid, 0.8)
 
 
@@ -31,7 +31,7 @@ def raw(spark, **fields):
     base = dict(
         feedback_id="FB_1", sentiment="positive", sentiment_confidence="0.5", themes=["price"],
         product_mentions=["a"], competitor_mentions=[], language="en", campaign_reference="ad",
-        resolved_campaign_id="META_001", resolution_confidence="0.7",
+        resolved_campaign_id="mt-c1", resolution_confidence="0.7",
     )
     base.update(fields)
     return spark.createDataFrame([tuple(base[c] for c in RAW_RECORD_SCHEMA.names)], RAW_RECORD_SCHEMA)
@@ -44,9 +44,9 @@ BAD = [
     ({"themes": []}, "themes", ["other"]),
     ({"themes": None}, "themes", ["other"]),
     ({"themes": ["bogus"]}, "themes", ["other"]),
-    ({"resolved_campaign_id": "META_999"}, "resolved_campaign_id", ""),
-    ({"resolved_campaign_id": "META_999"}, "resolution_confidence", 0.0),
-    ({"resolved_campaign_id": " META_001 "}, "resolved_campaign_id", "META_001"),
+    ({"resolved_campaign_id": "mt-c99"}, "resolved_campaign_id", ""),
+    ({"resolved_campaign_id": "mt-c99"}, "resolution_confidence", 0.0),
+    ({"resolved_campaign_id": " mt-c1 "}, "resolved_campaign_id", "mt-c1"),
     ({"resolved_campaign_id": None}, "resolved_campaign_id", ""),
     ({"sentiment_confidence": "-1"}, "sentiment_confidence", 0.0),
     ({"sentiment_confidence": "2"}, "sentiment_confidence", 1.0),
@@ -64,16 +64,24 @@ BAD = [
 
 @pytest.mark.parametrize("fields,column,expected", BAD)
 def test_normalize(spark, fields, column, expected):
-    got = enr.normalize(raw(spark, **fields), catalog_of(spark, "META_001", "META_002")).head()
+    got = enr.normalize(raw(spark, **fields), catalog_of(spark, "mt-c1", "mt-c2")).head()
     assert got[column] == expected
 
 
-def test_normalize_without_broadcast(spark, monkeypatch):
-    from spendecho.operators import joins
-
-    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
-    got = enr.normalize(raw(spark), catalog_of(spark, "META_001")).head()
-    assert got.resolved_campaign_id == "META_001" and got.resolution_confidence == 0.7
+def test_duplicate_ids_stay_one_row(spark):
+    """Bronze appended three times: one key per id, and one row however often it runs."""
+    once = feedback_of(spark, 3)
+    bronze = once.withColumn("_loaded_at", ntz("2025-01-01 00:00:00")).unionByName(
+        once.withColumn("_loaded_at", ntz("2025-01-03 00:00:00")).withColumn("review_text", F.lit("new text"))
+    ).unionByName(once.withColumn("_loaded_at", ntz("2025-01-02 00:00:00")))
+    keys = enr.feedback_keys(bronze)
+    newest = enr.feedback_keys(once.withColumn("review_text", F.lit("new text")))
+    assert sorted(keys.collect()) == sorted(newest.collect()) and keys.count() == 3
+    rows = None
+    for day in (2, 3, 4):
+        again = enr.assemble(keys, cache_of(spark), "m", ntz(f"2025-01-0{day} 00:00:00"), rows)
+        rows = again if rows is None else rows.unionByName(again)
+        assert again.count() == 3
 
 
 def test_best_record_prefers_model_then_last(spark):
@@ -130,7 +138,7 @@ def feedback_of(spark, n):
         F.when(F.col("id") % 2 == 0, "5").alias("rating"),
         F.concat(F.lit("text \"é\" "), "id").alias("review_text"),
         F.lit("x").alias("author"),
-        F.lit("META_001").alias("true_campaign_id"),
+        F.lit("mt-c1").alias("true_campaign_id"),
     )
 
 
@@ -192,8 +200,7 @@ def test_batch_payloads(spark):
 
 def test_batch_sizes():
     assert [enr.bucket_digits(n, 100) for n in (0, 160_000, 160_001, 10**9)] == [1, 1, 2, 5]
-    assert enr.full_batches(1500, 100) == 2
-    assert enr.full_batches(10**6, 100) is None
+    assert [enr.full_batches(n, 100) for n in (0, 1500, 10**6)] == [1, 2, 1250]
 
 
 def test_few_rows_fill_their_batches(spark):

@@ -26,59 +26,28 @@ def rows(df):
     return sorted((r.row_id, r.k or "", r.id if r.id is not None else -1) for r in df.collect())
 
 
-@pytest.mark.parametrize("min_rows", [1, 2, 100, 10**9])
-def test_salted_join_equals_plain_join(spark, min_rows):
-    left, right = skewed(spark), lookup(spark)
-    got = joins.salted_left_join(left, right, "k", "row_id", min_rows=min_rows)
-    assert rows(got) == rows(left.join(right, "k", "left"))
-
-
-def test_hot_key_is_spread(spark):
-    """With salts, no task of the join gets the whole hot group."""
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_hot_key_of_a_lookup_is_split(spark):
+    """The adaptive planner cuts the hot partition of a plain left join; no row is lost."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
-        got = joins.salted_left_join(skewed(spark), lookup(spark), "k", "row_id", min_rows=20)
-        plain = skewed(spark).join(lookup(spark), "k", "left")
-        salted, unsalted = (
-            [r["count"] for r in
-             df.filter(F.col("k") == "hot").groupBy(F.spark_partition_id()).count().collect()]
-            for df in (got, plain)
-        )
+        left = skewed(spark, 20_000).repartition(8)
+        got = left.join(lookup(spark), "k", "left")
+        assert got.count() == 20_000
+        joined = got.collect()
+        plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
-    assert unsalted == [1000]
-    assert sum(salted) == 1000 and len(salted) == 4 and max(salted) < 500
-
-
-def test_salted_join_takes_the_best_row(spark):
-    right = spark.createDataFrame(
-        [("hot", 1, "b"), ("hot", 2, "a"), ("k1", 3, "a"), ("k1", 4, "z")], "k string, id long, o string"
-    )
-    got = joins.salted_left_join(
-        skewed(spark), right, "k", "row_id", best_first=[F.col("o").desc()], min_rows=100
-    ).select("row_id", "k", "id")
-    best = {"hot": 1, "k1": 4}
-    assert all(r.id == best.get(r.k) for r in got.collect())
-    assert got.count() == 3000
-
-
-def test_hot_keys_are_bounded_and_hold_the_largest(spark):
-    df = skewed(spark)
-    got = {r._fp: r._salts for r in joins.hot_keys(df, "k", min_rows=2, limit=3).collect()}
-    assert len(got) == 3
-    assert got[df.filter("k = 'hot'").select(F.xxhash64("k")).head()[0]] == 500
-    assert joins.hot_keys(df, "k", min_rows=1000).count() == 0
-
-
-def test_lookup_join_both_ways(spark, monkeypatch):
-    left, right = skewed(spark), lookup(spark)
-    small = rows(joins.lookup_left_join(left, right, "k", "row_id"))
-    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
-    assert rows(joins.lookup_left_join(left, right, "k", "row_id")) == small
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan or "skewed" in plan, plan
+    assert sum(r.k == "hot" and r.id == 9999 for r in joined) == 6667
 
 
 def test_fits_broadcast(spark):

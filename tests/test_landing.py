@@ -1,10 +1,11 @@
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
 
-from spendecho.plans.views import catalog_lines, catalog_text, slice_rows
+from spendecho.plans.views import catalog_lines, catalog_pages, catalog_text, slice_rows
 from spendecho.schemas import CACHE_SCHEMA
 from spendecho.sources import cache as cache_files
 from spendecho.sources import landing
@@ -44,7 +45,7 @@ def test_bad_number_and_short_row_abort(spark, tmp_path):
 def test_feedback_stays_text(spark, tmp_path):
     path = write(tmp_path, "fb.csv", FB_HEADER + (
         'FB_1,  2024-03-05 ,FB,4.0,"line one\nline ""two"", é 🙂",,\n'
-        "FB_2,,NULL,★★★☆☆,007,—,META_001\n"
+        "FB_2,,NULL,★★★☆☆,007,—,mt-c1\n"
     ))
     a, b = landing.read_csv(spark, path, landing.DATASETS["customer_feedback"]).orderBy("feedback_id").collect()
     assert a.posted_at == "  2024-03-05 " and a.rating == "4.0"
@@ -104,9 +105,42 @@ def test_catalog_text(spark):
     assert catalog_text(catalog).head().catalog_text == (
         "  - A | a | tiktok | awareness\n  - B | b | meta | traffic"
     )
-    with pytest.raises(ValueError, match="more than 1"):
-        catalog_text(catalog, max_campaigns=1)
     assert catalog_lines(catalog).count() == 2
+    pages = sorted(catalog_pages(catalog.union(catalog), lines_per_page=3).collect())
+    assert [(r.page, r.n_lines) for r in pages] == [(0, 3), (1, 1)]
+    assert "\n".join(r.page_text for r in pages).count("  - A | a") == 2
+
+
+def test_header_orders_of_one_folder(spark, tmp_path):
+    """Files with their columns in another order bind by name."""
+    folder = tmp_path / "ads"
+    folder.mkdir()
+    (folder / "a.csv").write_text(AD_HEADER + "USD,2024-01-02,meta,M1,S,traffic,A1,s,1000,10,1.00,3,9.90,1.2340,z\n")
+    swapped = AD_HEADER.replace("clicks,spend,conversions", "conversions,spend,clicks")
+    (folder / "b.csv").write_text(swapped + "USD,2024-01-03,meta,M1,S,traffic,A1,s,1000,3,1.00,10,9.90,1.2340,z\n")
+    got = landing.read_csv(spark, str(folder), landing.DATASETS["meta_ads"]).orderBy("date").collect()
+    assert [(r.clicks, r.conversions) for r in got] == [(10, 3), (10, 3)]
+    notes = tmp_path / "notes"
+    notes.mkdir()
+    (notes / "a.csv").write_text(FB_HEADER + 'F1,2024-01-02,FB,5,"two\nlines, here",x,\n')
+    (notes / "b.csv").write_text("feedback_id,source,posted_at,rating,review_text,author,true_campaign_id\nF2,IG,2024-01-03,4,t,x,\n")
+    got = landing.read_csv(spark, str(notes), landing.DATASETS["customer_feedback"]).orderBy("feedback_id").collect()
+    assert [(r.source, r.posted_at) for r in got] == [("FB", "2024-01-02"), ("IG", "2024-01-03")]
+
+
+def test_write_sequence_decides(spark, tmp_path):
+    """Neither file times nor names: the later sequence wins, and compacting keeps it."""
+    path = str(tmp_path / "cache")
+    for sequence, sentiment in ((7, "mixed"), (5, "neutral"), (6, "negative")):
+        cache_files.append_cache(spark.createDataFrame([record("h1", "m1", sentiment)], CACHE_SCHEMA), path, sequence)
+    for f in (tmp_path / "cache").glob("part-*"):
+        os.utime(f, (10**9, 10**9))
+    assert [r.sentiment for r in cache_files.read_cache(spark, path).collect()] == ["mixed"]
+    assert cache_files.count_files(spark, path) >= 3
+    cache_files.compact_cache(spark, path)
+    assert [r.sentiment for r in cache_files.read_cache(spark, path).collect()] == ["mixed"]
+    cache_files.append_cache(spark.createDataFrame([record("h1", "m1", "neutral")], CACHE_SCHEMA), path, 6)
+    assert [r.sentiment for r in cache_files.read_cache(spark, path).collect()] == ["mixed"]
 
 
 def test_slices_prune_month_partitions(spark, tmp_path):

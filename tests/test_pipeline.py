@@ -8,19 +8,19 @@ from spendecho.operators.quality import QualityError
 from spendecho.plans import checks, marts, pipeline
 from spendecho.schemas import AD_SCHEMA, FEEDBACK_SCHEMA, GOLD_TABLES
 
-PLATFORMS = {"meta": "META", "google_ads": "GOOG", "tiktok": "TKTK"}
+PLATFORMS = {"meta": "mt", "google_ads": "gg", "tiktok": "tk"}
 
 
 def ad_rows(channel, prefix):
     for day, c, a in itertools.product(range(1, 41), (1, 2), (1, 2)):
         date = dt.date(2024, 1, 1) + dt.timedelta(days=day)
-        yield [date, channel, f"{prefix}_00{c}", f"{channel} — {c}", "traffic", f"AS_{prefix[0]}{c}{a}", "s & t",
+        yield [date, channel, f"{prefix}-c{c}", f"{channel} — {c}", "traffic", f"{prefix}-set-{c}{a}", "s & t",
                0 if day % 10 == 0 else 100 * day, day, f"{10 + day}.25", day % 3, f"{20 * day}.10", "0.5000", "USD"]
 
 
 def feedback_rows(first, last):
     for i in range(first, last):
-        campaign = f"{list(PLATFORMS.values())[i % 3]}_00{i % 2 + 1}" if i % 4 else ""
+        campaign = f"{list(PLATFORMS.values())[i % 3]}-c{i % 2 + 1}" if i % 4 else ""
         text = f"I saw {campaign or 'nothing'}, \"number\" {i % 40}\nsecond line"
         yield [f"FB_{i:06d}", ["2024-03-05", "3/5/24", "soon", ""][i % 4], ["FB", "GMB", "tt", "Yotpo"][i % 4],
                ["5", "4.0", "★★☆☆☆", ""][i % 4], text, "—", campaign]
@@ -48,7 +48,7 @@ def make_enricher(sentiment="positive"):
         for r in batch:
             words = r["review_text"].split()
             named = words[2].rstrip(",")
-            rid = named if "_00" in named else ""
+            rid = named if "-c" in named else ""
             out.append({
                 "feedback_id": r["feedback_id"], "sentiment": sentiment, "sentiment_confidence": 0.9,
                 "themes": ["price", "shipping"], "language": "EN", "campaign_reference": named,
@@ -75,7 +75,7 @@ def test_runs_end_to_end_and_daily(spark, tmp_path):
     first = settings(tmp_path, 2)
     result = pipeline.run_pipeline(spark, first)
     assert result["loaded"] == {"meta_ads": 160, "google_ads": 160, "tiktok_ads": 160, "customer_feedback": 120}
-    assert result["summary"] == {"feedback_rows": 120, "cache_hits": 120, "to_enrich": 0,
+    assert result["summary"] == {"feedback_rows": 120, "cache_hits": 0, "to_enrich": 120,
                                  "resolved_rows": 90, "fallback_rows": 0}
     assert set(result["exported"]) == set(GOLD_TABLES)
     assert result["exported"]["fct_ad_spend"] == 3 * 144
@@ -107,6 +107,9 @@ def test_runs_end_to_end_and_daily(spark, tmp_path):
     pipeline.run_pipeline(spark, settings(tmp_path, 3))
     assert run.table("marts", "fct_feedback_log").count() == 120
     assert run.table("snapshots", "feedback_enrichment_log").count() == 120
+    assert run.table("raw", "feedback_enriched_log").count() == 120
+    snapshot = run.table("snapshots", "feedback_enrichment_snapshot")
+    assert sorted(map(str, snapshot.select(*run.history().columns).collect())) == sorted(map(str, run.history().collect()))
     assert {str(r._enriched_at)[:10] for r in facts.collect()} == {"2025-01-02"}
 
     # New feedback and another model: every row is reclassified.
@@ -132,7 +135,8 @@ def test_first_rows_without_keeping_the_cache(spark, tmp_path):
     landing_files(tmp_path / "landing")
     s = settings(tmp_path, 2, limit=6, keep_cache=False, declared=[], export_dir=None)
     result = pipeline.run_pipeline(spark, s)
-    assert result["summary"]["feedback_rows"] == result["summary"]["cache_hits"] == 6
+    assert result["summary"]["feedback_rows"] == result["summary"]["to_enrich"] == 6
+    assert result["summary"]["fallback_rows"] == 0
     run = pipeline.Run(spark, s)
     assert run.table("marts", "fct_feedback").count() == 6
     assert not (tmp_path / "cache").exists()
@@ -141,7 +145,7 @@ def test_first_rows_without_keeping_the_cache(spark, tmp_path):
 def test_failed_check_blocks_the_export(spark, tmp_path):
     landing_files(tmp_path / "landing")
     (tmp_path / "landing" / "tiktok_ads.csv").unlink()
-    rows = [[*r[:9], "20000.00", *r[10:]] for r in ad_rows("tiktok", "TKTK")]
+    rows = [[*r[:9], "20000.00", *r[10:]] for r in ad_rows("tiktok", "tk")]
     write_csv(tmp_path / "landing" / "tiktok_ads.csv", AD_SCHEMA.names, rows)
     with pytest.raises(QualityError, match="marts.fct_ad_spend.spend between: 144"):
         pipeline.run_pipeline(spark, settings(tmp_path, 2))
@@ -163,7 +167,59 @@ def test_a_stopped_run_is_resumed(spark, tmp_path):
     run = pipeline.Run(spark, one_round)
     kept = run.cache().count()
     result = pipeline.run_pipeline(spark, settings(tmp_path, 3, rounds=8, export_dir=None))
-    assert kept < result["summary"]["cache_hits"] == 120
+    assert result["summary"]["cache_hits"] >= kept and result["summary"]["fallback_rows"] == 0
+
+
+def test_a_second_day_costs_its_increment(spark, tmp_path):
+    """Appended feedback: only new texts are hashed, sent and written."""
+    landing_files(tmp_path / "landing", 0, 80)
+    first = settings(tmp_path, 2, truncate=False, declared=[], export_dir=None)
+    pipeline.run_pipeline(spark, first)
+    run = pipeline.Run(spark, first)
+    landing_files(tmp_path / "next", 80, 120)
+    for f in ("meta_ads.csv", "google_ads.csv", "tiktok_ads.csv"):
+        write_csv(tmp_path / "next" / f, AD_SCHEMA.names, [])
+    result = pipeline.run_pipeline(spark, settings(
+        tmp_path, 3, landing_dir=str(tmp_path / "next"), truncate=False, declared=[], export_dir=None))
+    assert result["summary"]["feedback_rows"] == 120
+    log = run.table("raw", "feedback_enriched_log").groupBy("_enriched_at").count().collect()
+    assert {str(r._enriched_at)[:10]: r["count"] for r in log} == {"2025-01-02": 80, "2025-01-03": 40}
+    assert run.table("raw", "feedback_key_log").count() == 120
+    assert run.table("marts", "fct_feedback_log").count() == 120
+    with pytest.raises(ValueError, match="later than the last"):
+        run.enrich()
+
+
+def test_each_text_is_sent_once(spark, tmp_path):
+    """Answers are written before they are checked, whatever the size of the catalog."""
+    landing_files(tmp_path / "landing")
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    honest, folder = make_enricher(), str(calls)
+
+    def counted(batch):
+        import uuid
+
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+            f.write("\n".join(r["review_text"] for r in batch))
+        return honest(batch)
+
+    pipeline.run_pipeline(spark, settings(tmp_path, 2, enricher=counted, rounds=None, export_dir=None))
+    texts = [t for f in calls.iterdir() for t in f.read_text().split("second line") if t.strip()]
+    assert len(texts) == len(set(texts)) == 100
+
+
+def test_buckets_follow_the_bytes():
+    assert [pipeline.buckets_for(n) for n in (0, 1, pipeline.BUCKET_BYTES + 1, 10**12)] == [1, 1, 2, 3726]
+
+
+def test_no_scratch_is_left(spark, tmp_path):
+    from spendecho import session
+
+    landing_files(tmp_path / "landing")
+    mark = session.scratch_mark()
+    pipeline.run_pipeline(spark, settings(tmp_path, 2, export_dir=None))
+    assert session.scratch_mark() == mark
 
 
 def test_precision_gate_blocks(spark, tmp_path):
@@ -172,7 +228,7 @@ def test_precision_gate_blocks(spark, tmp_path):
     honest = make_enricher()  # a closure travels to the workers, a test module does not
 
     def wrong(batch):
-        return [{**a, "resolved_campaign_id": "META_001"} for a in honest(batch)]
+        return [{**a, "resolved_campaign_id": "mt-c1"} for a in honest(batch)]
 
     with pytest.raises(QualityError, match="resolution precision"):
         pipeline.run_pipeline(spark, settings(tmp_path, 2, enricher=wrong))
