@@ -47,11 +47,15 @@ def scratch_mark() -> int:
 def clear_scratch(spark: SparkSession, mark: int = 0) -> None:
     """Remove the scratch folders that this driver made after `mark`. Call it when
     nothing reads them any more."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for path in _MADE[mark:]:
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(conf).delete(place, True)
-    del _MADE[mark:]
+        remove_scratch(spark, path)
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove one folder of `scratch_path`."""
+    _MADE.remove(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
