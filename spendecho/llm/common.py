@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..session import scratch_path
+from ..session import remove_scratch, scratch_path
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACES = " \t\n\x0b\f\r"
@@ -27,7 +27,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove tables of `written` that nothing reads any more."""
+    for df in frames:
+        remove_scratch(df.sparkSession, df.scratch)
 
 
 def mapped(df: DataFrame, run, schema) -> DataFrame:

@@ -7,7 +7,7 @@ from . import decontaminate, mixing, quality_rules, urls
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def mix_sql(docs: str = "documents", columns: str = "doc_id, size") -> str:
+def mix_sql(docs: str = "documents") -> str:
     """The seats are listed one by one here, up to the most that a source can use."""
     b, m = mixing.BLOCK_WORDS, mixing.MAX_REPEATS
     digits = " + ".join(
@@ -15,7 +15,7 @@ def mix_sql(docs: str = "documents", columns: str = "doc_id, size") -> str:
     )
     return f"""
 WITH RECURSIVE sized AS (
-  SELECT *, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
          md5('{mixing.SEED}' || coalesce('|' || CAST(doc_id AS VARCHAR), '')) AS o
   FROM {docs}),
 sources AS (
@@ -64,7 +64,7 @@ cut AS (
   SELECT *, CASE WHEN words > 0 THEN take // words ELSE 0 END AS repeats,
          greatest(least(end_, CASE WHEN words > 0 THEN take % words ELSE 0 END) - (end_ - size), 0) AS extra_words
   FROM laid)
-SELECT {columns}, source_size, target, CAST(repeats AS BIGINT) AS repeats,
+SELECT doc_id, size, source_size, target, CAST(repeats AS BIGINT) AS repeats,
        CAST(extra_words AS BIGINT) AS extra_words, CAST(repeats * size + extra_words AS BIGINT) AS taken
 FROM cut"""
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from .common import mapped, written
+from .common import discard, mapped, written
 from .tokens import NOT_SPACE, hashes, mix64, slices, spans, word_bounds
 
 WINDOW = 13
@@ -133,27 +133,31 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shared windows of a document joined to stretches of one owner: its own (kind 0,
     the reference) and other owners' (kind 1)."""
     for batch in batches:
-        out = []
-        for row, order, runs, shared in zip(*[batch.column(i) for i in range(4)]):
-            row, order = row.as_py(), order.as_py()
-            starts, texts = [], []
-            for run in runs.as_py():
-                starts.append(run["first"])
-                texts.append(run["text"].split())
-            places = np.array([x["place"] for x in shared.as_py()], dtype=np.int64)
-            owners = np.array([x["owner"] for x in shared.as_py()], dtype=np.int64)
-            turn = np.lexsort((owners, places))
-            places, owners = places[turn], owners[turn]
-            cuts = np.flatnonzero(np.concatenate([[True], (places[1:] != places[:-1] + 1) | (owners[1:] != owners[:-1]), [True]]))
-            inside = np.searchsorted(starts, places[cuts[:-1]], side="right") - 1
-            for a, b, i in zip(cuts[:-1], cuts[1:], inside):
-                low = places[a] - starts[i]
-                words = texts[i][low : low + (b - a) + WINDOW - 1]
-                out.append((int(owners[a]), int(owners[a] != order), order, row, int(places[a]), b" ".join(words), len(words)))
-        if out:
-            columns = list(zip(*out))
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], STRETCH)
+        rows, orders = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        runs, shared = batch.column(2), batch.column(3)
+        doc = np.repeat(np.arange(batch.num_rows), shared.value_lengths().to_numpy())
+        places, owners = (shared.flatten().field(i).to_numpy().astype(np.int64) for i in range(2))
+        turn = np.lexsort((owners, places, doc))
+        doc, places, owners = doc[turn], places[turn], owners[turn]
+        new = (doc[1:] != doc[:-1]) | (places[1:] != places[:-1] + 1) | (owners[1:] != owners[:-1])
+        cuts = np.flatnonzero(np.concatenate([[True], new, [True]])) if len(doc) else np.zeros(1, np.int64)
+        at, stop = cuts[:-1], cuts[1:]
+        run_doc = np.repeat(np.arange(batch.num_rows), runs.value_lengths().to_numpy())
+        firsts, texts = runs.flatten().field(0).to_numpy().astype(np.int64), runs.flatten().field(1)
+        inside = np.searchsorted((run_doc << 32) + firsts, (doc[at] << 32) + places[at], side="right") - 1
+        lines, counts, held, words = [], (stop - at + WINDOW - 1).tolist(), -1, []
+        for i, low, n in zip(inside.tolist(), (places[at] - firsts[inside]).tolist(), counts):
+            if i != held:
+                held, words = i, texts[i].as_py().split()
+            lines.append(b" ".join(words[low : low + n]))
+        order = orders[doc[at]]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(owners[at]), pa.array((owners[at] != order).astype(np.int32)), pa.array(order), pa.array(rows[doc[at]]),
+                pa.array(places[at]), pa.array(lines, pa.binary()), pa.array(counts, pa.int64()),
+            ],
+            STRETCH,
+        )
 
 
 STRETCH = ["owner", "kind", "order", "row", "first", "text", "n"]
@@ -275,6 +279,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         "order long, key long, places array<int>, windows array<long>, runs array<struct<first:int,text:binary>>",
     )
     windows = written(windows.withColumn("row", F.monotonically_increasing_id()), "substring-windows")
+    discard(anchors, shared, mine)
 
     each = windows.select("row", "order", F.explode(F.arrays_zip("places", "windows")).alias("x"))
     each = each.select("row", "order", F.col("x.places").alias("place"), F.col("x.windows").alias("window"))
@@ -282,10 +287,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     owners = written(owners.filter("owner < high").drop("high"), "substring-owners")
     shared = each.join(owners, "window").groupBy("row").agg(F.collect_list(F.struct("place", "owner")).alias("shared"))
     shared = written(shared, "substring-places")
+    discard(owners)
     stretches = windows.join(shared, "row").select("row", "order", "runs", "shared")
     stretches = written(
         mapped(stretches, _stretches, "owner long, kind int, order long, row long, first long, text binary, n long"), "substring-stretches"
     )
+    discard(shared)
 
     reference = stretches.filter("kind = 0").agg(F.sum("n")).first()[0] or 0
     shards = -(-reference // SHARD_WORDS) or 1
