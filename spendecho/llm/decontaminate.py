@@ -2,11 +2,12 @@
 
 Test items and documents are normalised alike: A-Z lower-cased, words
 `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` joined by one space. The automaton holds every
-window of `window` consecutive item words (all words of a shorter item) and scans
-each whole text once; hits are mapped back to words and to characters of the text.
+window of `window` consecutive item words (all words of a shorter item), as numbers of
+words, and scans each whole text once; hits are mapped back to words and to characters
+of the original text.
 
-Only the test set is gathered. Its size is summed first: an automaton takes at most
-`MAX_CHARS` characters of items, and a larger set is dealt over several, which scan
+Only the test set is gathered. Its size is summed first: an automaton takes about
+`MAX_CHARS` characters of items (ten nodes a word, some 100 MB), and a larger set is dealt over several, which scan
 one after the other and add to the same hits.
 """
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import pyarrow as pa
@@ -24,7 +26,7 @@ from pyspark.sql.types import StructType
 from .common import mapped
 
 WINDOW = 10
-MAX_CHARS = 4_000_000
+MAX_CHARS = 1_000_000
 
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -37,39 +39,32 @@ def normalised(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_TABLE).split()
 
 
-def _line(words: list[bytes]) -> str:
-    """One character per byte, so positions are bytes."""
-    return " " + b" ".join(words).decode("latin-1") + " "
-
-
-def build(items: list[tuple[str, str]], window: int) -> ahocorasick.Automaton:
-    """Windows as ` w1 .. wn `, each with its number of words and its items' ids."""
-    owners: dict[str, tuple[int, set[str]]] = {}
-    for item, text in items:
-        words = normalised(text)
-        n = min(window, len(words))
-        for i in range(len(words) - n + 1 if n else 0):
-            owners.setdefault(_line(words[i : i + n]), (n, set()))[1].add(item)
-    found = ahocorasick.Automaton()
-    for line, value in owners.items():
-        found.add_word(line, value)
-    if owners:
-        found.make_automaton()
-    return found
-
-
-def scan(automaton: ahocorasick.Automaton, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
-    """Word ranges [first, last] of window occurrences, in order of their end, and the items hit."""
-    ranges, items = [], set()
-    if not len(automaton) or not words:
+class Windows:
+    """An automaton over word numbers; words that no item has are 0."""
+
+    def __init__(self, items: list[tuple[str, str]], window: int):
+        self.number: dict[bytes, int] = {}
+        owners: dict[tuple[int, ...], set[str]] = {}
+        for item, text in items:
+            words = [self.number.setdefault(w, len(self.number) + 1) for w in normalised(text)]
+            n = min(window, len(words))
+            for i in range(len(words) - n + 1 if n else 0):
+                owners.setdefault(tuple(words[i : i + n]), set()).add(item)
+        self.found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for key, value in owners.items():
+            self.found.add_word(key, (len(key), value))
+        self.any = bool(owners)
+        if self.any:
+            self.found.make_automaton()
+
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+        """Word ranges [first, last] of window occurrences, by their end, and the items hit."""
+        ranges, items = [], set()
+        if self.any and words:
+            for last, (n, owners) in self.found.iter(tuple(map(self.number.get, words, repeat(0)))):
+                ranges.append((last - n + 1, last))
+                items |= owners
         return ranges, items
-    line, at, word = _line(words), 0, 0
-    for end, (n, owners) in automaton.iter(line):
-        word += line.count(" ", at, end)  # spaces before the closing one
-        at = end
-        ranges.append((word - n, word - 1))
-        items |= owners
-    return ranges, items
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -96,14 +91,14 @@ SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
 def _scanner(items: Broadcast, window: int, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = build(items.value, window)
+        windows = Windows(items.value, window)
         for batch in batches:
             k = len(keep)
             counts, all_ranges, all_spans, all_items = [], [], [], []
             for text, ranges, ids in zip(batch.column(k), batch.column(k + 1), batch.column(k + 2)):
                 text = text.as_py()
                 words = normalised(text)
-                new, hit = scan(automaton, words)
+                new, hit = windows.scan(words)
                 before = [(r["first"], r["last"]) for r in ranges.as_py()]
                 found = merged(before + new) if new else before
                 counts.append(len(words))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def _star(edges: DataFrame, larger_only: bool) -> DataFrame:
@@ -29,7 +29,10 @@ def components(edges: DataFrame) -> DataFrame:
     executor costs one round; rounds grow with the logarithm of the longest chain."""
     seen, state = written(edges.select("a", "b").filter("a <> b").distinct(), "edges"), None
     while True:
-        seen = written(_star(written(_star(seen, True), "large-star"), False), "small-star")
+        large = written(_star(seen, True), "large-star")
+        discard(seen)
+        seen = written(_star(large, False), "small-star")
+        discard(large)
         now = seen.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == state:
             break

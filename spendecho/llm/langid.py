@@ -7,15 +7,15 @@ A text is scored by the forward algorithm: the probability of a word is the sum
 all its segmentations. Words are maximal runs of letters, lower-cased, with a mark in
 front; after `MAX_WORD` letters a run goes on as a new word.
 
-What is gathered is one table of pieces by languages. Words are counted by Spark;
-tasks hold bounded tables of words.
+What is gathered is one table of pieces by languages, and the score of the frequent
+words, at most `FREQUENT`. Words are counted by Spark; tasks score rare words anew.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,18 +23,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from .common import mapped, written
-from .tokens import mix64
+from .tokens import Lookup, mix64
 
 MAX_WORD = 32
 #: Words held by a task at once.
 HELD_WORDS = 300_000
-#: Distinct words of documents scored together.
-TOGETHER = 100_000
+#: Words of documents scored together.
+TOGETHER = 500_000
+#: Words of at least 1 / FREQUENT of all training words are scored once and broadcast.
+FREQUENT = 1 << 17
 SMOOTHING = 0.5
 #: A letter without a piece, against the share of such letters in training.
 OTHER = 1e-3
 UNDETERMINED = "und"
-_RUN = re.compile(r"[^\W\d_]+")
+#: ASCII bytes that are no lower-case letters become spaces.
+_ASCII = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _MARK = "▁"
 _BASE = 0x9E3779B97F4A7C15
 
@@ -55,10 +58,12 @@ def vocabulary(path: str | None = None) -> list[str]:
 
 def letters(text: str | None) -> list[str]:
     """Runs of letters, lower-cased, in pieces of at most MAX_WORD."""
-    out = _RUN.findall((text or "").lower())
-    if out and (len(max(out, key=len)) > MAX_WORD or not "".join(out).isalpha()):
-        runs = ("".join(c if c.isalpha() else " " for c in w).split() for w in out)
-        out = [w[i : i + MAX_WORD] for run in runs for w in run for i in range(0, len(w), MAX_WORD)]
+    text = (text or "").lower()
+    out = text.encode().translate(_ASCII).decode().split()
+    if not text.isascii() and out and not "".join(out).isalpha():
+        out = "".join(c if c.isalpha() else " " for c in text).split()
+    if out and max(map(len, out)) > MAX_WORD:
+        out = [w[i : i + MAX_WORD] for w in out for i in range(0, len(w), MAX_WORD)]
     return out
 
 
@@ -71,8 +76,7 @@ class Pieces:
         for size in sorted({len(p) for p in pieces}):
             at = [i for i, p in enumerate(pieces) if len(p) == size]
             keys[at] = self._hash(self._totals([pieces[i] for i in at], size), 0, size)
-        self.order = np.argsort(keys)
-        self.keys = keys[self.order]
+        self.find = Lookup(keys.view(np.int64), np.arange(self.n, dtype=float))
 
     @staticmethod
     def _totals(words: list[str], size: int) -> np.ndarray:
@@ -92,14 +96,21 @@ class Pieces:
         totals, out = self._totals(words, size), {}
         for b in range(1, size + 1):
             for a in range(max(0, b - self.longest), b):
-                h = self._hash(totals, a, b)
-                at = np.minimum(np.searchsorted(self.keys, h), self.n - 1)
-                hit = self.keys[at] == h
+                hit, at = self.find(self._hash(totals, a, b).view(np.int64))
                 if b == a + 1 or hit.any():
-                    out[a, b] = np.where(hit, self.order[at], self.n)
+                    out[a, b] = np.where(hit, at, self.n).astype(np.int64)
         return out
 
 
+@dataclass
+class Model:
+    vocab: list[str]
+    langs: list[str]
+    table: np.ndarray  # probability of a piece (the last: of no piece) by language
+    words: list[str]  # frequent words,
+    rows: np.ndarray  # and their log likelihood by language
+
+
 def _by_size(words: list[str]) -> dict[int, list[int]]:
     out: dict[int, list[int]] = {}
     for i, w in enumerate(words):
@@ -159,9 +170,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows()
 
 
-def train(docs: DataFrame, usable: Column, vocab: list[str]) -> tuple[list[str], np.ndarray]:
-    """(languages, probabilities by piece and language) from `text` and `lang` of the
-    documents for which `usable` holds; those without a language are left out."""
+def train(docs: DataFrame, usable: Column, vocab: list[str]) -> Model:
+    """Piece probabilities by language, from `text` and `lang` of the documents for
+    which `usable` holds; those without a language are left out."""
     known = docs.filter(usable & F.col("lang").isNotNull()).select("lang", "text")
     counted = mapped(known, _count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counted = written(counted, "langid-words")
@@ -186,41 +197,52 @@ def train(docs: DataFrame, usable: Column, vocab: list[str]) -> tuple[list[str],
     np.add.at(table, (found.column("piece").to_numpy(), [place[x] for x in found.column("lang").to_pylist()]), found.column("uses").to_numpy())
     table /= table.sum(axis=0)
     table[-1] *= OTHER
-    return langs, table
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    usual = counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") * FREQUENT >= total)
+    words = usual.select("word").toArrow().column("word").to_pylist()  # at most FREQUENT
+    return Model(vocab, langs, table, words, log_likelihood(Pieces(vocab), table, words))
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], vocab: list[str], keep: list[str]) -> DataFrame:
+def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """Columns `keep` of `docs` with `lang_pred`, the language under which the whole
     text is likeliest (ties: the first by code point), and `score`, its share of the
     probability. NULL texts, texts without a letter, and an empty model give `und`
     and 0. Repeated rows are alike; an empty table gives an empty one."""
-    langs, table = model
     schema = StructType([*docs.select(*keep).schema, *StructType.fromDDL("lang_pred string, score double")])
-
-    def judged(counts: list[Counter], held: dict[str, np.ndarray], pieces: Pieces) -> Iterator[tuple[str, float]]:
-        new = list({w for c in counts for w in c if w not in held})
-        held.update(zip(new, log_likelihood(pieces, table, new)))
-        for c in counts:
-            if not c or not langs:
-                yield UNDETERMINED, 0.0
-                continue
-            total = np.fromiter(c.values(), dtype=float, count=len(c)) @ np.array([held[w] for w in c])
-            share = np.exp(total - total.max())
-            yield langs[int(total.argmax())], float(share.max() / share.sum())
+    held, langs = docs.sparkSession.sparkContext.broadcast(model), model.langs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, held = Pieces(vocab), {}
+        known = held.value
+        pieces, place = Pieces(known.vocab), dict(zip(known.words, range(len(known.words))))
+
+        def judged(texts: list[list[str]]) -> Iterator[tuple[str, float]]:
+            flat = [w for t in texts for w in t]
+            if not flat or not langs:
+                yield from [(UNDETERMINED, 0.0)] * len(texts)
+                return
+            new = list(set(flat).difference(place))
+            here = place | dict(zip(new, range(len(place), len(place) + len(new)))) if new else place
+            rows = np.vstack([known.rows, log_likelihood(pieces, known.table, new)])
+            at = np.fromiter(map(here.__getitem__, flat), dtype=np.int64, count=len(flat))
+            sums = np.vstack([np.zeros(len(langs)), np.cumsum(rows[at], axis=0)])
+            ends = np.cumsum([len(t) for t in texts])
+            for text, end in zip(texts, ends):
+                if not text:
+                    yield UNDETERMINED, 0.0
+                    continue
+                total = sums[end] - sums[end - len(text)]
+                share = np.exp(total - total.max())
+                yield langs[int(total.argmax())], float(share.max() / share.sum())
+
         for batch in batches:
             found, waiting, size = [], [], 0
             for text in batch.column(len(keep)):
-                waiting.append(Counter(letters(text.as_py())))
+                waiting.append(letters(text.as_py()))
                 size += len(waiting[-1])
                 if size > TOGETHER:
-                    found += judged(waiting, held, pieces)
+                    found += judged(waiting)
                     waiting, size = [], 0
-                    if len(held) > HELD_WORDS:
-                        held.clear()
-            found += judged(waiting, held, pieces)
+            found += judged(waiting)
             preds, scores = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(preds, pa.string()), pa.array(scores, pa.float64())], [*keep, "lang_pred", "score"])
 

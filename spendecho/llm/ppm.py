@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from .common import mapped, written
-from .tokens import LOWER, NOT_SPACE, hashes, slices, spans
+from .tokens import LOWER, NOT_SPACE, Lookup, hashes, slices, spans
 
 ORDER = 4
 FREQUENT = 1 << 18
@@ -132,20 +132,10 @@ def unseen_scores(grams: DataFrame, levels: dict[int, tuple[DataFrame, DataFrame
     return rows.select("gram", F.when(F.col("done"), F.col("logp")).otherwise(F.col("logp") - left).alias("logp"))
 
 
-def _table(rows: DataFrame, names: list[str]) -> tuple[np.ndarray, ...]:
-    """A frequent list as arrays, sorted by the first column."""
+def _table(rows: DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A frequent list as arrays."""
     found = rows.select(*names).toArrow()
-    columns = [found.column(n).to_numpy() for n in names]
-    order = np.argsort(columns[0])
-    return tuple(c[order] for c in columns)
-
-
-def _look_up(known: tuple[np.ndarray, np.ndarray], items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys, values = known
-    if not len(keys):
-        return np.zeros(len(items), bool), np.zeros(len(items))
-    at = np.minimum(np.searchsorted(keys, items), len(keys) - 1)
-    return keys[at] == items, values[at]
+    return found.column(names[0]).to_numpy(), found.column(names[1]).to_numpy()
 
 
 PARTS = ("n_tokens long, n_frequent long, base double, logp double, "
@@ -164,16 +154,16 @@ def _lists(items: np.ndarray, docs: np.ndarray, n: int) -> tuple[pa.Array, pa.Ar
 
 def _scorer(frequent: Broadcast, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, tokens = frequent.value
+        grams, tokens = (Lookup(*x) for x in frequent.value)
         for batch in batches:
             for first, data, offsets in slices(batch.column(len(keep))):
                 data, n = LOWER[data], len(offsets) - 1
                 codes, docs = _grams(data, offsets)
-                hit, value = _look_up(grams, codes)
+                hit, value = grams(codes)
                 logp = np.bincount(docs[hit], value[hit], minlength=n)
                 rare_grams = _lists(codes[~hit], docs[~hit], n)
                 words, docs = _tokens(data, offsets)
-                hit, value = _look_up(tokens, words)
+                hit, value = tokens(words)
                 base = np.bincount(docs[hit], value[hit], minlength=n)
                 rare_words = _lists(words[~hit], docs[~hit], n)
                 added = [

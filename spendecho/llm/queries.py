@@ -80,7 +80,7 @@ def op8_substring(spark, sf_dir):
 def op7_language(spark, sf_dir):
     docs, held_out, vocab = table(spark, sf_dir, "documents"), _remainder(5) == 0, langid.vocabulary()
     model = langid.train(docs, ~held_out, vocab)
-    return langid.predict(docs, model, vocab, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return langid.predict(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 @query

@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import mapped, written
+from .common import discard, mapped, written
 from .golay import LENGTH, decode, nearby
 from .graph import components
 from .tokens import mix64
@@ -200,6 +200,7 @@ def similar_links(nodes: DataFrame, most: int = SIMILAR, full: int = FULL) -> Da
     keys = written(mapped(nodes.select("node", *_NAMES, "weak"), _wide_keys, "key long, node long"), "wide-keys")
     shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lead")).filter("n > 1")
     found = written(keys.join(shared, "key"), "wide-shared")
+    discard(keys)
     few, many = found.filter(F.col("n") <= full), found.filter(F.col("n") > full)
     a, b = few.select("key", F.col("node").alias("a")), few.select("key", F.col("node").alias("b"))
     pairs = a.join(b, "key").filter("a < b").select("a", "b")

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once (a longer document is a slice of its own).
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -35,10 +35,10 @@ _POWERS = {1: np.ones(1, dtype=np.uint64), -1: np.ones(1, dtype=np.uint64)}
 def _powers(n: int, sign: int) -> np.ndarray:
     """_BASE ** (sign * i) modulo 2 ** 64 for i < n."""
     if len(_POWERS[sign]) < n:
-        step = np.full(max(n, 2 * SLICE), pow(_BASE, sign, 1 << 64), dtype=np.uint64)
+        step = np.full(max(n, 8 * SLICE), pow(_BASE, sign, 1 << 64), dtype=np.uint64)
         step[0] = 1
         out = np.multiply.accumulate(step)
-        if n > 2 * SLICE:
+        if n > 8 * SLICE:
             return out
         _POWERS[sign] = out
     return _POWERS[sign][:n]
@@ -87,3 +87,39 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
 def word_bounds(docs: np.ndarray, n: int) -> np.ndarray:
     """Index of each document's first word, and the number of words."""
     return np.concatenate([[0], np.cumsum(np.bincount(docs, minlength=n))])
+
+
+class Lookup:
+    """Values of 64-bit keys (not -1) by open addressing, for whole arrays at once."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.last = (1 << self.bits) - 1
+        self.keys, self.values = np.full(self.last + 1, -1, np.int64), np.zeros(self.last + 1)
+        todo, at = np.arange(len(keys)), self._slots(keys)
+        while len(todo):
+            free = self.keys[at] == -1
+            self.keys[at[free]] = keys[todo[free]]  # of several, one stays
+            won = self.keys[at] == keys[todo]
+            self.values[at[won]] = values[todo[won]]
+            todo, at = todo[~won], (at[~won] + 1) & self.last
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(_BASE)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are there, and their values (else 0)."""
+        at = self._slots(keys)
+        there = self.keys[at]
+        hit, value = there == keys, self.values[at]
+        left = np.flatnonzero(~hit & (there != -1))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & self.last
+            there = self.keys[at]
+            found = there == keys[left]
+            hit[left[found]], value[left[found]] = True, self.values[at[found]]
+            more = ~found & (there != -1)
+            left, at = left[more], at[more]
+        value[~hit] = 0
+        return hit, value

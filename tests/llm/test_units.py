@@ -31,6 +31,18 @@ def test_hashes_depend_on_the_word_only():
     assert h[0] == h[2] and len(set(h)) == 4
 
 
+def test_lookup():
+    draw = np.random.default_rng(4)
+    keys = np.unique(draw.integers(-(1 << 62), 1 << 62, 5000))
+    known = dict(zip(keys[::2].tolist(), range(len(keys))))
+    table = tokens.Lookup(keys[::2], np.arange(len(keys[::2]), dtype=float))
+    hit, value = table(keys)
+    assert hit.tolist() == [k in known for k in keys.tolist()]
+    assert value.tolist() == [known.get(k, 0) for k in keys.tolist()]
+    hit, _ = tokens.Lookup(np.zeros(0, np.int64), np.zeros(0))(keys)
+    assert not hit.any()
+
+
 def test_golay_code():
     draw = np.random.default_rng(1)
     words = draw.integers(0, 1 << 23, 200)
@@ -72,13 +84,13 @@ def test_automaton_finds_what_is_there():
 
 
 def test_scan_maps_back_to_the_text():
-    automaton = decontaminate.build([("7", "Ein, zwei DREI"), ("8", "zwei drei vier"), ("9", "!!")], 3)
+    windows = decontaminate.Windows([("7", "Ein, zwei DREI"), ("8", "zwei drei vier"), ("9", "!!")], 3)
     text = "é Ein (zwei) drei\nvier, eins"
-    ranges, items = decontaminate.scan(automaton, decontaminate.normalised(text))
+    ranges, items = windows.scan(decontaminate.normalised(text))
     assert ranges == [(1, 3), (2, 4)] and items == {"7", "8"}
     (a, b), = decontaminate.characters(text, decontaminate.merged(ranges))
     assert text[a:b] == "Ein (zwei) drei\nvier"
-    assert decontaminate.scan(decontaminate.build([], 3), [b"x"]) == ([], set())
+    assert decontaminate.Windows([], 3).scan([b"x"]) == windows.scan([]) == ([], set())
 
 
 def test_forward_sums_all_segmentations():
