@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import remove_scratch, scratch_path
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a scratch table is written: its shuffle files go with the job, and Python
+#: gets texts in batches of a size that fits several tasks of an executor.
+WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+}
 SPACES = " \t\n\x0b\f\r"
 
 
@@ -17,16 +22,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows written under the shared folder and read back. Cuts the lineage,
-    survives lost executors, and lets the shuffle files of the step go at once."""
+    """The rows written under the shared folder and read back. Cuts the lineage and
+    survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    before = {k: spark.conf.get(k) for k in WRITING}
+    for k, v in WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out
