@@ -40,5 +40,6 @@ def current_rows(versions: DataFrame, key: str, column: str) -> DataFrame:
     increment is strictly newer, the newest version of a key is its live row.
 
     Appending costs the size of the increment; the target is never rewritten.
+    Increments read with a lookback are not strictly newer: they belong in `upsert`.
     """
     return first_per_key(versions, [key], [F.col(column).desc()])

@@ -50,6 +50,7 @@ def _fields(*pairs: tuple[str, T.DataType]) -> T.StructType:
 _S = T.StringType()
 _ARR = T.ArrayType(T.StringType())
 
+# The columns of the tables, which their readers depend on.
 AD_SCHEMA = _fields(
     ("date", T.DateType()),
     ("channel", _S),
@@ -106,3 +107,4 @@ GOLD_TABLES = [
     "fct_ad_spend", "fct_channel_daily", "fct_campaign_summary", "dim_campaigns",
     "fct_feedback", "fct_feedback_themes", "fct_campaign_performance",
 ]
+# End of fixed values.
