@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -252,3 +253,43 @@ def test_similar_texts(spark, sf_dir):
     assert sum(not (a in kept and b in kept) for a, b in near) >= 0.9 * len(near) > 0
     closest = {i: max(j for p, j in pairs.items() if i in p) for i in ids}
     assert all(closest[i] >= 0.6 for i in set(ids) - kept)
+
+
+def similar_groups(texts):
+    """Positions of the first text of each group, by comparing all pairs."""
+    sets = []
+    for text in texts:
+        words = text.lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                old, new = max(group[a], group[b]), min(group[a], group[b])
+                group = [new if g == old else g for g in group]
+    return {i for i, g in enumerate(group) if i == g}
+
+
+def test_similar_texts_are_all_pairs_of_sets(spark, monkeypatch):
+    """Exactly the groups of a similarity of 0.8: pairs just above and below it, a
+    crowd of copies of which some are unlike the first, and a passage that many share."""
+    draw, texts = random.Random(8), []
+    word = lambda: "".join(draw.choices("abcdefgh", k=6))
+    for size in (30, 64, 204, 604):
+        for share in (0.70, 0.74, 0.77, 0.79, 0.80, 0.81, 0.83, 0.85) * 8:
+            base = [word() for _ in range(size)]
+            # The last words replaced: n sets' shingles of which m are shared have m / (2n - m).
+            shared = round(2 * share * (size - 4) / (1 + share))
+            texts += [base, base[: shared + 4] + [word() for _ in range(size - 4 - shared)]]
+    crowd, passage = [word() for _ in range(120)], [word() for _ in range(40)]
+    for i in range(60):
+        at = draw.randrange(115)
+        texts.append([*crowd[:at], *[word() for _ in range(i % 5)], *crowd[at + i % 5 :]])
+        texts.append([*passage, *[word() for _ in range(draw.randint(0, 60))]])
+    draw.shuffle(texts)
+    texts = [" ".join(x) for x in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    expected = similar_groups(texts)
+    assert {r.doc_id for r in simhash.first_of_groups(docs).collect()} == expected
+    monkeypatch.setattr(simhash, "COMMON", 1 << 30)  # no order by frequency: the same result
+    assert {r.doc_id for r in simhash.first_of_groups(docs).collect()} == expected
