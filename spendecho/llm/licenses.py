@@ -2,10 +2,10 @@
 
 Each template is a public notice with key phrases that must be there in full. Words
 are weighted by inverse document frequency over all documents. A document is looked
-up by its license words, the rarest first: every place of such a word votes for
-(template, place in the document minus place in the template). Alignments with the
-weight of two words or more are verified: a key phrase has to stand there word for
-word, and the words in place must have half of the template's weight.
+up by the rarest word of each key phrase: every place of such a word gives an
+alignment (template, place in the document minus place in the template). All of them
+are verified: a key phrase has to stand there word for word, and the words in place
+must have half of the template's weight.
 """
 
 from __future__ import annotations
@@ -41,8 +41,6 @@ TEMPLATES = [
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0",
      ("mozilla public license v 2 0",)),
 ]
-#: Rarest words of a document that are looked up.
-LOOKUPS = 8
 COVERAGE = 0.5
 
 
@@ -51,46 +49,38 @@ def vocabulary() -> frozenset[bytes]:
 
 
 class Index:
-    """Postings of the template words, and their weights."""
+    """Postings of the rarest word of each key phrase, and the weights of all words."""
 
     def __init__(self, documents: int, frequency: dict[bytes, int]):
         self.weight = {w: math.log((documents + 1) / (frequency.get(w, 0) + 0.5)) for w in vocabulary()}
         self.postings = defaultdict(list)
-        self.templates, self.rarest = [], set()
+        self.templates = []
         for t, (label, text, phrases) in enumerate(TEMPLATES):
             words = text.encode().split()
-            for i, w in enumerate(words):
-                self.postings[w].append((t, i))
-            keys = []
             for phrase in phrases:
                 key = phrase.encode().split()
-                keys += [(i, key) for i in range(len(words)) if words[i : i + len(key)] == key]
-                self.rarest.add(max(key, key=lambda w: (self.weight[w], w)))
-            self.templates.append((label, words, keys, sum(self.weight[w] for w in words)))
+                rarest = max(key, key=lambda w: (self.weight[w], w))
+                for i in range(len(words)):
+                    if words[i : i + len(key)] == key:
+                        self.postings[rarest].append((t, i, key.index(rarest), key))
+            self.templates.append((label, words, sum(self.weight[w] for w in words)))
 
     def scan(self, words: list[bytes]) -> list[tuple[str, int, int, float]]:
         """(label, first word, words, share of the weight found), verified."""
-        present = self.weight.keys() & set(words)
-        if not present & self.rarest:  # every key phrase has one of these words
+        if self.postings.keys().isdisjoint(words):  # every key phrase has one of these words
             return []
-        chosen = sorted(present, key=lambda w: (-self.weight[w], w))[:LOOKUPS]
-        chosen = set(chosen) | (present & self.rarest)
-        votes: dict[tuple[int, int], float] = defaultdict(float)
+        aligned = set()
         for at, w in enumerate(words):
-            if w in chosen:
-                for t, i in self.postings[w]:
-                    votes[t, at - i] += 1
+            if w in self.postings:
+                for t, i, j, key in self.postings[w]:
+                    if at >= j and words[at - j : at - j + len(key)] == key:
+                        aligned.add((t, at - j - i))
         found = []
-        for (t, start), n in votes.items():
-            label, text, keys, total = self.templates[t]
-            if n < 2:
-                continue
-            for i, key in keys:
-                if start + i >= 0 and words[start + i : start + i + len(key)] == key:
-                    placed = sum(self.weight[w] for j, w in enumerate(text) if 0 <= start + j < len(words) and words[start + j] == w)
-                    if placed >= COVERAGE * total:
-                        found.append((label, max(start, 0), len(text), placed / total))
-                    break
+        for t, start in aligned:
+            label, text, total = self.templates[t]
+            placed = sum(self.weight[w] for j, w in enumerate(text) if 0 <= start + j < len(words) and words[start + j] == w)
+            if placed >= COVERAGE * total:
+                found.append((label, max(start, 0), len(text), placed / total))
         return sorted(found)
 
 

@@ -134,6 +134,20 @@ def test_license_index():
     assert licenses.places(b"cc by cc by all rights reserved".split()) == [(0, "cc-by"), (2, "cc-by"), (4, "reserved")]
 
 
+def test_license_index_finds_every_notice():
+    """Two to four notices in one text, rare and frequent words: all of their labels."""
+    for n in (0, 30, 600):
+        index = licenses.Index(10000, {w: n * (i % 17) for i, w in enumerate(sorted(licenses.vocabulary()))})
+        for size in (1, 2, 3, 4):
+            for chosen in itertools.combinations(licenses.TEMPLATES, size):
+                words = " and also ".join(text for _, text, _ in chosen).encode().split()
+                found = {(label, at) for label, at, _, _ in index.scan(words)}
+                at = 0
+                for label, text, _ in chosen:
+                    assert (label, at) in found
+                    at += len(text.split()) + 2
+
+
 def test_ranking_orders_and_calibrates():
     draw = np.random.default_rng(3)
     x = draw.normal(size=(400, ranking.N_FEATURES))
