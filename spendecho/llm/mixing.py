@@ -174,8 +174,9 @@ def mix(
 
 def mixed_texts(mixed: DataFrame) -> DataFrame:
     """The mix itself: one row per copy of a document, the last one perhaps cut
-    to its first `extra_words` words."""
+    to its first `extra_words` words, joined by spaces."""
     copies = mixed.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("repeats") + F.signum("extra_words").cast("long"))))
     copies = copies.filter((F.col("copy") < F.col("repeats")) | ((F.col("copy") == F.col("repeats")) & (F.col("extra_words") > 0)))
+    whole = (F.col("copy") < F.col("repeats")) | (F.col("extra_words") >= F.col("size"))
     part = F.array_join(F.slice(words(F.col("text")), 1, F.greatest(F.col("extra_words"), F.lit(1)).cast("int")), " ")
-    return copies.withColumn("text", F.when(F.col("copy") < F.col("repeats"), F.col("text")).otherwise(part))
+    return copies.withColumn("text", F.when(whole, F.col("text")).otherwise(part))

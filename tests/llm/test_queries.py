@@ -293,3 +293,20 @@ def test_similar_texts_are_all_pairs_of_sets(spark, monkeypatch):
     assert {r.doc_id for r in simhash.first_of_groups(docs).collect()} == expected
     monkeypatch.setattr(simhash, "COMMON", 1 << 30)  # no order by frequency: the same result
     assert {r.doc_id for r in simhash.first_of_groups(docs).collect()} == expected
+
+
+def test_mixed_rows_meet_the_targets(spark, sf_dir):
+    """The last stage's rows are the mix: the words of each source's rows are its target, to a block a shard."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = corpus_pipeline.mix(spark, docs, sf_dir).collect()
+    words, aims, sizes = Counter(), {}, Counter()
+    for r in rows:
+        words[r.source] += len(r.text.split())
+        aims[r.source] = r.target
+        sizes[r.doc_id] += len(r.text.split())
+        assert r.n_chars == len(r.text)
+        if r.copy < r.repeats or r.extra_words == r.size:
+            assert r.text == texts[r.doc_id]
+    assert len(aims) > 1 and all(abs(words[s] - aims[s]) <= 2 * mixing.BLOCK_WORDS for s in aims)
+    assert all(sizes[r.doc_id] == r.taken for r in rows) and max(r.copy for r in rows) > 0
