@@ -161,6 +161,11 @@ def catalog_pages(catalog: DataFrame, lines_per_page: int = PAGE_LINES) -> DataF
     )
 
 
-def catalog_text(catalog: DataFrame, page: int = 0, lines_per_page: int = PAGE_LINES) -> DataFrame:
-    """The text of one page; a caller joins the pages that its prompt has room for."""
-    return catalog_pages(catalog, lines_per_page).filter(F.col("page") == page).select(F.col("page_text").alias("catalog_text"))
+def catalog_text(catalog: DataFrame, page: int | None = None, lines_per_page: int = PAGE_LINES) -> DataFrame:
+    """The text of the whole catalog (one row; NULL if it has no line), or of one page."""
+    pages = catalog_pages(catalog, lines_per_page)
+    if page is not None:
+        return pages.filter(F.col("page") == page).select(F.col("page_text").alias("catalog_text"))
+    items = F.array_sort(F.collect_list(F.struct("page", "page_text")))
+    text = F.array_join(F.transform(items, lambda i: i["page_text"]), "\n")
+    return pages.agg(F.when(F.count("*") > 0, text).alias("catalog_text"))

@@ -111,6 +111,16 @@ def test_catalog_text(spark):
     assert "\n".join(r.page_text for r in pages).count("  - A | a") == 2
 
 
+def test_catalog_text_is_whole(spark):
+    """More lines than a page has: the plain call still gives all of them, in order."""
+    rows = [(f"{i:03d}", "n", "meta", "traffic") for i in range(25)]
+    catalog = spark.createDataFrame(rows, "campaign_id string, campaign_name string, channel string, objective string")
+    (got,) = catalog_text(catalog, lines_per_page=2).collect()
+    assert got.catalog_text == "\n".join(f"  - {r[0]} | n | meta | traffic" for r in rows)
+    assert catalog_text(catalog, 1, 2).head().catalog_text.split("\n")[0] == "  - 002 | n | meta | traffic"
+    assert [r.catalog_text for r in catalog_text(catalog.limit(0)).collect()] == [None]
+
+
 def test_header_orders_of_one_folder(spark, tmp_path):
     """Files with their columns in another order bind by name."""
     folder = tmp_path / "ads"
