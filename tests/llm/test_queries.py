@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from check_results import compare, engine
-from spendecho.llm import graph, mixing, ppm, quality_rules, simhash, urls
+from spendecho.llm import graph, mixing, ppm, quality_rules, ranking, simhash, urls
 from spendecho.llm.queries import ORACLE_SQL, QUERIES
 
 from .conftest import edge_documents
@@ -310,3 +310,13 @@ def test_mixed_rows_meet_the_targets(spark, sf_dir):
             assert r.text == texts[r.doc_id]
     assert len(aims) > 1 and all(abs(words[s] - aims[s]) <= 2 * mixing.BLOCK_WORDS for s in aims)
     assert all(sizes[r.doc_id] == r.taken for r in rows) and max(r.copy for r in rows) > 0
+
+
+def test_ranking_takes_a_repeated_document_once(spark, monkeypatch):
+    docs = [(1, "hot text")] * 200 + [(1, "another text")] * 100 + [(i, f"text {i}") for i in range(2, 12)]
+    labels = [(i, i % 2) for i in range(1, 12)]
+    seen = []
+    monkeypatch.setattr(ranking, "fit", lambda x, good, rate: seen.append((len(x), int(good.sum()))))
+    docs = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    ranking.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"), "quality", F.lit(True))
+    assert seen == [(11, 6)]
