@@ -7,6 +7,10 @@ apportioned again over its shards, by words. A shard lays its documents end to
 end in a seeded order, cuts that stream into blocks, and takes as many blocks as
 its quota from the front, starting again at its end (`mix`).
 
+Shares are rounded to whole blocks. A source whose target is under about half a
+block gets no seat and none of its words are taken; its seats go to others. So the
+words of very many sources of a few words each are left out.
+
 No step needs all rows together: shards are bounded in words, sources are ranked
 by a range sort, and only quotients that can decide a seat are ever listed (about
 four per source), so the number of blocks costs nothing.

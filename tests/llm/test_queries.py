@@ -320,3 +320,12 @@ def test_ranking_takes_a_repeated_document_once(spark, monkeypatch):
     docs = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     ranking.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"), "quality", F.lit(True))
     assert seen == [(11, 6)]
+
+
+def test_sources_below_half_a_block(spark):
+    """Rounding to blocks: a source of one word gets no seat, one of a block's size does."""
+    rows = [(i, f"s{i:02d}", 1) for i in range(30)] + [(100, "t", 8), (101, "u", 8), (102, "v", 8), (103, "z", 4000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, size long")).collect()
+    assert all(r.taken == 0 and r.target < mixing.BLOCK_WORDS / 2 for r in got if r.size == 1)
+    assert all(r.taken > 0 for r in got if r.size > 1)
+    assert abs(sum(r.taken for r in got) - sum(r.size for r in got)) <= mixing.BLOCK_WORDS
