@@ -45,6 +45,15 @@ def discard(*frames: DataFrame) -> None:
         remove_scratch(df.sparkSession, df.scratch)
 
 
+#: Rows of a table up to which `small` has it broadcast; rows are narrow there.
+SMALL = 100_000
+
+
+def small(df: DataFrame, rows: int = SMALL) -> DataFrame:
+    """`df` to be broadcast if a count of a written table finds few rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def mapped(df: DataFrame, run, schema) -> DataFrame:
     """`df.mapInArrow`, with this package on the workers' path where they share the
     folder it lies in (elsewhere it is shipped with --py-files)."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, quality_rules, urls
+from . import decontaminate, merkle, mixing, quality_rules, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -152,9 +152,68 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM split LEFT JOIN hit ON split.r = hit.r LEFT JOIN ids ON split.r = ids.r"""
 
 
+CRC_BYTE = "list_reduce(list_prepend(xor(c, CAST(b AS UBIGINT)), [CAST(0 AS UBIGINT) FOR i IN range(8)]), lambda x, y: xor(x >> 1, CAST(3988292384 AS UBIGINT) * (x & 1)))"
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, byte by byte."""
+    codes = f"[CAST(ord(d) AS UBIGINT) FOR d IN string_split({text}, '') IF d <> '']"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), {codes}), lambda c, b: {CRC_BYTE}), CAST(4294967295 AS UBIGINT))"
+
+
+def _leaf_sql(text: str) -> str:
+    field = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+    return "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree_sql(name: str, base: str) -> str:
+    """Levels of a tree, and of each node what stands before and after it in its run."""
+    k = merkle.FAN
+    return f"""
+{name}(gid, level, pos, digest, n) AS (
+  {base}
+  UNION ALL
+  SELECT gid, level + 1, pos // {k}, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + {k} - 1) // {k})
+  FROM {name} WHERE n > 1 GROUP BY gid, level, pos // {k}),
+{name}_steps AS (
+  SELECT x.gid, x.level, x.pos, x.n, coalesce(string_agg(y.digest, '' ORDER BY y.pos) FILTER (y.pos < x.pos), '') AS before_,
+         coalesce(string_agg(y.digest, '' ORDER BY y.pos) FILTER (y.pos > x.pos), '') AS after_
+  FROM {name} x JOIN {name} y ON x.gid = y.gid AND x.level = y.level AND x.pos // {k} = y.pos // {k}
+  WHERE x.n > 1 GROUP BY ALL)"""
+
+
+def merkle_sql(docs: str = "documents") -> str:
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+         CASE WHEN {crc32_sql("coalesce(CAST(doc_id AS VARCHAR), '')")} % 5 = 0 THEN {_leaf_sql(lowered)} ELSE {_leaf_sql("text")} END AS claimed
+  FROM {docs}),
+placed AS (
+  SELECT *, CAST(dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS BIGINT) AS gid, count(*) OVER (PARTITION BY source) AS n,
+         CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS BIGINT) AS pos
+  FROM hashed),
+{_tree_sql("tree", "SELECT gid, 0, pos, leaf, n FROM placed")},
+subroots AS (SELECT gid, digest FROM tree WHERE n = 1),
+{_tree_sql("tops", "SELECT CAST(-1 AS BIGINT), 0, gid, digest, (SELECT count(*) FROM subroots) FROM subroots")},
+steps AS (SELECT * FROM tree_steps UNION ALL SELECT * FROM tops_steps),
+walk(gid, pos, tier, level, here, proof, folded) AS (
+  SELECT gid, pos, gid, 0, pos, '', claimed FROM placed
+  UNION ALL
+  SELECT w.gid, w.pos, coalesce(s.gid, -1), CASE WHEN s.gid IS NULL THEN 0 ELSE w.level + 1 END,
+         CASE WHEN s.gid IS NULL THEN w.gid ELSE w.here // {merkle.FAN} END,
+         proof || coalesce(s.before_ || s.after_, ''), CASE WHEN s.gid IS NULL THEN folded ELSE sha256(s.before_ || folded || s.after_) END
+  FROM walk w LEFT JOIN steps s ON s.gid = w.tier AND s.level = w.level AND s.pos = w.here
+  WHERE s.gid IS NOT NULL OR w.tier >= 0),
+ends AS (SELECT gid, pos, arg_max(proof, (tier < 0, level)) AS proof, arg_max(folded, (tier < 0, level)) AS folded FROM walk GROUP BY gid, pos)
+SELECT doc_id, leaf, s.digest AS subroot, t.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t.digest AS verified
+FROM placed p JOIN ends e ON p.gid = e.gid AND p.pos = e.pos JOIN subroots s ON p.gid = s.gid JOIN tops t ON t.n = 1"""
+
+
 ORACLE_SQL = {
     "op1_mix": mix_sql(),
     "op2_quality": quality_sql(),
     "op4_decontaminate": decontaminate_sql(),
     "op9_urls": url_sql(),
+    "op12_merkle": merkle_sql(),
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, licenses, mixing, ppm, quality_rules, ranking, simhash, substring, urls
+from . import decontaminate, langid, licenses, merkle, mixing, ppm, quality_rules, ranking, simhash, substring, urls
 from .common import table, written
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -88,3 +88,20 @@ def op6_ppm(spark, sf_dir):
     held_out = _remainder(5) == 1
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
     return ppm.score(docs, ~F.col("held_out"), ["doc_id", "held_out"])
+
+
+@query
+def op12_merkle(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    fields = {c: F.col(c) for c in merkle.FIELDS}
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    claimed = F.when(_remainder(5) == 0, merkle.leaf(fields | {"text": lowered})).otherwise(F.col("leaf"))
+    leaves = docs.withColumn("leaf", merkle.leaf(fields)).select("doc_id", "source", "leaf", claimed.alias("claimed"))
+    tree = merkle.build(written(leaves, "merkle-leaves"), "source", "doc_id")
+    if tree is None:
+        return spark.createDataFrame([], "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean")
+    found = tree.proofs().withColumn("folded_root", merkle.fold(F.col("claimed"), F.col("proof")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
