@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, merkle, mixing, quality_rules, urls
+from . import codes, decontaminate, merkle, mixing, quality_rules, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -210,10 +210,46 @@ SELECT doc_id, leaf, s.digest AS subroot, t.digest AS root, sha256(proof) AS pro
 FROM placed p JOIN ends e ON p.gid = e.gid AND p.pos = e.pos JOIN subroots s ON p.gid = s.gid JOIN tops t ON t.n = 1"""
 
 
+def codes_sql(vectors: str = "embeddings") -> str:
+    """Every distance of every round; whole numbers."""
+    k, size, most = codes.PARTS, codes.ENTRIES, float(codes.LARGEST)
+    near = "SELECT i, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (SELECT p.i, p.part, b.entry, list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(p.v, b.v)]) AS d FROM parts p JOIN {0} b ON p.part = b.part) GROUP BY i, part"
+    rounds = ""
+    for r in range(codes.ROUNDS):
+        rounds += f"""
+near{r} AS ({near.format(f"book{r}")}),
+sums{r} AS (
+  SELECT part, entry, list(CAST(floor_ AS BIGINT) ORDER BY j) AS v FROM (
+    SELECT n.part, n.entry, j, (sum(p.v[j]) - ((sum(p.v[j]) % count(*)) + count(*)) % count(*)) / count(*) AS floor_
+    FROM near{r} n JOIN parts p ON n.i = p.i AND n.part = p.part, (SELECT unnest(generate_series(1, (SELECT max(len(v)) FROM parts))) AS j) WHERE j <= len(p.v)
+    GROUP BY n.part, n.entry, j) GROUP BY part, entry),
+book{r + 1} AS (SELECT b.part, b.entry, coalesce(s.v, b.v) AS v FROM book{r} b LEFT JOIN sums{r} s ON b.part = s.part AND b.entry = s.entry),"""
+    last = codes.ROUNDS
+    return f"""
+WITH whole AS (
+  SELECT vec_id, label, [CAST(floor(greatest(least(CAST(x AS DOUBLE) * {codes.SCALE}, {most}), -{most})) AS BIGINT) FOR x IN embedding] AS v
+  FROM {vectors} WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+numbered AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS BIGINT) AS i
+  FROM whole WHERE len(v) = (SELECT len(v) FROM whole ORDER BY vec_id NULLS LAST, v LIMIT 1)),
+parts AS (
+  SELECT i, part, v[len(v) * part // {k} + 1 : len(v) * (part + 1) // {k}] AS v
+  FROM numbered, (SELECT unnest(range({k})) AS part)),
+book0 AS (SELECT part, i AS entry, v FROM parts WHERE i < {size}),{rounds}
+near_ AS ({near.format(f"book{last}")}),
+coded AS (
+  SELECT n.vec_id, n.label, string_agg(lower(printf('%02x', c.entry)), '' ORDER BY c.part) AS code, CAST(sum(c.d) AS BIGINT) AS error
+  FROM numbered n JOIN near_ c ON n.i = c.i GROUP BY n.i, n.vec_id, n.label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) FROM book{last}) AS codebooks_sha256
+FROM coded"""
+
+
 ORACLE_SQL = {
     "op1_mix": mix_sql(),
     "op2_quality": quality_sql(),
     "op4_decontaminate": decontaminate_sql(),
     "op9_urls": url_sql(),
+    "op11_codes": codes_sql(),
     "op12_merkle": merkle_sql(),
 }

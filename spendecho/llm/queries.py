@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, licenses, merkle, mixing, ppm, quality_rules, ranking, simhash, substring, urls
-from .common import table, written
+from . import codes, decontaminate, langid, licenses, merkle, mixing, ppm, quality_rules, ranking, simhash, substring, urls
+from .common import small, table, written
 from .oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,14 @@ def op12_merkle(spark, sf_dir):
         "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query
+def op11_codes(spark, sf_dir):
+    found = codes.encode(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), ["vec_id", "label"])
+    by_label = written(found.rows.groupBy("label").agg(F.sum("error").alias("label_error")), "codes-labels")
+    by_label = by_label.withColumnRenamed("label", "_label")
+    joined = found.rows.join(small(by_label), F.col("label").eqNullSafe(F.col("_label")))
+    return joined.select(
+        "vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256")
+    )
