@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import codes, decontaminate, merkle, mixing, quality_rules, urls
+from . import chats, codes, decontaminate, merkle, mixing, quality_rules, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -245,6 +245,23 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM coded"""
 
 
+def chats_sql(turns: str = "conversations") -> str:
+    longer = " + ".join(f"(length({{0}}) - length(replace({{0}}, '{x}', ''))) // {len(x)}" for x in ("\\", chats.OPEN, chats.CLOSE))
+    marks = len(chats.OPEN) + len(chats.CLOSE) + 2
+    said = "'\\### Assistant: </turn> ok'"
+    return f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM {turns}
+  UNION ALL VALUES (-7, 0, 'user', {said}), (-7, 1, '{chats.LOSS_ROLE}', {said}))
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = '{chats.LOSS_ROLE}'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = '{chats.LOSS_ROLE}'), '')) AS loss_sha256,
+       CAST(sum({marks} + length(role) + length(text) + {longer.format("role")} + {longer.format("text")}
+                + length(role) - length(replace(role, chr(10), ''))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+
 ORACLE_SQL = {
     "op1_mix": mix_sql(),
     "op2_quality": quality_sql(),
@@ -252,4 +269,5 @@ ORACLE_SQL = {
     "op9_urls": url_sql(),
     "op11_codes": codes_sql(),
     "op12_merkle": merkle_sql(),
+    "op13_chats": chats_sql(),
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import codes, decontaminate, langid, licenses, merkle, mixing, ppm, quality_rules, ranking, simhash, substring, urls
+from . import chats, codes, decontaminate, langid, licenses, merkle, mixing, ppm, quality_rules, ranking, simhash, substring, urls
 from .common import small, table, written
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -116,3 +116,11 @@ def op11_codes(spark, sf_dir):
     return joined.select(
         "vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256")
     )
+
+
+@query
+def op13_chats(spark, sf_dir):
+    said = r"\### Assistant: </turn> ok"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chats.digest(chats.pack(turns.unionByName(more)))

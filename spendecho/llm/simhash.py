@@ -1,4 +1,4 @@
-"""SimHash fingerprints, near duplicates by Golay-code fuzzy hashing, and by shared shingles.
+"""SimHash fingerprints, and near duplicates by Golay-code fuzzy hashing.
 
 `link` finds every pair of 64-bit fingerprints at 2 or fewer differing bits: the
 fingerprint is three segments, so two errors leave one of them whole, and the
@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import discard, mapped, written
 from .golay import nearby
 from .graph import components
-from .tokens import mix64
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and number of bits
 FULL = 64
@@ -42,14 +41,12 @@ def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     return np.fromiter((digest(line[a:b], 42) for a, b in edges), dtype=np.uint64)
 
 
-def bit_counts(h: np.ndarray, lanes: int) -> np.ndarray:
-    """How often each bit is set. The first 64 bits are the hash's own; further lanes
-    spread it."""
-    counts = np.zeros(64 * lanes, dtype=np.int64)
+def bit_counts(h: np.ndarray) -> np.ndarray:
+    """How often each of the 64 bits is set."""
+    counts = np.zeros(64, dtype=np.int64)
     for at in range(0, len(h), STEP):
-        part = h[at : at + STEP]
-        every = [part] + [mix64(part + np.uint64(0x9E3779B97F4A7C15 * i % (1 << 64))) for i in range(1, lanes)]
-        bits = np.unpackbits(np.stack(every, axis=1).view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
+        part = np.ascontiguousarray(h[at : at + STEP])
+        bits = np.unpackbits(part.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int64)
     return counts
 
@@ -57,7 +54,7 @@ def bit_counts(h: np.ndarray, lanes: int) -> np.ndarray:
 def fingerprint(text: str | None, shingle: int) -> int:
     """64 bits, signed; a bit is 1 if set in over half of the shingles' hashes."""
     h = shingle_hashes(text, shingle)
-    return int(np.packbits(2 * bit_counts(h, 1) > len(h), bitorder="little").view(np.int64)[0])
+    return int(np.packbits(2 * bit_counts(h) > len(h), bitorder="little").view(np.int64)[0])
 
 
 def fingerprints(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
@@ -119,194 +116,18 @@ def grouped(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return known.join(rooted.join(lowest, "root").select("fp", "component_id"), "fp")
 
 
-# --- near copies at a similarity: sets of shingles --------------------------------
-
-SIMILARITY_SHINGLE = 5
-#: Least Jaccard similarity of two sets, as a fraction.
-ALIKE = (4, 5)
-#: Sets of which one key's are compared pairwise.
-CROWD = 8
-#: Texts that are looked at for common shingles, how many of them make a shingle
-#: common, and the most that are kept. They change the work, not the result.
-LOOKED_AT, COMMON, MOST_COMMON = 4096, 4, 1 << 17
-
-
-def _shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """Distinct 64-bit hashes of the shingles, sorted."""
-    return np.unique(shingle_hashes(text, shingle))
-
-
-def _common(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several of a few thousand texts have, sorted, and in how many."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(_shingle_set(text.as_py(), shingle).view(np.int64))], ["shingle"])
-
-    every = max(1, rows.count() // LOOKED_AT)
-    some = rows.filter(F.pmod(F.xxhash64("_order", "_key"), F.lit(every)) == 0).select("text")
-    counts = mapped(some, run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON)
-    found = counts.orderBy(F.col("n").desc(), "shingle").limit(MOST_COMMON).toArrow()
-    shingles, n = found.column("shingle").to_numpy().view(np.uint64), found.column("n").to_numpy()
-    order = np.argsort(shingles)
-    return shingles[order], n[order]
-
-
-def _firsts(shingle: int, common: np.ndarray, counts: np.ndarray):
-    """Per text its set's size and hash, and the first shingles of the set in an order
-    that all sets share (rare before common, then by hash): so many that two sets
-    without one in common cannot be alike."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, hashes, firsts, briefs = [], [], [], []
-            for text in batch.column(2):
-                h = _shingle_set(text.as_py(), shingle)
-                often = np.zeros(len(h), np.int64)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-                    often = np.where(common[at] == h, counts[at], 0)
-                first = len(h) - (ALIKE[0] * len(h) + ALIKE[1] - 1) // ALIKE[1] + 1 if len(h) else 0
-                sizes.append(len(h))
-                hashes.append(xxhash.xxh3_128_digest(h.tobytes()))
-                chosen = h[np.lexsort((h, often))[:first]]
-                firsts.append(chosen.tobytes())
-                briefs.append(chosen.astype(np.uint16).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), *[pa.array(x, pa.binary()) for x in (hashes, firsts, briefs)]],
-                ["order", "key", "size", "hash", "firsts", "brief"],
-            )
-
-    return run
-
-
-def _first_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per first shingle of a set, with its place."""
-    for batch in batches:
-        n = np.array([len(x.as_py()) // 8 for x in batch.column(2)], np.int64)
-        keys = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.int64)
-        place = (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
-        nodes, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys), pa.array(np.repeat(nodes, n)), pa.array(np.repeat(sizes, n)), pa.array(place)], ["key", "node", "size", "place"]
-        )
-
-
-def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, their sizes, the low bits of their first shingles) that can be alike.
-
-    Of two sets, take the one whose first shingles end earlier in the common order.
-    What the sets share up to there is among the first ones of both, and behind it are
-    no more than the set's other shingles. Equal low bits only add to what is shared."""
-    p, q = ALIKE
-    for batch in batches:
-        sizes, near = (batch.column(2).to_numpy().astype(np.int64), batch.column(3).to_numpy().astype(np.int64)), []
-        for m, n, x, y in zip(*sizes, batch.column(4), batch.column(5)):
-            a, b = np.frombuffer(x.as_py(), np.uint16), np.frombuffer(y.as_py(), np.uint16)
-            most = np.isin(a, b).sum() + max(m - len(a), n - len(b))
-            near.append((p + q) * most >= p * (m + n))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
-
-
-def _worth(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that can be alike, by their first shingles."""
-    a = nodes.select(F.col("node").alias("a"), F.col("size").alias("_m"), F.col("brief").alias("_a"))
-    b = nodes.select(F.col("node").alias("b"), F.col("size").alias("_n"), F.col("brief").alias("_b"))
-    return mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "_m", "_n", "_a", "_b"), _promising, "a long, b long")
-
-
-def _overlaps(shingle: int):
-    """Pairs of texts whose whole sets have the similarity."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near, sets = [], {}
-
-            def set_of(node: int, text: pa.Scalar) -> np.ndarray:
-                if node not in sets:
-                    if len(sets) == 256:
-                        sets.clear()
-                    sets[node] = _shingle_set(text.as_py(), shingle)
-                return sets[node]
-
-            for x, y, left, right in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
-                a, b = set_of(x, left), set_of(y, right)
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                near.append(sum(ALIKE) * shared >= ALIKE[0] * (len(a) + len(b)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
-
-    return run
-
-
-def _alike(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets have the similarity. Texts are
-    moved, not sets, which are longer."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = nodes.join(wanted, "node").select("node", F.col("first.order").alias("_order"), F.col("first.key").alias("_key"))
-    once = rows.join(wanted.select("_order", "_key"), ["_order", "_key"], "left_semi")
-    once = once.groupBy("_order", "_key").agg(F.first("text").alias("text"))  # of repeated rows
-    texts = written(once.join(wanted, ["_order", "_key"]).select("node", "text"), "wide-texts")
-    a = texts.select(F.col("node").alias("a"), F.col("text").alias("_a"))
-    b = texts.select(F.col("node").alias("b"), F.col("text").alias("_b"))
-    return mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "_a", "_b"), _overlaps(shingle), "a long, b long")
-
-
-def _possible(left: str, right: str, places: bool = True) -> str:
-    """Whether sizes permit the similarity and, if this is the first shingle in
-    common, the shingles after it do. The first one in common passes for alike sets."""
-    p, q = ALIKE
-    sizes = f"{q} * least({left}size, {right}size) >= {p} * greatest({left}size, {right}size)"
-    rest = f"{p + q} * least({left}size - {left}place, {right}size - {right}place) >= {p} * ({left}size + {right}size)"
-    return f"{sizes} AND {rest}" if places else sizes
-
-
-def similar_links(nodes: DataFrame, rows: DataFrame, shingle: int = SIMILARITY_SHINGLE, crowd: int = CROWD) -> DataFrame:
-    """Edges (a, b) with the components of all pairs of alike sets.
-
-    Alike sets share one of their first shingles, the keys. Up to `crowd` sets of a
-    key are compared pairwise. Of more, all are compared with the first one, and
-    those unlike it with every other: whoever is like the first is linked to it, so
-    no component is lost and a large group of copies costs one comparison a member."""
-    keys = written(mapped(nodes.select("node", "size", "firsts"), _first_keys, "key long, node long, size int, place int"), "wide-keys")
-    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("node", "size")).alias("lead")).filter("n > 1")
-    found = written(keys.join(shared, "key"), "wide-shared")
-    discard(keys)
-    few, many = found.filter(F.col("n") <= crowd), found.filter(F.col("n") > crowd)
-    side = lambda df, x: df.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "size", "place")])
-    pairs = side(few, "a").join(side(few, "b"), "key").filter("a_node < b_node").filter(_possible("a_", "b_"))
-    pairs = pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    to_lead = many.filter("node <> lead.node").filter(_possible("lead.", "", places=False))
-    to_lead = to_lead.select(F.col("lead.node").alias("a"), F.col("node").alias("b"))
-    pairs = written(pairs.union(to_lead).distinct(), "wide-pairs")
-    checked = written(_alike(written(_worth(pairs, nodes), "wide-worth"), nodes, rows, shingle), "wide-checked")
-    like = checked.select(F.col("a").alias("_lead"), F.col("b").alias("node"))
-    unlike = many.filter("node <> lead.node").withColumn("_lead", F.col("lead.node")).join(like, ["_lead", "node"], "left_anti")
-    rest = side(unlike, "a").join(side(many.filter("node <> lead.node"), "b"), "key").filter("a_node <> b_node").filter(_possible("a_", "b_"))
-    rest = rest.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
-    rest = written(rest.join(pairs, ["a", "b"], "left_anti"), "wide-rest")
-    also = written(_alike(written(_worth(rest, nodes), "wide-worth"), nodes, rows, shingle), "wide-also")
-    discard(found, pairs, rest)
-    return checked.union(also)
-
-
-def first_of_groups(docs: DataFrame, shingle: int = SIMILARITY_SHINGLE) -> DataFrame:
-    """Of each group of similar texts in `docs` (doc_id, text, any other columns) the
-    row with the smallest doc_id, NULL last. Texts without words are one group;
-    texts below `shingle` words are similar when equal. Of repeated rows one stays.
-
-    Similar: sets of `shingle`-word runs, known by 64-bit hashes, with a Jaccard
-    similarity of 0.8 (`ALIKE`) or more, all pairs of them; groups are connected
-    components."""
+def first_of_groups(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """Of each group of linked fingerprints in `docs` (doc_id, text, any other columns)
+    the row with the smallest doc_id, NULL last, then by the text's hash. Texts without
+    words have fingerprint 0 and are one group with all that link to it. Of repeated
+    rows one stays."""
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_order")
-    rows = docs.select("*", order, F.coalesce(F.xxhash64("text"), F.lit(0)).alias("_key"))
-    firsts = _firsts(shingle, *_common(rows, shingle))
-    wide = mapped(rows.select("_order", "_key", "text"), firsts, "order long, key long, size int, hash binary, firsts binary, brief binary")
-    wide = written(wide, "wide-firsts")
-    nodes = wide.groupBy("hash", "size").agg(F.min(F.struct("order", "key")).alias("first"), *[F.first(c).alias(c) for c in ("firsts", "brief")])
-    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "wide-nodes")
-    discard(wide)
-    roots = components(similar_links(nodes, rows, shingle))
-    rooted = nodes.select("node", "first").join(roots, "node", "left")
-    kept = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-    kept = written(kept.select(F.col("first.order").alias("_order"), F.col("first.key").alias("_key")), "wide-kept")
-    discard(nodes)
+    rows = docs.select("*", order, F.xxhash64("text").alias("_key"))
+    known = written(fingerprints(rows, ["_order", "_key"], shingle), "simhash-fingerprints")
+    nodes = written(known.groupBy("fp").agg(F.min(F.struct("_order", "_key")).alias("first")), "simhash-nodes")
+    roots = components(link(nodes)).withColumnRenamed("node", "fp")
+    kept = nodes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    kept = written(kept.select("first.*"), "simhash-kept")
+    discard(known, nodes)
     one = F.row_number().over(Window.partitionBy("_order", "_key").orderBy(F.lit(0)))
     return rows.join(kept, ["_order", "_key"]).withColumn("_copy", one).filter("_copy = 1").select(*docs.columns)

@@ -50,10 +50,37 @@ def edge_pages():
     return [(i if i % 7 else None, u, "<html>") for i, u in enumerate(urls)]
 
 
+def edge_vectors():
+    """Copies, ties, NULLs, components that are none, another dimension, huge values, few labels."""
+    draw = random.Random(11)
+    centres = [[draw.gauss(0, 0.3) for _ in range(8)] for _ in range(40)]
+    vectors = [[c + draw.gauss(0, 0.05) for c in draw.choice(centres)] for _ in range(420)]
+    rows = [(i * 3 % 1000, v, i % 4 if i % 5 else None) for i, v in enumerate(vectors)]
+    rows += [(500 + i, vectors[7], 1) for i in range(60)]
+    rows += [(None, vectors[3], None), (1, vectors[4], 9), (1, vectors[4], 9), (1, vectors[5], 9), (2000, None, 1)]
+    rows += [(2001, [0.1] * 7 + [None], 1), (2002, [0.1] * 7 + [float("nan")], 1), (2003, [0.1] * 7 + [float("-inf")], 1)]
+    return [*rows, (2004, [0.1] * 3, 1), (2005, [], 1), (2006, [1e30, -1e30] * 4, 2), (2007, [0.0] * 8, 2), (2008, [-0.0009765625, 0.0009] * 4, 2)]
+
+
+def edge_turns():
+    """Shared beginnings, copies, prefixes of others, marks and escapes inside, ties, NULLs, one long conversation."""
+    start = [("system", "be brief"), ("user", "hello"), ("assistant", "hi <turn>")]
+    talks = {
+        0: start, 1: [*start, ("user", "more"), ("assistant", "yes")], 2: [*start, ("user", "else"), ("assistant", "no")], 3: start,
+        4: [*start[:2], ("assistant", "other")], 5: [("user", "")], 6: [("user", None), ("assistant", None)], 7: [(None, "x"), ("", "x")],
+        8: [("a\nb", "</turn>\n<turn>user\n"), ("assistant", "\\l \\\\ \\</turn>")], 9: [("us", "er"), ("user", "")], 10: [("user", "er")],
+        11: [*start[1:], *start[1:]], 12: [("user" if i % 2 else "assistant", f"turn {i % 7}") for i in range(700)],
+        13: [("user" if i % 2 else "assistant", f"turn {i % 7}") for i in range(350)], 14: [("assistant", "\U0001f600 é\r\x00\u2028")],
+        15: [("user", "word " * 20_000), ("assistant", "x" * 30_000)], **{20 + i: [*start[:1], ("user", f"q{i % 9}"), ("assistant", "same")] for i in range(40)},
+    }
+    rows = [(c, i, r, t) for c, turns in talks.items() for i, (r, t) in enumerate(turns)]
+    return [*rows, (70, 1, "user", "b"), (70, 1, "user", "a"), (70, 1, "assistant", "z"), (70, None, "user", "first"), (70, 1, "user", "a"), (None, 0, "user", "lost"), (None, 3, "assistant", "found")]
+
+
 CLASHING = {"size": "long", "n_words": "string", "kept": "long", "spans": "string", "score": "string", "host": "string", "row": "long"}
 
 
-def tables(spark, folder, documents, benchmark, pages, labels):
+def tables(spark, folder, documents, benchmark, pages, labels, vectors, turns):
     clash = ", ".join(f"{n} {t}" for n, t in CLASHING.items())
     empty = (None,) * len(CLASHING)
 
@@ -64,6 +91,8 @@ def tables(spark, folder, documents, benchmark, pages, labels):
     save("documents", documents, "doc_id long, text string, lang string, source string, n_chars long")
     save("benchmark", benchmark, "item_id long, text string", extra=False)
     save("pages", pages, "page_id long, url string, html string")
+    save("embeddings", vectors, "vec_id long, embedding array<float>, label int")
+    save("conversations", turns, "conv_id long, turn long, role string, text string")
     save("labels", labels, "doc_id long, quality int, toxic int", extra=False)
     return str(folder)
 
@@ -71,12 +100,12 @@ def tables(spark, folder, documents, benchmark, pages, labels):
 @pytest.fixture(scope="session")
 def edges(spark, tmp_path_factory):
     labels = [(i, int(i not in (13, 14)), 0) for i in [*range(16), *range(100, 112)]] + [(3, None, None), (0, 1, 0), (999, 0, 0)]
-    return tables(spark, tmp_path_factory.mktemp("edges"), edge_documents(), edge_benchmark(), edge_pages(), labels)
+    return tables(spark, tmp_path_factory.mktemp("edges"), edge_documents(), edge_benchmark(), edge_pages(), labels, edge_vectors(), edge_turns())
 
 
 @pytest.fixture(scope="session")
 def nothing(spark, tmp_path_factory):
-    return tables(spark, tmp_path_factory.mktemp("nothing"), [], [], [], [])
+    return tables(spark, tmp_path_factory.mktemp("nothing"), [], [], [], [], [], [])
 
 
 @pytest.fixture(scope="session")
