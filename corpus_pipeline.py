@@ -33,7 +33,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies (five-word shingles, similarity 0.8)."""
+    """The first document of each group of linked fingerprints (three-word shingles, two bits)."""
     needed = ["doc_id", "text"]
     kept = simhash.first_of_groups(_packed(docs, needed))
     return kept.select(*_unpacked(kept, docs, needed))
