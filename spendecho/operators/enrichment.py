@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -14,10 +15,34 @@ from ..schemas import (
     MAX_MENTIONS, MAX_REFERENCE_CHARS, NEUTRAL_LANGUAGE, RAW_RECORD_SCHEMA, RECORD_COLUMNS,
     SENTIMENTS, THEMES,
 )
+from ..session import workers_import_package
+from ..sources.ledger import Ledger, batch_key
 from .joins import BROADCAST_ROWS, first_per_key, fits_broadcast
 
 Enricher = Callable[[list[dict]], list[dict] | None]
 
+#: When a cached record was written; the greater one of a key counts.
+SEQUENCE = "written_at"
+
+
+@dataclass
+class Layers:
+    """A cache in parts, oldest first, each with one record per key. The first one may
+    be bucketed by content_hash; look-ups then come to it, bucket by bucket."""
+
+    parts: list[DataFrame]
+    buckets: int | None = None
+
+    def plus(self, other: Layers) -> Layers:
+        return Layers([*self.parts, *other.parts], self.buckets)
+
+
+Cache = DataFrame | Layers
+
+
+def layers_of(cache: Cache) -> Layers:
+    return cache if isinstance(cache, Layers) else Layers([cache])
+
 
 # --- keys and cache ---------------------------------------------------------
 
@@ -60,26 +85,52 @@ def upsert_cache(cache: DataFrame, new: DataFrame) -> DataFrame:
     return kept.unionByName(new.select(*cache.columns))
 
 
+def looked_up(texts: DataFrame, cache: Cache, model: str) -> DataFrame:
+    """`texts` (unique by content_hash) with the best record of each: of the model, else
+    of the last model; of one key the later written one. `_hit` is NULL without a record.
+
+    Each part is ranked and joined by itself. A bucketed part is not shuffled: the texts
+    are dealt into its buckets."""
+    layers, found = layers_of(cache), []
+    rows = texts.repartition(layers.buckets, "content_hash") if layers.buckets else texts
+    for i, part in enumerate(layers.parts):
+        written_at = F.col(SEQUENCE) if SEQUENCE in part.columns else F.lit(None).cast("long")
+        rank = [(F.col("model_version") == model).alias("exact"), F.col("model_version"), F.coalesce(written_at, F.lit(-1)).alias("at"), F.lit(i).alias("layer")]
+        best = best_records(part, model).select("content_hash", F.struct(*rank, *RECORD_COLUMNS).alias(f"_part{i}"))
+        rows, found = rows.join(best, "content_hash", "left"), [*found, F.col(f"_part{i}")]
+    best = F.greatest(*found) if len(found) > 1 else found[0]
+    return rows.withColumn("_best", best).select(
+        *texts.columns, F.when(F.col("_best").isNotNull(), True).alias("_hit"), *[F.col(f"_best.{c}").alias(c) for c in ("model_version", *RECORD_COLUMNS)]
+    )
+
+
 # --- misses -----------------------------------------------------------------
 
 
-def cache_misses(keys: DataFrame, cache: DataFrame, model: str) -> DataFrame:
+def _unseen(rows: DataFrame, cache: Cache, model: str) -> DataFrame:
+    for part in layers_of(cache).parts:
+        known = part.filter(F.col("model_version") == model).select("content_hash")
+        rows = rows.join(known, "content_hash", "left_anti")
+    return rows
+
+
+def cache_misses(keys: DataFrame, cache: Cache, model: str) -> DataFrame:
     """Feedback rows whose text the model has not seen."""
-    known = cache.filter(F.col("model_version") == model).select("content_hash")
-    return keys.join(known, "content_hash", "left_anti").select(*keys.columns)
+    return _unseen(keys, cache, model).select(*keys.columns)
 
 
-def texts_to_enrich(keys: DataFrame, cache: DataFrame, model: str) -> DataFrame:
+def texts_to_enrich(keys: DataFrame, cache: Cache, model: str) -> DataFrame:
     """One feedback id per unseen text: the greatest id stands for all copies.
 
     The aggregation runs before the join, so a text with very many copies is a
-    single row by the time it is joined, and both steps share one shuffle.
+    single row by the time it is joined, and both steps share one shuffle (texts are
+    dealt into the buckets of a bucketed cache, which is not shuffled then).
     """
-    known = cache.filter(F.col("model_version") == model).select("content_hash")
     distinct = keys.groupBy("content_hash").agg(
         F.max("feedback_id").alias("feedback_id"), F.count("*").alias("copies")
     )
-    return distinct.join(known, "content_hash", "left_anti")
+    buckets = layers_of(cache).buckets
+    return _unseen(distinct.repartition(buckets, "content_hash") if buckets else distinct, cache, model)
 
 
 def enricher_input(
@@ -144,40 +195,60 @@ def full_batches(n_rows: int, batch_size: int) -> int:
 
 
 def run_enricher(
-    texts: DataFrame, enricher: Enricher, batch_size: int = 100, partitions: int | None = None
+    texts: DataFrame, enricher: Enricher, batch_size: int = 100, partitions: int | None = None,
+    ledger: Ledger | None = None,
 ) -> DataFrame:
     """Call a user-supplied function on batches of rows, inside the tasks.
 
     Answers are matched to their batch by id, the last answer for an id wins;
     rows without an answer are simply missing and stay misses. An enricher that
-    returns None (out of quota) is not called again for its partition. Write the
-    answers before they are read: every reading of this frame asks again, and so
-    does a task that Spark retries.
+    returns None (out of quota) is not called again for its partition.
+
+    With a `ledger` the batches are cut in id order, and each is looked up there
+    before it is sent and put there as soon as it is answered, so a task that Spark
+    retries, or a second reading of this frame, sends only what is left. Without one
+    every reading asks again: write the answers before they are read.
     """
     spread = texts.repartition(partitions, "feedback_id") if partitions else texts
+    if ledger:
+        workers_import_package(texts.sparkSession)
+        spread = spread.sortWithinPartitions("feedback_id", "content_hash")
     inputs, lists, answer_columns = ENRICHER_INPUT, LIST_COLUMNS, RAW_RECORD_SCHEMA.names
+    columns = ["content_hash", *answer_columns]
 
     def cell(name, value):
         if value is None:
             return None
         return [str(v) for v in value] if name in lists else str(value)
 
+    def ask(batch: pd.DataFrame) -> pd.DataFrame | None:
+        asked = batch[inputs].astype(object).where(batch[inputs].notna(), None)
+        answers = enricher(asked.to_dict("records"))
+        if answers is None:
+            return None
+        table = pd.DataFrame(
+            [[cell(c, a.get(c)) for c in answer_columns]
+             for a in answers if isinstance(a, dict)],
+            columns=answer_columns,
+            dtype=object,
+        ).drop_duplicates("feedback_id", keep="last")
+        return batch[["feedback_id", "content_hash"]].merge(table, on="feedback_id")[columns]
+
     def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for start in range(0, len(frame), batch_size):
                 batch = frame.iloc[start:start + batch_size]
-                asked = batch[inputs].astype(object).where(batch[inputs].notna(), None)
-                answers = enricher(asked.to_dict("records"))
-                if answers is None:
+                key = batch_key(batch[["feedback_id", "content_hash"]].values.tolist()) if ledger else None
+                known = ledger.get(key) if ledger else None
+                if known is not None:
+                    yield pd.DataFrame(known, columns=columns, dtype=object)
+                    continue
+                found = ask(batch)
+                if found is None:
                     return
-                table = pd.DataFrame(
-                    [[cell(c, a.get(c)) for c in answer_columns]
-                     for a in answers if isinstance(a, dict)],
-                    columns=answer_columns,
-                    dtype=object,
-                ).drop_duplicates("feedback_id", keep="last")
-                found = batch[["feedback_id", "content_hash"]].merge(table, on="feedback_id")
-                yield found[["content_hash", *answer_columns]]
+                if ledger:
+                    ledger.put(key, found.where(found.notna(), None).to_dict("records"))
+                yield found
 
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in RAW_RECORD_SCHEMA]
     return spread.mapInPandas(call, ", ".join(["content_hash string", *fields]))
@@ -262,7 +333,7 @@ def fallback_values() -> dict[str, Column]:
 
 def assemble(
     keys: DataFrame,
-    cache: DataFrame,
+    cache: Cache,
     model: str,
     run_ts: Column,
     previous: DataFrame | None = None,
@@ -273,7 +344,10 @@ def assemble(
     as before keeps its old timestamp, so only real changes pass the watermark.
     Of several previous rows with one id the newest counts.
     """
-    best = best_records(cache, model).withColumn("_hit", F.lit(True))
+    if isinstance(cache, Layers):  # per text, so that copies of one do not meet in a bucket
+        best = looked_up(keys.select("content_hash").distinct(), cache, model).filter("_hit")
+    else:
+        best = best_records(cache, model).withColumn("_hit", F.lit(True))
     joined = keys.join(best, "content_hash", "left")
     fallback = fallback_values()
     record = {
@@ -305,14 +379,13 @@ def assemble(
     )
 
 
-def run_summary(keys: DataFrame, cache: DataFrame, model: str) -> DataFrame:
+def run_summary(keys: DataFrame, cache: Cache, model: str) -> DataFrame:
     """Rows, exact hits, misses, resolved and fallback rows, in one row.
 
     Counted per distinct text before the join, so copies cost nothing there.
     """
     per_text = keys.groupBy("content_hash").agg(F.count("*").alias("n"))
-    best = best_records(cache, model).select("content_hash", "model_version", "resolved_campaign_id")
-    joined = per_text.join(best, "content_hash", "left")
+    joined = looked_up(per_text, cache, model)
 
     def rows_where(cond: Column) -> Column:
         return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")

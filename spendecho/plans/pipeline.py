@@ -8,6 +8,7 @@ hashes only texts loaded since the last run and writes only rows that changed.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -19,7 +20,8 @@ from ..operators import history, incremental, quality, staging
 from ..schemas import AD_TABLES, ENRICHED_COLUMNS, KEY_NULL_TOKEN, KEY_SEPARATOR, SNAPSHOT_CHECKS
 from ..session import clear_scratch, materialize, scratch_mark, scratch_path
 from ..sources import cache as cache_files
-from ..sources import landing
+from ..sources import files, landing
+from ..sources import ledger as ledger_files
 from ..sources.tables import append_table, create_layers, export_marts, replace_table
 from . import checks, marts, views
 
@@ -27,6 +29,7 @@ from . import checks, marts, views
 KEY_LOG, ENRICHED_LOG = "feedback_key_log", "feedback_enriched_log"
 BUCKET_BYTES = 256 << 20
 ROUND_BATCHES, MAX_ROUNDS = 20, 64
+LEDGER = "_answers"
 HIGH_SPEND, TOP_THEMES = 10_000.0, 10
 
 
@@ -55,7 +58,7 @@ class Settings:
     limit: int | None = None  # only the first rows by id, for a smoke run
     keep_cache: bool = True  # False: new records serve this run only
     buckets: int | None = None  # by feedback_id, 0 for none; None: from the bytes landed
-    compact_above: int = 1000  # cache files at which they are rewritten as few
+    compact_above: int = 1000  # delta files of the cache at which they are folded into its base
     export_dir: str | None = None
     declared: list[quality.Check] = field(default_factory=lambda: checks.DECLARED)
 
@@ -108,11 +111,12 @@ class Run:
 
     # -- enrichment
 
-    def cache(self) -> DataFrame:
-        cached = cache_files.read_cache(self.spark, self.s.cache_path)
+    def cache(self) -> enr.Layers:
+        """The cache as it is now, base and deltas."""
+        cached = cache_files.open_cache(self.spark, self.s.cache_path)
         if self.s.keep_cache:
             return cached
-        return enr.upsert_cache(cached, cache_files.read_cache(self.spark, self.new_records))
+        return cached.plus(cache_files.open_cache(self.spark, self.new_records))
 
     def catalog(self) -> DataFrame:
         catalog = staging.campaign_catalog(*[self.table("raw", t) for t in AD_TABLES])
@@ -140,7 +144,7 @@ class Run:
                 self.table("raw", "customer_feedback"), keys, self.cache, self.catalog(), self.s.model,
                 self.s.enricher, self.new_records, self.s.batch_size, self.s.rounds,
             )
-        cached = materialize(self.cache(), "cache")
+        cached = self.cache()
         known = self.exists("raw", ENRICHED_LOG)
         log = self.table("raw", ENRICHED_LOG) if known else None
         last = log.agg(F.max("_enriched_at")).head()[0] if known else None
@@ -157,9 +161,9 @@ class Run:
         return {**after, "cache_hits": before["cache_hits"], "to_enrich": before["to_enrich"]}
 
     def compact(self) -> None:
-        """Rewrite a cache of many files, and logs of many versions, as few rows."""
-        if cache_files.count_files(self.spark, self.s.cache_path) > self.s.compact_above:
-            cache_files.compact_cache(self.spark, self.s.cache_path)
+        """Fold the cache's deltas into its base when they are many."""
+        if cache_files.fold_due(self.spark, self.s.cache_path, self.s.compact_above):
+            cache_files.fold(self.spark, self.s.cache_path)
 
     def compact_log(self, layer: str, log: str, column: str) -> None:
         """Keep the live version of each key. Not for the history, whose versions count."""
@@ -288,7 +292,7 @@ def _run_pipeline(spark: SparkSession, settings: Settings) -> dict:
 def enrich_in_rounds(
     feedback: DataFrame,
     keys: DataFrame,
-    read_cache: Callable[[], DataFrame],
+    read_cache: Callable[[], enr.Cache],
     catalog: DataFrame,
     model: str,
     enricher: enr.Enricher,
@@ -300,9 +304,24 @@ def enrich_in_rounds(
     one distributed job whose records are in the cache before the next starts,
     so a run that stops is resumed by running again: only misses are left.
 
-    Answers are written as they come, before anything else reads them, so no text
-    is sent twice by a later step. A task that Spark retries sends its texts again;
-    keep speculation off."""
+    Tasks put the answers of each batch into a ledger beside the cache before they go
+    on. A retried task finds its batches there; what a stopped run has left there is
+    taken into the cache first. A batch is sent twice only if its task ends between
+    the answer and the note of it, or if two attempts of one task run at once (so keep
+    speculation off). Where tasks cannot open the cache's file system without Spark,
+    there is no ledger, and a retried task sends its batches again."""
+    spark, folder = feedback.sparkSession, f"{cache_path}/{LEDGER}/{hashlib.md5(model.encode()).hexdigest()}"
+    found = ledger_files.Ledger(ledger_files.uri(spark, folder))
+    ledger = found if ledger_files.usable(found) else None
+
+    def keep(answers: DataFrame) -> None:
+        records = enr.new_cache_records(enr.normalize(answers, catalog), model)
+        cache_files.append_cache(records, cache_path)
+        files.remove(spark, folder)
+
+    before = ledger_files.left_over(spark, folder)
+    if before is not None:
+        keep(before)
     if rounds is None:
         n_misses = enr.texts_to_enrich(keys, read_cache(), model).count()
         rounds = min(MAX_ROUNDS, max(1, -(-n_misses // (ROUND_BATCHES * batch_size))))
@@ -316,9 +335,7 @@ def enrich_in_rounds(
             continue
         texts = enr.enricher_input(feedback, chosen)
         partitions = enr.full_batches(n_texts, batch_size)
-        answers = materialize(enr.run_enricher(texts, enricher, batch_size, partitions), "answers")
-        records = enr.new_cache_records(enr.normalize(answers, catalog), model)
-        cache_files.append_cache(records, cache_path)
+        keep(materialize(enr.run_enricher(texts, enricher, batch_size, partitions, ledger), "answers"))
 
 
 def sentiment_page(run: Run, high_spend: float = HIGH_SPEND, k: int = TOP_THEMES, **slicers) -> dict[str, DataFrame]:

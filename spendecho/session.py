@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,12 @@ def build_session(app: str = "spendecho", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def workers_import_package(spark: SparkSession) -> None:
+    """Put this package on the path of workers that share the folder it lies in
+    (elsewhere it is shipped with --py-files)."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder, else the warehouse: both are shared."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

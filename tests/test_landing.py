@@ -146,8 +146,8 @@ def test_write_sequence_decides(spark, tmp_path):
     for f in (tmp_path / "cache").glob("part-*"):
         os.utime(f, (10**9, 10**9))
     assert [r.sentiment for r in cache_files.read_cache(spark, path).collect()] == ["mixed"]
-    assert cache_files.count_files(spark, path) >= 3
-    cache_files.compact_cache(spark, path)
+    assert len(cache_files.delta_files(spark, path, None)) >= 3
+    cache_files.fold(spark, path)
     assert [r.sentiment for r in cache_files.read_cache(spark, path).collect()] == ["mixed"]
     cache_files.append_cache(spark.createDataFrame([record("h1", "m1", "neutral")], CACHE_SCHEMA), path, 6)
     assert [r.sentiment for r in cache_files.read_cache(spark, path).collect()] == ["mixed"]
