@@ -184,8 +184,9 @@ def pack(turns: DataFrame, vocab: tuple[str, dict[bytes, int]] | None = None) ->
     )
     segments = written(segments, "chat-tree")
     base = segments.select("segment", F.col("start").alias("_start"), F.col("position").alias("_position"))
-    pieces = made.drop("key").join(placed.select("segment", "at", "start"), ["segment", "at"]).join(base, "segment")
-    pieces = pieces.withColumn("position", F.col("_position") + F.col("start") - F.col("_start")).drop("_start", "_position")
+    at = placed.select("segment", "at", "start").join(base, "segment")
+    at = at.select("segment", "at", "start", (F.col("_position") + F.col("start") - F.col("_start")).alias("position"))
+    pieces = made.drop("key").join(at, ["segment", "at"])
     pieces = written(pieces, "chat-pieces")
     ids = rows.groupBy("conv").agg(F.first("conv_id").alias("conv_id"))
     ended = paths.select("conv", "end", F.size("path").alias("turns")).join(segments.select("segment", "end", "turns"), ["end", "turns"])
