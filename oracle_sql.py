@@ -613,6 +613,16 @@ select * {DOUBLES.format('')} from ad_spend where {SLICE} and channel = 'google_
     ),
 }
 
+# Kept by increments, equal to the rebuild.
+ORACLE |= {
+    "summary_after_increment": ORACLE["fct_campaign_summary"],
+    "performance_after_increment": ORACLE["fct_campaign_performance"],
+    "language_after_increment": ORACLE["language_split"],
+    "resolved_share_after_increment": ORACLE["resolved_share"],
+    "confidence_after_increment": ORACLE["resolution_confidence"],
+    "themes_after_increment": ORACLE["theme_counts"],
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql(body) for name, body in ORACLE.items()}

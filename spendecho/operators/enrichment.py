@@ -337,13 +337,16 @@ def assemble(
     model: str,
     run_ts: Column,
     previous: DataFrame | None = None,
+    replaced: list[str] | None = None,
 ) -> DataFrame:
     """One enriched row per feedback row: cached record, else neutral fallback.
 
     With `previous`, a row whose record, text and producing model are the same
     as before keeps its old timestamp, so only real changes pass the watermark.
-    Of several previous rows with one id the newest counts.
+    Of several previous rows with one id the newest counts. `replaced` names columns
+    of that row to hand on in `_replaced`, NULL where there is none.
     """
+    more = []
     if isinstance(cache, Layers):  # per text, so that copies of one do not meet in a bucket
         best = looked_up(keys.select("content_hash").distinct(), cache, model).filter("_hit")
     else:
@@ -361,6 +364,9 @@ def assemble(
         run_ts.cast("timestamp_ntz").alias("_enriched_at"),
     )
     if previous is None:
+        if replaced:
+            kinds = ", ".join(f"{c}: {rows.schema[c].dataType.simpleString()}" for c in replaced)
+            rows = rows.withColumn("_replaced", F.lit(None).cast(f"struct<{kinds}>"))
         return rows
     content = [*RECORD_COLUMNS, "model_version", "content_hash"]
     newest = [F.col("_enriched_at").desc(), F.struct(*content).desc()]
@@ -370,12 +376,14 @@ def assemble(
         F.col("_enriched_at").alias("_old_at"),
     )
     unchanged = F.struct(*content).eqNullSafe(F.col("_old"))
+    if replaced:
+        more = [F.when(F.col("_old").isNotNull(), F.struct(*[F.col(f"_old.{c}").alias(c) for c in replaced])).alias("_replaced")]
     return (
         rows.join(old, "feedback_id", "left")
         .withColumn(
             "_enriched_at", F.when(unchanged, F.col("_old_at")).otherwise(F.col("_enriched_at"))
         )
-        .select(*ENRICHED_COLUMNS)
+        .select(*ENRICHED_COLUMNS, *more)
     )
 
 

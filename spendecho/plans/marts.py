@@ -27,8 +27,8 @@ def served(df: DataFrame) -> DataFrame:
     ])
 
 
-def fct_ad_spend(*staged: DataFrame) -> DataFrame:
-    return union_all(*staged).select(*SPEND_COLUMNS)
+def fct_ad_spend(*staged: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    return union_all(*staged).select(*SPEND_COLUMNS, *(extra or []))
 
 
 def _totals() -> list[Column]:
@@ -105,13 +105,13 @@ def fct_feedback(staged_enriched: DataFrame, staged_feedback: DataFrame) -> Data
     )
 
 
-def fct_feedback_themes(staged_enriched: DataFrame) -> DataFrame:
+def fct_feedback_themes(staged_enriched: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """One row per feedback and theme; empty and NULL lists give no row."""
     exploded = staged_enriched.select(
-        "feedback_id", F.explode(from_json_list(F.col("themes_json"))).alias("theme")
+        "feedback_id", F.explode(from_json_list(F.col("themes_json"))).alias("theme"), *(extra or [])
     )
     return exploded.select(
-        surrogate_key("feedback_id", "theme").alias("surrogate_key"), "feedback_id", "theme"
+        surrogate_key("feedback_id", "theme").alias("surrogate_key"), "feedback_id", "theme", *(extra or [])
     )
 
 

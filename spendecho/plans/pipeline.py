@@ -16,17 +16,20 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import enrichment as enr
-from ..operators import history, incremental, quality, staging
-from ..schemas import AD_TABLES, ENRICHED_COLUMNS, KEY_NULL_TOKEN, KEY_SEPARATOR, SNAPSHOT_CHECKS
+from ..operators import history, incremental, maintained, quality, staging
+from ..schemas import AD_TABLES, ENRICHED_COLUMNS, KEY_NULL_TOKEN, KEY_SEPARATOR, SNAPSHOT_CHECKS, WATERMARK_FLOOR
 from ..session import clear_scratch, materialize, scratch_mark, scratch_path
 from ..sources import cache as cache_files
 from ..sources import files, landing
 from ..sources import ledger as ledger_files
-from ..sources.tables import append_table, create_layers, export_marts, replace_table
+from ..sources.tables import append_table, create_layers, export_marts, replace_partitions, replace_table, save
 from . import checks, marts, views
 
 
 KEY_LOG, ENRICHED_LOG = "feedback_key_log", "feedback_enriched_log"
+#: Partial sums that marts and report views are made of.
+SPEND_LOG, THEME_LOG = "spend_state_log", "feedback_theme_log"
+SUM_LOGS = {"voice": "voice_sum_log", "theme": "theme_sum_log", "confidence": "confidence_sum_log"}
 BUCKET_BYTES = 256 << 20
 ROUND_BATCHES, MAX_ROUNDS = 20, 64
 LEDGER = "_answers"
@@ -99,8 +102,9 @@ class Run:
     def load(self, truncate: bool = False) -> dict[str, int]:
         inputs = landing.read_all(self.spark, self.s.landing_dir)
         truncate = truncate if self.s.truncate is None else self.s.truncate
-        if truncate and self.exists("raw", KEY_LOG):
-            self.spark.sql(f"DROP TABLE {self.name('raw', KEY_LOG)}")
+        if truncate:  # what followed the rows that are replaced starts again
+            for layer, log in (("raw", KEY_LOG), ("marts", SPEND_LOG)):
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, log)}")
         return {
             t: landing.land(
                 df, self.name("raw", t), truncate,
@@ -146,15 +150,18 @@ class Run:
             )
         cached = self.cache()
         known = self.exists("raw", ENRICHED_LOG)
+        if known and "_replaced" not in self.table("raw", ENRICHED_LOG).columns:
+            kinds = ", ".join(f"{c}: {'double' if c == 'resolution_confidence' else 'string'}" for c in maintained.COUNTED)
+            self.spark.sql(f"ALTER TABLE {self.name('raw', ENRICHED_LOG)} ADD COLUMNS (_replaced struct<{kinds}>)")
         log = self.table("raw", ENRICHED_LOG) if known else None
         last = log.agg(F.max("_enriched_at")).head()[0] if known else None
         if last is not None and last >= self.s.run_ts:
             raise ValueError(f"run_ts has to be later than the last run's, {last}")
-        rows = enr.assemble(keys, cached, self.s.model, self.run_ts, log)
+        rows = enr.assemble(keys, cached, self.s.model, self.run_ts, log, maintained.COUNTED)
         if last is not None:
             # The log is read and appended to in one run: write the new rows out first.
             rows = materialize(rows.filter(F.col("_enriched_at") > F.lit(last)), "feedback-enriched")
-        append_table(rows.select(*ENRICHED_COLUMNS), self.name("raw", ENRICHED_LOG), self.by_feedback)
+        append_table(rows.select(*ENRICHED_COLUMNS, "_replaced"), self.name("raw", ENRICHED_LOG), self.by_feedback)
         in_bronze = None if self.s.limit else self.name("raw", KEY_LOG)
         self._current_view("raw", "feedback_enriched", ENRICHED_LOG, "_enriched_at", in_bronze)
         after = enr.run_summary(keys, cached, self.s.model).head().asDict()
@@ -183,15 +190,39 @@ class Run:
     # -- Gold
 
     def build_spend(self, staged: dict[str, DataFrame]) -> None:
-        spend = marts.fct_ad_spend(*[staged[f"stg_{t}"] for t in AD_TABLES])
-        by_month = spend.withColumn("month", F.date_format("date", "yyyy-MM"))
-        spend = replace_table(by_month, self.name("marts", "fct_ad_spend"), partition_by="month")
-        daily = marts.fct_channel_daily(spend).withColumn("month", F.date_format("date", "yyyy-MM"))
-        replace_table(daily, self.name("marts", "fct_channel_daily"), partition_by="month")
-        replace_table(marts.fct_campaign_summary(spend), self.name("marts", "fct_campaign_summary"))
-        replace_table(marts.dim_campaigns(spend), self.name("marts", "dim_campaigns"))
+        """Spend marts. After an append only the new Bronze rows are read: they are added
+        to the facts, the months they fall in are summed anew by day, and lifetime figures
+        come from the states of all loads. Replaced Bronze is read in full."""
+        spend = marts.fct_ad_spend(*[staged[f"stg_{t}"] for t in AD_TABLES], extra=["_loaded_at"])
+        spend = spend.withColumn("month", F.date_format("date", "yyyy-MM"))
+        known, table = self.exists("marts", SPEND_LOG), self.name("marts", "fct_ad_spend")
+        if known:
+            # A run may have stopped between facts and states: rows newer than the states,
+            # in few files by their statistics, are there already.
+            counted = F.lit(self._mark("marts", SPEND_LOG, "_loaded_at"))
+            there = self.table("marts", "fct_ad_spend").filter(F.col("_loaded_at") > counted)
+            mark = there.agg(F.coalesce(F.max("_loaded_at"), counted)).head()[0]
+            save(spend.filter(F.col("_loaded_at") > F.lit(mark)), table, "append", partition_by="month")
+            late = materialize(self.table("marts", "fct_ad_spend").filter(F.col("_loaded_at") > counted), "spend-increment")
+        else:
+            late = replace_table(spend, table, partition_by="month")
+        months = [r.month for r in late.select("month").distinct().collect()]  # of the new rows
+        days = self.table("marts", "fct_ad_spend").filter(F.coalesce(F.col("month"), F.lit("")).isin([m or "" for m in months]))
+        daily = marts.fct_channel_daily(days).withColumn("month", F.date_format("date", "yyyy-MM"))
+        if known:
+            replace_partitions(daily, self.name("marts", "fct_channel_daily"), "month")
+        else:
+            replace_table(daily, self.name("marts", "fct_channel_daily"), partition_by="month")
+        as_of = late.agg(F.max("_loaded_at")).head()[0]
+        if as_of is not None or not known:
+            states = maintained.spend_states(late).withColumn("_loaded_at", F.lit(as_of).cast("timestamp_ntz"))
+            append_table(states, self.name("marts", SPEND_LOG))
+        states = self.table("marts", SPEND_LOG)
+        replace_table(maintained.campaign_summary(states), self.name("marts", "fct_campaign_summary"))
+        replace_table(marts.dim_campaigns(states), self.name("marts", "dim_campaigns"))
 
     def build_feedback(self, staged: dict[str, DataFrame]) -> None:
+        """Facts, themes and sums take only enriched rows newer than themselves."""
         log = "fct_feedback_log"
         enriched = staged["stg_feedback_enriched"]
         if self.exists("marts", log):
@@ -199,18 +230,49 @@ class Run:
         facts = marts.fct_feedback(enriched, staged["stg_customer_feedback"])
         append_table(facts, self.name("marts", log), self.by_feedback)
         self._current_view("marts", "fct_feedback", log, "_enriched_at")
-        replace_table(
-            marts.fct_feedback_themes(staged["stg_feedback_enriched"]),
-            self.name("marts", "fct_feedback_themes"),
-        )
-        performance = marts.fct_campaign_performance(
-            self.table("marts", "fct_campaign_summary"), self.table("marts", "fct_feedback")
-        )
+        self._append_themes()
+        self._append_sums()
+        performance = maintained.campaign_performance(self.table("marts", "fct_campaign_summary"), self.sums("voice"))
         replace_table(performance, self.name("marts", "fct_campaign_performance"))
 
+    def _mark(self, layer: str, log: str, column: str) -> datetime:
+        """Up to where a log has counted, as a value that reaches the scans."""
+        newest = self.table(layer, log).agg(F.max(column)).head()[0]
+        return newest or datetime.fromisoformat(WATERMARK_FLOOR)
+
+    def _versions(self, layer: str, log: str, column: str) -> DataFrame:
+        """Enriched rows that `log` has not taken: the live ones at first, then all
+        newer versions."""
+        versions = self.table("raw", ENRICHED_LOG)
+        if self.exists(layer, log):
+            return versions.filter(F.col("_enriched_at") > F.lit(self._mark(layer, log, column)))
+        return incremental.current_rows(versions, "feedback_id", "_enriched_at").drop("_replaced")
+
+    def _append_themes(self) -> None:
+        """Themes of each version in a log; the mart shows those of live versions."""
+        new = staging.stage_enriched(self._versions("marts", THEME_LOG, "_enriched_at"))
+        append_table(marts.fct_feedback_themes(new, ["_enriched_at"]), self.name("marts", THEME_LOG), self.by_feedback)
+        table = self.name("marts", "fct_feedback_themes")
+        if self.exists("marts", "fct_feedback_themes") and self.spark.catalog.getTable(table).tableType != "VIEW":
+            self.spark.sql(f"DROP TABLE {table}")  # of a build before there was a log
+        self.spark.sql(f"""
+            CREATE OR REPLACE VIEW {table} AS
+            SELECT surrogate_key, feedback_id, theme FROM {self.name("marts", THEME_LOG)}
+            LEFT SEMI JOIN (SELECT feedback_id AS _id, _enriched_at AS _at FROM {self.name("raw", "feedback_enriched")})
+              ON feedback_id = _id AND _enriched_at = _at""")
+
+    def _append_sums(self) -> None:
+        for kind, log in SUM_LOGS.items():
+            new = materialize(self._versions("marts", log, "as_of"), "sum-increment")
+            append_table(getattr(maintained, f"{kind}_sums")(maintained.changes(new)), self.name("marts", log))
+
+    def sums(self, kind: str) -> DataFrame:
+        """The totals of one kind (voice, theme, confidence) over live enriched rows."""
+        return maintained.total(self.table("marts", SUM_LOGS[kind]), getattr(maintained, f"{kind.upper()}_KEYS"))
+
     def _current_view(self, layer: str, view: str, log: str, column: str, of: str | None = None) -> None:
         """The newest row per id; with `of`, of the ids that this table still has."""
-        columns = ", ".join(self.table(layer, log).columns)
+        columns = ", ".join(c for c in self.table(layer, log).columns if c != "_replaced")
         present = f"AND feedback_id IN (SELECT feedback_id FROM {of})" if of else ""
         self.spark.sql(f"""
             CREATE OR REPLACE VIEW {self.name(layer, view)} AS
@@ -340,14 +402,26 @@ def enrich_in_rounds(
 
 def sentiment_page(run: Run, high_spend: float = HIGH_SPEND, k: int = TOP_THEMES, **slicers) -> dict[str, DataFrame]:
     """The customer-voice report views over the built marts. `slicers` (date_from,
-    date_to, channels, campaigns) narrow every view of feedback rows."""
+    date_to, channels, campaigns) narrow every view of feedback rows; without any, the
+    views come from the kept sums and read no row of feedback."""
     performance = marts.served(run.table("marts", "fct_campaign_performance"))
+    page = {
+        "spend_vs_sentiment": views.spend_vs_sentiment(performance, high_spend),
+        "sentiment_mix": views.sentiment_mix(performance),
+    }
+    if not any(slicers.values()):
+        voice, themes = run.sums("voice"), run.sums("theme")
+        return page | {
+            "top_themes": maintained.top_themes(themes, k),
+            "theme_counts": maintained.theme_counts(themes),
+            "language_split": maintained.language_split(voice),
+            "resolution_confidence": maintained.resolution_confidence(voice, run.sums("confidence")),
+            "resolved_share": maintained.resolved_share(voice),
+        }
     facts = views.slice_feedback(run.table("marts", "fct_feedback"), **slicers)
     themes = run.table("marts", "fct_feedback_themes")
-    return {
-        "spend_vs_sentiment": views.spend_vs_sentiment(performance, high_spend),
+    return page | {
         "top_themes": views.top_themes(themes, facts, k),
-        "sentiment_mix": views.sentiment_mix(performance),
         "theme_counts": views.theme_counts(themes, facts),
         "language_split": views.language_split(facts),
         "resolution_confidence": views.resolution_confidence(facts),

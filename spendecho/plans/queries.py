@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import channel_of, content_hash, parse_date_any, parse_rating
 from ..operators import enrichment as enr
-from ..operators import history, incremental, quality, staging
+from ..operators import history, incremental, maintained, quality, staging
 from ..schemas import AD_TABLES, CHANNELS, LIST_COLUMNS, SNAPSHOT_CHECKS
 from ..session import materialize, scratch_path
 from ..sources import cache as cache_files
@@ -556,6 +556,64 @@ def scd2_asof(spark, sf):
     ).select("feedback_id", *SNAPSHOT_CHECKS, "valid_from")
 
 
+# --- aggregates that follow their rows ---------------------------------------------
+
+
+@query
+def summary_after_increment(spark, sf):
+    """Two loads that share months and days: states are appended, and the summary comes
+    from them alone."""
+    spend = _ad_spend(spark, sf)
+    late = F.pmod(F.xxhash64("surrogate_key"), F.lit(5)) == 0
+    path = scratch_path(spark, "spend-states")
+    for load in (spend.filter(~late), spend.filter(late)):
+        maintained.spend_states(load).write.mode("append").parquet(path)
+    return marts.served(maintained.campaign_summary(spark.read.parquet(path)))
+
+
+def _kept_sums(spark: SparkSession, sf: str, *kinds: str) -> list[DataFrame]:
+    """Sums after two runs: the first has another model and no French rows; what the
+    second appends comes from its new versions only."""
+    keys = sample.keys(spark, sf)
+    cached = sample.cache(spark, sf, keys)
+    first = materialize(enr.assemble(keys, cached, OLD_MODEL, ntz(RUNS[0])).filter("language <> 'fr'"), "enriched-log")
+    second = enr.assemble(keys, cached, MODEL, ntz(RUNS[1]), first, maintained.COUNTED)
+    newer = materialize(second.filter(F.col("_enriched_at") > ntz(RUNS[0])), "enriched-log")
+    out = []
+    for kind in kinds:
+        sums, path = getattr(maintained, f"{kind}_sums"), scratch_path(spark, f"{kind}-sums")
+        for rows in (first, newer):
+            sums(maintained.changes(rows)).write.mode("append").parquet(path)
+        out.append(maintained.total(spark.read.parquet(path), getattr(maintained, f"{kind.upper()}_KEYS")))
+    return out
+
+
+@query
+def performance_after_increment(spark, sf):
+    (voice,) = _kept_sums(spark, sf, "voice")
+    return marts.served(maintained.campaign_performance(marts.fct_campaign_summary(_ad_spend(spark, sf)), voice))
+
+
+@query
+def language_after_increment(spark, sf):
+    return maintained.language_split(*_kept_sums(spark, sf, "voice"))
+
+
+@query
+def resolved_share_after_increment(spark, sf):
+    return maintained.resolved_share(*_kept_sums(spark, sf, "voice"))
+
+
+@query
+def confidence_after_increment(spark, sf):
+    return maintained.resolution_confidence(*_kept_sums(spark, sf, "voice", "confidence"))
+
+
+@query
+def themes_after_increment(spark, sf):
+    return maintained.theme_counts(*_kept_sums(spark, sf, "theme"))
+
+
 # --- quality --------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..schemas import AD_SCHEMA, FEEDBACK_SCHEMA
-from .tables import Bucket, save
+from .tables import Bucket, observed, save
 
 NULL_TOKENS = ("", "NULL")
 
@@ -95,4 +95,4 @@ def land(df: DataFrame, table: str, truncate: bool = False, bucket: Bucket | Non
     seen = Observation()
     out = with_load_time(df).observe(seen, F.count(F.lit(1)).alias("rows"))
     save(out, table, "overwrite" if truncate else "append", bucket=bucket)
-    return seen.get["rows"]
+    return observed(seen, "rows")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..plans.marts import served
@@ -46,6 +47,17 @@ def save(
     writer.saveAsTable(table)
 
 
+def observed(seen: Observation, name: str, empty: int = 0) -> int:
+    """A counter of a finished write. Adaptive planning drops the counter together with
+    an input that turns out to be empty; then it is `empty`."""
+    try:
+        return seen.get[name]
+    except Py4JJavaError as e:
+        if "AssertionError" not in str(e):
+            raise
+        return empty
+
+
 def replace_table(
     df: DataFrame, table: str, partition_by: str | None = None, bucket: Bucket | None = None
 ) -> DataFrame:
@@ -53,6 +65,18 @@ def replace_table(
     return df.sparkSession.table(table)
 
 
+def replace_partitions(df: DataFrame, table: str, partition_by: str) -> None:
+    """Replace the partitions that `df` has rows of; the others stay."""
+    spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    rows = df.select(*spark.table(table).columns).hint("rebalance", partition_by)
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")  # a table does not take it as an option of the write
+    try:
+        rows.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def append_table(df: DataFrame, table: str, bucket: Bucket | None = None) -> None:
     save(df, table, "append", bucket=bucket)
 
@@ -64,8 +88,8 @@ def export_marts(
     counts = {}
     for name in names:
         seen = Observation()
-        rows = served(spark.table(f"{marts}.{name}")).drop("month")
+        rows = served(spark.table(f"{marts}.{name}")).drop("month", "_loaded_at")
         df = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        counts[name] = seen.get["rows"]
+        counts[name] = observed(seen, "rows")
     return counts

@@ -7,6 +7,7 @@ import pytest
 from spendecho.operators.quality import QualityError
 from spendecho.plans import checks, marts, pipeline
 from spendecho.schemas import AD_SCHEMA, FEEDBACK_SCHEMA, GOLD_TABLES
+from spendecho.sources import cache as cache_files
 
 PLATFORMS = {"meta": "mt", "google_ads": "gg", "tiktok": "tk"}
 
@@ -153,21 +154,33 @@ def test_failed_check_blocks_the_export(spark, tmp_path):
 
 
 def test_a_stopped_run_is_resumed(spark, tmp_path):
+    """What was answered before the stop is not sent again, cached or only in the ledger."""
     landing_files(tmp_path / "landing")
-    honest = make_enricher()
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    honest, folder = make_enricher(), str(calls)
 
-    def broken(batch):
-        if any(r["feedback_id"] == "FB_000119" for r in batch):
+    def enrich(batch, stop):
+        import uuid
+
+        if stop and any(r["feedback_id"] == "FB_000119" for r in batch):
             raise RuntimeError("no answer")
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+            f.write("\n".join(r["feedback_id"] for r in batch))
         return honest(batch)
 
-    one_round = settings(tmp_path, 2, enricher=broken, rounds=8, export_dir=None)
+    one_round = settings(tmp_path, 2, enricher=lambda batch: enrich(batch, True), batch_size=5, rounds=2, export_dir=None)
     with pytest.raises(Exception, match="no answer"):
         pipeline.run_pipeline(spark, one_round)
-    run = pipeline.Run(spark, one_round)
-    kept = run.cache().count()
-    result = pipeline.run_pipeline(spark, settings(tmp_path, 3, rounds=8, export_dir=None))
+    kept = cache_files.read_cache(spark, one_round.cache_path).count()
+    left = [f for f in (tmp_path / "cache/_answers").rglob("*.json") if f.name[0] not in "._"]
+    assert left
+    result = pipeline.run_pipeline(spark, settings(
+        tmp_path, 3, enricher=lambda batch: enrich(batch, False), batch_size=5, rounds=2, export_dir=None))
     assert result["summary"]["cache_hits"] >= kept and result["summary"]["fallback_rows"] == 0
+    texts = [x for f in calls.iterdir() for x in f.read_text().split("\n")]
+    assert len(set(texts)) == 100 and len(texts) - len(set(texts)) <= 10  # a batch may end with its task
+    assert not [f for f in (tmp_path / "cache/_answers").rglob("*.json")]
 
 
 def test_a_second_day_costs_its_increment(spark, tmp_path):
