@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions import ratio
 from ..schemas import PRECISION_GATE
+from ..sources.observed import observed
 from .joins import orphans
 
 
@@ -79,6 +80,41 @@ def row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     return _report_rows(df.agg(*counters), checks)
 
 
+WHOLE_TABLE = ("unique", "relationship")  # kinds that need more than one row at a time
+
+
+class Watch:
+    """Row checks counted by the job that writes the rows.
+
+        watch = Watch()
+        df = watch.on(df, checks)            also for rows on their way into another table
+        df.write...                          once
+        watch.counts()                       failures per check
+
+    `where` limits checks to some rows of a frame that several tables are cut from.
+    A frame that is read more than once would be counted more than once: write it."""
+
+    def __init__(self):
+        self.seen: list[tuple[Observation, list[Check]]] = []
+
+    def on(self, df: DataFrame, checks: list[Check], where: str | None = None) -> DataFrame:
+        mine = [c for c in checks if c.kind not in WHOLE_TABLE]
+        if not mine:
+            return df
+        seen, limit = Observation(), f"({where}) AND " if where else ""
+        self.seen.append((seen, mine))
+        return df.observe(seen, *[F.expr(f"count_if({limit}({failure_sql(c)}))").alias(f"n{i}") for i, c in enumerate(mine)])
+
+    def counts(self) -> dict[Check, int]:
+        return {c: observed(seen, f"n{i}") for seen, mine in self.seen for i, c in enumerate(mine)}
+
+
+def counted_rows(spark: SparkSession, counted: dict[Check, int]) -> DataFrame:
+    """Counted checks as rows of the report."""
+    rows = [(c.table, c.column, c.kind, n) for c, n in counted.items()]
+    return spark.createDataFrame(rows, "table_name string, column_name string, check_name string, n_failed long")
+
+
 def unique_check(df: DataFrame, check: Check) -> DataFrame:
     counted = duplicate_keys(df, check.column).agg(F.count("*").alias("n0"))
     return _report_rows(counted, [check])
@@ -101,19 +137,26 @@ def relationship_check(df: DataFrame, check: Check, parent: DataFrame) -> DataFr
     return _report_rows(counted, [check])
 
 
-def quality_report(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """One row per check: table, column, check, number of failures."""
+def quality_report(
+    tables: dict[str, DataFrame], checks: list[Check], counted: dict[Check, int] | None = None
+) -> DataFrame:
+    """One row per check: table, column, check, number of failures. Checks that are
+    `counted` (see `Watch`) cost no scan."""
     parts: list[DataFrame] = []
-    for name in dict.fromkeys(c.table for c in checks):
-        mine = [c for c in checks if c.table == name]
+    known = {c: n for c, n in (counted or {}).items() if c in checks}
+    if known:
+        parts.append(counted_rows(next(iter(tables.values())).sparkSession, known))
+    left = [c for c in checks if c not in known]
+    for name in dict.fromkeys(c.table for c in left):
+        mine = [c for c in left if c.table == name]
         df = tables[name]
-        simple = [c for c in mine if c.kind not in ("unique", "relationship")]
+        simple = [c for c in mine if c.kind not in WHOLE_TABLE]
         unique = [c for c in mine if c.kind == "unique"]
-        if unique:
+        if unique and simple:
             parts.append(keyed_checks(df, simple, unique[0]))
         elif simple:
             parts.append(row_checks(df, simple))
-        parts += [unique_check(df, c) for c in unique[1:]]
+        parts += [unique_check(df, c) for c in (unique[1:] if simple else unique)]
         parts += [
             relationship_check(df, c, tables[c.parent]) for c in mine if c.kind == "relationship"
         ]

@@ -75,6 +75,7 @@ class Run:
             settings.cache_path if settings.keep_cache else scratch_path(spark, "new-records")
         )
         self.by_feedback = self._buckets()
+        self.counted: dict[quality.Check, int] = {}  # row checks of tables written in full
 
     def _buckets(self) -> tuple[int, str] | None:
         """An existing table keeps its number of buckets; a new one gets one per
@@ -97,6 +98,15 @@ class Run:
     def exists(self, layer: str, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(layer, table))
 
+    def replace(self, df: DataFrame, table: str, **kw) -> DataFrame:
+        """Write a mart in full, counting its row checks on the way."""
+        watch = quality.Watch()
+        written = replace_table(
+            watch.on(df, [c for c in self.s.declared if c.table == f"marts.{table}"]), self.name("marts", table), **kw
+        )
+        self.counted |= watch.counts()
+        return written
+
     # -- Bronze
 
     def load(self, truncate: bool = False) -> dict[str, int]:
@@ -205,21 +215,21 @@ class Run:
             save(spend.filter(F.col("_loaded_at") > F.lit(mark)), table, "append", partition_by="month")
             late = materialize(self.table("marts", "fct_ad_spend").filter(F.col("_loaded_at") > counted), "spend-increment")
         else:
-            late = replace_table(spend, table, partition_by="month")
+            late = self.replace(spend, "fct_ad_spend", partition_by="month")
         months = [r.month for r in late.select("month").distinct().collect()]  # of the new rows
         days = self.table("marts", "fct_ad_spend").filter(F.coalesce(F.col("month"), F.lit("")).isin([m or "" for m in months]))
         daily = marts.fct_channel_daily(days).withColumn("month", F.date_format("date", "yyyy-MM"))
         if known:
             replace_partitions(daily, self.name("marts", "fct_channel_daily"), "month")
         else:
-            replace_table(daily, self.name("marts", "fct_channel_daily"), partition_by="month")
+            self.replace(daily, "fct_channel_daily", partition_by="month")
         as_of = late.agg(F.max("_loaded_at")).head()[0]
         if as_of is not None or not known:
             states = maintained.spend_states(late).withColumn("_loaded_at", F.lit(as_of).cast("timestamp_ntz"))
             append_table(states, self.name("marts", SPEND_LOG))
         states = self.table("marts", SPEND_LOG)
-        replace_table(maintained.campaign_summary(states), self.name("marts", "fct_campaign_summary"))
-        replace_table(marts.dim_campaigns(states), self.name("marts", "dim_campaigns"))
+        self.replace(maintained.campaign_summary(states), "fct_campaign_summary")
+        self.replace(marts.dim_campaigns(states), "dim_campaigns")
 
     def build_feedback(self, staged: dict[str, DataFrame]) -> None:
         """Facts, themes and sums take only enriched rows newer than themselves."""
@@ -233,7 +243,7 @@ class Run:
         self._append_themes()
         self._append_sums()
         performance = maintained.campaign_performance(self.table("marts", "fct_campaign_summary"), self.sums("voice"))
-        replace_table(performance, self.name("marts", "fct_campaign_performance"))
+        self.replace(performance, "fct_campaign_performance")
 
     def _mark(self, layer: str, log: str, column: str) -> datetime:
         """Up to where a log has counted, as a value that reaches the scans."""
@@ -315,7 +325,7 @@ class Run:
                     layer, table = full.split(".")
                     if layer != "staging":
                         tables[full] = self.table(layer, table)
-            report = quality.quality_report(tables, self.s.declared)
+            report = quality.quality_report(tables, self.s.declared, self.counted)
             quality.require_clean(materialize(report, "quality"))
         failed = quality.precision_failures(
             self.table("marts", "fct_feedback"), staged["stg_customer_feedback"]

@@ -22,7 +22,7 @@ from ..sources import cache as cache_files
 from ..sources import landing
 from ..sources import sample_tables as sample
 from ..sources.sample_tables import ENRICHED_AT, MODEL, OLD_MODEL, ntz
-from ..sources.tables import create_layers, export_marts, replace_table
+from ..sources.tables import create_layers, export_marts, exported, replace_table
 from . import checks, marts, views
 from .pipeline import enrich_in_rounds
 
@@ -172,7 +172,7 @@ def mart_export(spark, sf):
         by_month = daily.withColumn("month", F.date_format("date", "yyyy-MM"))
         replace_table(by_month, f"{db['marts']}.fct_channel_daily", partition_by="month")
         export_marts(spark, db["marts"], path, ["fct_channel_daily"])
-    return spark.read.parquet(f"{path}/fct_channel_daily")
+    return spark.read.parquet(exported(spark, path)["fct_channel_daily"])
 
 
 # --- Silver ---------------------------------------------------------------------
@@ -617,24 +617,32 @@ def themes_after_increment(spark, sf):
 # --- quality --------------------------------------------------------------------
 
 
-def declared_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """All checked tables; those with several readers are written once."""
-    all_ads = materialize(sample.ads(spark, sf), "ads")
-    channel = F.col("channel")
+def declared_tables(spark: SparkSession, sf: str) -> tuple[dict[str, DataFrame], dict[quality.Check, int]]:
+    """All checked tables, those with several readers written once; and the row checks
+    that were counted in those writes."""
+    watch, of = quality.Watch(), lambda t: [c for c in checks.DECLARED if c.table == t]
+    ads, channel = sample.ads(spark, sf), F.col("channel")
+    for t, c in zip(AD_TABLES, CHANNELS):
+        ads = watch.on(ads, of(f"raw.{t}"), f"channel = '{c}'")
+    all_ads = materialize(ads, "ads")
     raw_ads = {t: all_ads.filter(channel == c) for t, c in zip(AD_TABLES, CHANNELS)}
-    staged_ads = {t: staging.stage_ads(df) for t, df in raw_ads.items()}
-    feedback, enriched = sample.feedback(spark, sf), _enriched_table(spark, sf)
-    staged_feedback = staging.stage_feedback(feedback)
+    staged_ads = {t: watch.on(staging.stage_ads(df), of(f"staging.stg_{t}")) for t, df in raw_ads.items()}
+    enriched = materialize(watch.on(_enriched(spark, sf), of("raw.feedback_enriched")), "feedback-enriched")
+    feedback = sample.feedback(spark, sf)
+    staged_feedback = staging.stage_feedback(watch.on(feedback, of("raw.customer_feedback")))
+    staged_feedback = watch.on(staged_feedback, of("staging.stg_customer_feedback"))
+    staged_enriched = watch.on(staging.stage_enriched(enriched), of("staging.stg_feedback_enriched"))
+    spend = materialize(watch.on(marts.fct_ad_spend(*staged_ads.values()), of("marts.fct_ad_spend")), "ad-spend")
+    summary = materialize(watch.on(marts.fct_campaign_summary(spend), of("marts.fct_campaign_summary")), "campaign-summary")
+    facts = watch.on(marts.fct_feedback(staged_enriched, staged_feedback), of("marts.fct_feedback"))
+    facts = materialize(facts, "feedback-facts")
     staged_enriched = staging.stage_enriched(enriched)
-    spend = materialize(marts.fct_ad_spend(*staged_ads.values()), "ad-spend")
-    summary = materialize(marts.fct_campaign_summary(spend), "campaign-summary")
-    facts = materialize(marts.fct_feedback(staged_enriched, staged_feedback), "feedback-facts")
-    return {
+    tables = {
         **{f"raw.{t}": df for t, df in raw_ads.items()},
         "raw.customer_feedback": feedback,
         "raw.feedback_enriched": enriched,
-        **{f"staging.stg_{t}": df for t, df in staged_ads.items()},
-        "staging.stg_customer_feedback": staged_feedback,
+        **{f"staging.stg_{t}": staging.stage_ads(df) for t, df in raw_ads.items()},
+        "staging.stg_customer_feedback": staging.stage_feedback(feedback),
         "staging.stg_feedback_enriched": staged_enriched,
         "marts.fct_ad_spend": spend,
         "marts.fct_channel_daily": marts.fct_channel_daily(spend),
@@ -644,11 +652,13 @@ def declared_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         "marts.fct_feedback_themes": marts.fct_feedback_themes(staged_enriched),
         "marts.fct_campaign_performance": marts.fct_campaign_performance(summary, facts),
     }
+    return tables, watch.counts()
 
 
 @query
 def dq_report(spark, sf):
-    return quality.quality_report(declared_tables(spark, sf), checks.DECLARED)
+    tables, counted = declared_tables(spark, sf)
+    return quality.quality_report(tables, checks.DECLARED, counted)
 
 
 @query

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
+import json
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..plans.marts import served
 from ..schemas import GOLD_TABLES
+from . import files
+from .observed import observed
 
+PUBLISHED = "_published"
 LAYERS = ("raw", "staging", "marts", "snapshots")
 
 
@@ -47,17 +52,6 @@ def save(
     writer.saveAsTable(table)
 
 
-def observed(seen: Observation, name: str, empty: int = 0) -> int:
-    """A counter of a finished write. Adaptive planning drops the counter together with
-    an input that turns out to be empty; then it is `empty`."""
-    try:
-        return seen.get[name]
-    except Py4JJavaError as e:
-        if "AssertionError" not in str(e):
-            raise
-        return empty
-
-
 def replace_table(
     df: DataFrame, table: str, partition_by: str | None = None, bucket: Bucket | None = None
 ) -> DataFrame:
@@ -81,15 +75,40 @@ def append_table(df: DataFrame, table: str, bucket: Bucket | None = None) -> Non
     save(df, table, "append", bucket=bucket)
 
 
+def _published(spark: SparkSession, folder: str) -> tuple[int, dict]:
+    """Number and content of the newest manifest; 0 if nothing is published."""
+    found = [n for n in files.names(spark, f"{folder}/{PUBLISHED}") if n.isdigit()]
+    if not found:
+        return 0, {}
+    return int(max(found)), json.loads(files.read_text(spark, f"{folder}/{PUBLISHED}/{max(found)}"))
+
+
 def export_marts(
     spark: SparkSession, marts: str, folder: str, names: list[str] = GOLD_TABLES
 ) -> dict[str, int]:
-    """Each mart as a Parquet dataset, with its row count from the write."""
-    counts = {}
+    """Each mart as a Parquet dataset, with its row count from the write.
+
+    All are written into a folder of their own; a manifest that is renamed into place
+    makes them the current set, all at once. A failure leaves the set before. That one
+    stays for a while, for readers who have opened it; older ones are removed."""
+    number, before = _published(spark, folder)
+    version, counts = f"version-{number + 1:012d}-{uuid.uuid4().hex[:8]}", {}
     for name in names:
         seen = Observation()
         rows = served(spark.table(f"{marts}.{name}")).drop("month", "_loaded_at")
         df = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        df.write.parquet(f"{folder}/{version}/{name}")
         counts[name] = observed(seen, "rows")
+    told = json.dumps({"version": version, "rows": counts})
+    if not files.publish(spark, f"{folder}/{PUBLISHED}/{number + 1:012d}", told):
+        raise RuntimeError(f"export {number + 1} of {folder} was published by another driver")
+    for old in files.names(spark, folder):
+        if old.startswith("version-") and old not in (version, before.get("version")):
+            files.remove(spark, f"{folder}/{old}")
     return counts
+
+
+def exported(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Where each mart of the current set lies. Read one set from one call."""
+    _, told = _published(spark, folder)
+    return {name: f"{folder}/{told['version']}/{name}" for name in told.get("rows", ())}

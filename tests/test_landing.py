@@ -4,11 +4,12 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from spendecho.plans.views import catalog_lines, catalog_pages, catalog_text, slice_rows
 from spendecho.schemas import CACHE_SCHEMA
 from spendecho.sources import cache as cache_files
-from spendecho.sources import landing
+from spendecho.sources import files, landing, tables
 
 AD_HEADER = ("currency,date,channel,campaign_id,campaign_name,objective,ad_set_id,ad_set_name,"
              "impressions,clicks,spend,conversions,conversion_value,cpc,extra\n")
@@ -164,3 +165,81 @@ def test_slices_prune_month_partitions(spark, tmp_path):
     plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
     filters = next(l for l in plan.splitlines() if "PartitionFilters" in l)
     assert "2024-02" in filters and "2024-03" in filters
+
+
+class Counted:
+    """A file of any size that notes what is read of it."""
+
+    def __init__(self, head, size):
+        self.head, self.size, self.seen = head, size, 0
+
+    def read(self, n):
+        out = self.head[self.seen : self.seen + n] if self.seen < len(self.head) else b"x" * min(n, self.size - self.seen)
+        self.seen += len(out)
+        return out
+
+
+def test_header_probe_reads_a_prefix():
+    for size in (10**6, 10**9):
+        file = Counted(b"\xef\xbb\xbf\r\n  \na,b\r\n1,2\n", size)
+        assert landing.first_line(file) == "a,b\r" and file.seen <= landing.PREFIX
+    long = Counted(b"c" * 200_000 + b",d\n", 10**9)
+    assert len(landing.first_line(long)) == 200_002 and long.seen <= 4 * landing.PREFIX
+    assert landing.first_line(Counted(b"only", 0)) == "only"
+    assert landing.first_line(Counted(b"\n \n", 0)) is None
+
+
+def test_header_groups(spark, tmp_path):
+    """One order is one group, whatever the files; several are told apart. Odd names and packed files work."""
+    import gzip
+
+    folder = tmp_path / "in put"
+    folder.mkdir()
+    (folder / "a b%20.csv").write_text("x,y\n1,2\n")
+    (folder / "b.csv").write_text("\n\ufeffx,\"y\"\r\n3,4\n")
+    (folder / "empty.csv").write_text("")
+    assert landing.header_groups(spark, str(folder)) == {("x", "y"): [str(folder)]}
+    with gzip.open(folder / "c.csv.gz", "wt") as f:
+        f.write("y,x\n6,5\n")
+    groups = landing.header_groups(spark, str(folder))
+    assert {k: sorted(f.rsplit("/", 1)[1] for f in v) for k, v in groups.items()} == {("x", "y"): ["a b%20.csv", "b.csv"], ("y", "x"): ["c.csv.gz"]}
+    got = [sorted(map(tuple, spark.read.csv(v, header=True).select("x", "y").collect())) for _, v in sorted(groups.items())]
+    assert got[1] == [("5", "6")] and ("1", "2") in got[0]
+
+
+def test_export_is_one_set(spark, tmp_path, monkeypatch):
+    """A third mart that fails leaves the set before whole; two drivers cannot mix."""
+    db, folder = "export_db", str(tmp_path / "export")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    names = ["a", "b", "c"]
+
+    def build(n):
+        for name in names:
+            spark.range(n).withColumn("month", F.lit("m")).write.mode("overwrite").saveAsTable(f"{db}.{name}")
+
+    def seen():
+        return {n: spark.read.parquet(p).count() for n, p in tables.exported(spark, folder).items()}
+
+    assert tables.exported(spark, folder) == {}
+    build(3)
+    assert tables.export_marts(spark, db, folder, names) == dict.fromkeys(names, 3) == seen()
+    build(5)
+    broken = tables.served
+    calls = []
+
+    def served(df):
+        calls.append(1)
+        return broken(df).withColumn("x", F.raise_error(F.lit("disk full"))) if len(calls) == 3 else broken(df)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "served", served)
+        with pytest.raises(Exception, match="disk full"):
+            tables.export_marts(spark, db, folder, names)
+    assert seen() == dict.fromkeys(names, 3)
+    before = tables.exported(spark, folder)
+    tables.export_marts(spark, db, folder, names)
+    assert seen() == dict.fromkeys(names, 5)
+    assert spark.read.parquet(before["a"]).count() == 3  # for a reader who has opened it
+    build(0)
+    assert tables.export_marts(spark, db, folder, names) == dict.fromkeys(names, 0) == seen()
+    assert len([n for n in files.names(spark, folder) if n.startswith("version-")]) == 2

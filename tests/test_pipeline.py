@@ -8,6 +8,7 @@ from spendecho.operators.quality import QualityError
 from spendecho.plans import checks, marts, pipeline
 from spendecho.schemas import AD_SCHEMA, FEEDBACK_SCHEMA, GOLD_TABLES
 from spendecho.sources import cache as cache_files
+from spendecho.sources.tables import exported
 
 PLATFORMS = {"meta": "mt", "google_ads": "gg", "tiktok": "tk"}
 
@@ -86,7 +87,7 @@ def test_runs_end_to_end_and_daily(spark, tmp_path):
 
     run = pipeline.Run(spark, first)
     facts = run.table("marts", "fct_feedback")
-    spend = spark.read.parquet(f"{tmp_path}/export/fct_ad_spend")
+    spend = spark.read.parquet(exported(spark, f"{tmp_path}/export")["fct_ad_spend"])
     assert dict(spend.dtypes)["spend"] == "double" and "month" not in spend.columns
     best = run.table("marts", "fct_campaign_performance").collect()
     assert len(best) == 6 and all(r.feedback_count == r.positive_count > 0 for r in best)

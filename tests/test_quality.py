@@ -82,3 +82,29 @@ def test_performance_keeps_campaigns_without_feedback(spark):
     got = {r.campaign_id: r for r in marts.fct_campaign_performance(summary, facts).collect()}
     assert (got["A"].feedback_count, got["A"].net_sentiment_score, got["A"].avg_resolution_confidence) == (2, 0.5, 0.55)
     assert (got["B"].feedback_count, got["B"].net_sentiment_score) == (0, None)
+
+
+def test_checks_counted_in_the_write(spark, table, tmp_path):
+    """Counted while the rows are written, for all rows and for a part of them: the
+    same report, and no scan for what is counted."""
+    row = [c for c, _ in CASES if c.kind not in quality.WHOLE_TABLE]
+    watch = quality.Watch()
+    part = Check("u", "conf", "between", low=0, high=1)
+    watched = watch.on(watch.on(table, [c for c, _ in CASES]), [part], "sentiment = 'angry'")
+    watched.repartition(3).write.parquet(str(tmp_path / "t"))
+    counted = watch.counts()
+    assert counted == {**{c: n for c, n in CASES if c in row}, part: 1}
+    parent = spark.createDataFrame([("b",)], "pid string")
+    written = spark.read.parquet(str(tmp_path / "t"))
+    plain = quality.quality_report({"t": written, "p": parent}, [c for c, _ in CASES])
+    quick = quality.quality_report({"t": written, "p": parent}, [c for c, _ in CASES], counted)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, quick.collect()))
+    only = quality.quality_report({"t": written}, row, counted)
+    assert "FileScan" not in spark._jvm.PythonSQLUtils.explainString(only._jdf.queryExecution(), "simple")
+    assert sorted(r.n_failed for r in only.collect()) == sorted(counted[c] for c in row)
+
+
+def test_counters_of_an_empty_write(spark, table, tmp_path):
+    watch = quality.Watch()
+    watch.on(table.filter("id = 'none'"), [CASES[0][0]]).repartition(2, "id").write.parquet(str(tmp_path / "t"))
+    assert watch.counts() == {CASES[0][0]: 0}
