@@ -576,6 +576,11 @@ where resolved_campaign_id not in (select campaign_id from campaigns)
 group by resolved_campaign_id""",
     "duplicate_texts": """
 select content_hash, count(*) as n_rows from hashes group by content_hash having count(*) > 1""",
+    "duplicates_across_loads": """
+with cut as (select content_hash, cast(substr(feedback_id, 4) as bigint) % 3 > 0 as early from hashes)
+select content_hash, count(*) as n_rows, content_hash in (select content_hash from cut where early) as seen_before
+from cut where not early group by content_hash
+having count(*) > 1 or content_hash in (select content_hash from cut where early)""",
     "spend_vs_sentiment": f"""
 select campaign_id, campaign_name, channel, total_spend, net_sentiment_score, feedback_count,
   coalesce(total_spend >= {HIGH_SPEND} and net_sentiment_score < 0, false) as costly_and_negative
@@ -621,6 +626,7 @@ ORACLE |= {
     "resolved_share_after_increment": ORACLE["resolved_share"],
     "confidence_after_increment": ORACLE["resolution_confidence"],
     "themes_after_increment": ORACLE["theme_counts"],
+    "scd2_by_log": ORACLE["scd2_snapshot"],
 }
 
 

@@ -37,6 +37,22 @@ def changed_versions(
     return first_versions(changed, key, checks, run_ts)
 
 
+def changed_by_log(
+    versions: DataFrame, run_ts: Column, key: str = "feedback_id", checks: list[str] = SNAPSHOT_CHECKS,
+    column: str = "_enriched_at",
+) -> DataFrame:
+    """The same from a log of source versions that carry what they replace in
+    `_replaced`: `versions` are those since the last run. Neither the history nor the
+    rest of the source is read. Of several versions of a key the newest counts, against
+    what stood before the first of them."""
+    by_key = versions.groupBy(key).agg(
+        F.max_by(F.struct(*checks), column).alias("_now"), F.min_by("_replaced", column).alias("_before")
+    )
+    before = F.when(F.col("_before").isNotNull(), F.struct(*[F.col(f"_before.{c}").alias(c) for c in checks]))
+    changed = by_key.filter(~F.col("_now").eqNullSafe(before)).select(key, "_now.*")
+    return first_versions(changed, key, checks, run_ts)
+
+
 def apply_run(log: DataFrame, source: DataFrame, run_ts: Column, **kw) -> DataFrame:
     return log.unionByName(changed_versions(log, source, run_ts, **kw))
 

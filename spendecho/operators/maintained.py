@@ -22,8 +22,8 @@ CAMPAIGN_KEYS = ["channel", "campaign_id", "campaign_name", "objective"]
 VOICE_KEYS = ["resolved_campaign_id", "sentiment", "language"]
 THEME_KEYS = ["theme", "resolved_campaign_id", "sentiment"]
 CONFIDENCE_KEYS = ["resolution_confidence"]
-#: What of an enriched row the sums are made of; a row keeps these of the one it replaces.
-COUNTED = ["sentiment", "language", "resolved_campaign_id", "resolution_confidence", "themes"]
+#: What of an enriched row sums and history are made of; a row keeps these of the one it replaces.
+COUNTED = ["sentiment", "language", "resolved_campaign_id", "resolution_confidence", "themes", "model_version"]
 
 
 # --- spend ------------------------------------------------------------------------

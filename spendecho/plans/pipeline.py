@@ -294,12 +294,15 @@ class Run:
     # -- history
 
     def snapshot(self) -> None:
+        """Append what has changed since the last snapshot, by the enriched log alone:
+        its new versions carry what they replace."""
         log = "feedback_enrichment_log"
-        source = self.table("raw", "feedback_enriched")
         if self.exists("snapshots", log):
-            rows = history.changed_versions(self.table("snapshots", log), source, self.run_ts)
-            rows = materialize(rows, "snapshot-changes")
+            since = F.lit(self._mark("snapshots", log, "valid_from"))
+            versions = self.table("raw", ENRICHED_LOG).filter(F.col("_enriched_at") > since)
+            rows = materialize(history.changed_by_log(versions, self.run_ts), "snapshot-changes")
         else:
+            source = self.table("raw", "feedback_enriched")
             rows = history.first_versions(source, "feedback_id", SNAPSHOT_CHECKS, self.run_ts)
         append_table(rows, self.name("snapshots", log), self.by_feedback)
         token = KEY_NULL_TOKEN

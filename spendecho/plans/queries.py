@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import channel_of, content_hash, parse_date_any, parse_rating
 from ..operators import enrichment as enr
-from ..operators import history, incremental, maintained, quality, staging
+from ..operators import history, incremental, maintained, quality, staging, uniqueness
 from ..schemas import AD_TABLES, CHANNELS, LIST_COLUMNS, SNAPSHOT_CHECKS
 from ..session import materialize, scratch_path
 from ..sources import cache as cache_files
@@ -614,6 +614,18 @@ def themes_after_increment(spark, sf):
     return maintained.theme_counts(*_kept_sums(spark, sf, "theme"))
 
 
+@query
+def scd2_by_log(spark, sf):
+    """The history of the same two runs, the second taken from the enriched log alone."""
+    keys = sample.keys(spark, sf)
+    cached = sample.cache(spark, sf, keys)
+    first = materialize(enr.assemble(keys, cached, OLD_MODEL, ntz(RUNS[0])).filter("language <> 'fr'"), "enriched-log")
+    second = enr.assemble(keys, cached, MODEL, ntz(RUNS[1]), first, maintained.COUNTED)
+    newer = second.filter((F.col("_enriched_at") > ntz(RUNS[0])) & (F.col("language") != "de"))
+    log = history.first_versions(first, "feedback_id", SNAPSHOT_CHECKS, ntz(RUNS[0]))
+    return history.with_validity(log.unionByName(history.changed_by_log(newer, ntz(RUNS[1]))))
+
+
 # --- quality --------------------------------------------------------------------
 
 
@@ -712,6 +724,18 @@ def duplicate_texts(spark, sf):
     return quality.duplicate_keys(hash_keys(spark, sf), "content_hash")
 
 
+@query
+def duplicates_across_loads(spark, sf):
+    """Texts in two loads, the second checked against the key state of the first: keys
+    that it repeats, or that were there before."""
+    hashes = hash_keys(spark, sf)
+    early = F.substring("feedback_id", 4, 12).cast("bigint") % 3 > 0
+    hashes = materialize(hashes.withColumn("early", early), "hashes")
+    state = uniqueness.KeyState(spark, scratch_path(spark, "key-state"), hashes.count())
+    state.add(hashes.filter("early"), "content_hash")
+    return state.check(hashes.filter("NOT early"), "content_hash").withColumnRenamed("key", "content_hash")
+
+
 # --- serving views --------------------------------------------------------------
 
 

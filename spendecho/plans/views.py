@@ -11,6 +11,8 @@ from ..schemas import SENTIMENTS
 from ..session import materialize
 
 PAGE_LINES = 10_000
+#: Lines of a catalog that is given as one value (some 100 MB of text).
+MOST_LINES = 1_000_000
 
 
 def slice_rows(
@@ -162,10 +164,14 @@ def catalog_pages(catalog: DataFrame, lines_per_page: int = PAGE_LINES) -> DataF
 
 
 def catalog_text(catalog: DataFrame, page: int | None = None, lines_per_page: int = PAGE_LINES) -> DataFrame:
-    """The text of the whole catalog (one row; NULL if it has no line), or of one page."""
+    """The text of the whole catalog (one row; NULL if it has no line), or of one page.
+    The whole text is one value: a catalog of more than `MOST_LINES` campaigns fails
+    here and is to be read by `catalog_pages`."""
     pages = catalog_pages(catalog, lines_per_page)
     if page is not None:
         return pages.filter(F.col("page") == page).select(F.col("page_text").alias("catalog_text"))
-    items = F.array_sort(F.collect_list(F.struct("page", "page_text")))
+    too_many = F.raise_error(F.lit(f"more than {MOST_LINES} campaigns: read catalog_pages"))
+    whole = F.when(F.col("page") * lines_per_page < MOST_LINES, F.col("page_text")).otherwise(too_many)
+    items = F.array_sort(F.collect_list(F.struct("page", whole.alias("page_text"))))
     text = F.array_join(F.transform(items, lambda i: i["page_text"]), "\n")
     return pages.agg(F.when(F.count("*") > 0, text).alias("catalog_text"))
