@@ -1,11 +1,19 @@
 """License scans with a positional index of rare template words.
 
-Each template is a public notice with key phrases that must be there in full. Words
-are weighted by inverse document frequency over all documents. A document is looked
-up by the rarest word of each key phrase: every place of such a word gives an
-alignment (template, place in the document minus place in the template). All of them
-are verified: a key phrase has to stand there word for word, and the words in place
-must have half of the template's weight.
+Each template is a public notice or licence text with key phrases that must be there in
+full. Words are weighted by inverse document frequency over all documents. The index
+holds the places of template words. Of a document its rarest licence words are looked
+up: for each template so many of the rarest that a match, which has to have half of the
+template's weight in place, cannot do without all of them. Every place of such a word
+gives an alignment (place in the document minus place in the template). These are
+intersected with the alignments of the key phrase's rarest word, and what is left is
+verified: the key phrase has to stand there word for word, and the words in place must
+have half of the template's weight. Both are conditions of every match, so none is lost
+and no number of look-ups is set.
+
+NULL and empty texts have no words and match nothing. Texts are read whole, whatever
+their length. Templates that tie, or stand several times in a text, all count; repeated
+rows are scanned each; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -13,6 +21,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -41,6 +50,43 @@ TEMPLATES = [
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0",
      ("mozilla public license v 2 0",)),
 ]
+#: Label, whole licence text (public wordings) and its key phrases.
+TEXTS = [
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+     granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED
+     "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+     MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL
+     DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE
+     OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+     ("permission to use copy modify and or distribute this software for any purpose",)),
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+     documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+     to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+     whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission
+     notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT
+     WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A
+     PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES
+     OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+     SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+     ("to deal in the software without restriction",)),
+    ("unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,
+     publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any
+     purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or
+     authors of this software dedicate any and all copyright interest in the software to the public domain. We make this
+     dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this
+     dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under
+     copyright law.""",
+     ("free and unencumbered software released into the public domain",)),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+     liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any
+     purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
+     restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original
+     software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is
+     not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the
+     original software. 3. This notice may not be removed or altered from any source distribution.""",
+     ("the origin of this software must not be misrepresented",)),
+]
+TEMPLATES += [(label, b" ".join(normalised(text)).decode(), keys) for label, text, keys in TEXTS]
 COVERAGE = 0.5
 
 
@@ -48,41 +94,65 @@ def vocabulary() -> frozenset[bytes]:
     return frozenset(w.encode() for _, text, _ in TEMPLATES for w in text.split())
 
 
+@dataclass(frozen=True)
+class Template:
+    label: str
+    words: list[bytes]
+    total: float
+    keys: list[list[bytes]]
+
+
 class Index:
-    """Postings of the rarest word of each key phrase, and the weights of all words."""
+    """Places of template words: of those that no match can do without all of, and of the
+    rarest word of each key phrase."""
 
     def __init__(self, documents: int, frequency: dict[bytes, int]):
         self.weight = {w: math.log((documents + 1) / (frequency.get(w, 0) + 0.5)) for w in vocabulary()}
-        self.postings = defaultdict(list)
-        self.templates = []
+        self.rare, self.keyed, self.templates = defaultdict(list), defaultdict(list), []
         for t, (label, text, phrases) in enumerate(TEMPLATES):
-            words = text.encode().split()
-            for phrase in phrases:
-                key = phrase.encode().split()
+            words, keys = text.encode().split(), [phrase.encode().split() for phrase in phrases]
+            total, spare = sum(self.weight[w] for w in words), 0.0
+            # Without the rarest places, of more than the share a match may lack, too little is left.
+            for i in sorted(range(len(words)), key=lambda i: -self.weight[words[i]]):
+                self.rare[words[i]].append((t, i))
+                spare += self.weight[words[i]]
+                if spare > (1 - COVERAGE) * total + 1e-9:
+                    break
+            for key in keys:
                 rarest = max(key, key=lambda w: (self.weight[w], w))
                 for i in range(len(words)):
                     if words[i : i + len(key)] == key:
-                        self.postings[rarest].append((t, i, key.index(rarest), key))
-            self.templates.append((label, words, sum(self.weight[w] for w in words)))
+                        self.keyed[rarest].append((t, i + key.index(rarest)))
+            self.templates.append(Template(label, words, total, keys))
 
     def scan(self, words: list[bytes]) -> list[tuple[str, int, int, float]]:
         """(label, first word, words, share of the weight found), verified."""
-        if self.postings.keys().isdisjoint(words):  # every key phrase has one of these words
+        if self.keyed.keys().isdisjoint(words):  # every key phrase has one of these words
             return []
-        aligned = set()
+        keyed, rare = set(), set()
         for at, w in enumerate(words):
-            if w in self.postings:
-                for t, i, j, key in self.postings[w]:
-                    if at >= j and words[at - j : at - j + len(key)] == key:
-                        aligned.add((t, at - j - i))
+            keyed.update((t, at - i) for t, i in self.keyed.get(w, ()))
+        wanted = {t for t, _ in keyed}
+        for at, w in enumerate(words):
+            rare.update((t, at - i) for t, i in self.rare.get(w, ()) if t in wanted)
         found = []
-        for t, start in aligned:
-            label, text, total = self.templates[t]
-            placed = sum(self.weight[w] for j, w in enumerate(text) if 0 <= start + j < len(words) and words[start + j] == w)
-            if placed >= COVERAGE * total:
-                found.append((label, max(start, 0), len(text), placed / total))
+        for t, start in keyed & rare:
+            x = self.templates[t]
+            if self._has_key(x, words, start):
+                placed = sum(self.weight[w] for j, w in enumerate(x.words) if 0 <= start + j < len(words) and words[start + j] == w)
+                if placed >= COVERAGE * x.total:
+                    found.append((x.label, max(start, 0), len(x.words), placed / x.total))
         return sorted(found)
 
+    @staticmethod
+    def _has_key(x: Template, words: list[bytes], start: int) -> bool:
+        """Whether a key phrase stands in full where the alignment puts it."""
+        for key in x.keys:
+            for i in range(len(x.words) - len(key) + 1):
+                if x.words[i : i + len(key)] == key and start + i >= 0 and words[start + i : start + i + len(key)] == key:
+                    return True
+        return False
+
 
 def places(words: list[bytes]) -> list[tuple[int, str]]:
     """(first word, label) of every place of a base phrase."""

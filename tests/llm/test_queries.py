@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from check_results import compare, engine
-from spendecho.llm import chats, codes, graph, merkle, mixing, ppm, quality_rules, ranking, simhash, urls
+from spendecho.llm import chats, codes, decontaminate, graph, licenses, merkle, mixing, ppm, quality_rules, ranking, simhash, urls
 from spendecho.llm.queries import ORACLE_SQL, QUERIES
 
 from .conftest import edge_documents, edge_turns, edge_vectors
@@ -71,6 +71,26 @@ def test_bad_host_is_rejected(spark):
     assert not any(kept[i] for i in range(40)) and all(kept[100 + i] for i in range(180))
 
 
+def test_uneven_hosts_are_rejected(spark, sf_dir, tmp_path):
+    """Given documents dealt to hosts of which one has most of the failing ones: the
+    host goes with its clean documents, the SQL says the same, and on even hosts, as
+    they are given, none goes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    even = {r.doc_id: r for r in QUERIES["op2_quality"](spark, "/root/testdata/sf0.01").collect()}
+    assert all(r.kept != r.base_failed for r in even.values())
+    failing = [i for i, r in even.items() if r.base_failed]
+    hosts = {i: "bad" if i in failing[: len(failing) * 2 // 3] else f"h{i % 7}" for i in even}
+    hosts |= {i: "bad" for i in [i for i, r in even.items() if r.kept][:70]}  # about half of it fails
+    dealt = spark.createDataFrame(list(hosts.items()), "doc_id long, host string")
+    docs.join(dealt, "doc_id").withColumn("source", F.col("host")).drop("host").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    mine = QUERIES["op2_quality"](spark, str(tmp_path))
+    assert compare(mine.toArrow(), engine(str(tmp_path)).sql(ORACLE_SQL["op2_quality"]).to_arrow_table()) is None
+    rows = {r.doc_id: r for r in mine.collect()}
+    assert not any(rows[i].kept for i, h in hosts.items() if h == "bad")
+    assert sum(not r.base_failed and not r.kept for r in rows.values()) == sum(h == "bad" and not rows[i].base_failed for i, h in hosts.items()) > 50
+    assert all(rows[i].kept != rows[i].base_failed for i, h in hosts.items() if h != "bad")
+
+
 def test_nested_rules(spark):
     """Rules inside rules, close ones, and an empty path."""
     rules = [("block", "org", ""), ("allow", "org", "/a"), ("block", "org", "/a/b"), ("allow", "org", "/a/b/c"), ("block", "org", "/a/z"),
@@ -218,6 +238,50 @@ def test_licenses(result, edges):
         assert (by_id[i].n_base, by_id[i].first_word, by_id[i].base_labels, by_id[i].labels, by_id[i].score) == (0, None, "", "", 0.0)
 
 
+def license_rows(docs):
+    """What the license query returns, by trying every alignment of every template."""
+    split = [(i, decontaminate.normalised(t)) for i, t in docs]
+    seen = Counter(w for _, words in split for w in set(words))
+    weight = lambda w: math.log((len(docs) + 1) / (seen[w] + 0.5))
+    for i, words in split:
+        base = [(at, label) for phrase, label in licenses.BASE.items() for at in range(len(words)) if words[at : at + len(phrase.split())] == phrase.encode().split()]
+        labels, best = {label for _, label in base}, 1.0 if base else 0.0
+        for label, text, phrases in licenses.TEMPLATES:
+            told = text.encode().split()
+            total = sum(map(weight, told))
+            for start in range(1 - len(told), len(words)):
+                placed = [j for j in range(len(told)) if 0 <= start + j < len(words) and words[start + j] == told[j]]
+                keys = [p.encode().split() for p in phrases]
+                whole = any(told[j : j + len(k)] == k and set(range(j, j + len(k))) <= set(placed) for k in keys for j in range(len(told)))
+                share = sum(weight(told[j]) for j in placed)
+                if whole and share >= licenses.COVERAGE * total:
+                    labels, best = labels | {label}, max(best, share / total)
+        at = [a for a, _ in base]
+        yield (repr(i), len(words), len(base), min(at, default=None), max(at, default=None),
+               ",".join(sorted({x for _, x in base})), ",".join(sorted(labels)), round(min(best, 1.0), 9))
+
+
+def test_licenses_against_all_alignments(spark, tmp_path):
+    """Every template alone, cut, with words lost and added, and two to four notices in one text."""
+    draw, texts = random.Random(3), []
+    words = [w for _, text, _ in licenses.TEMPLATES for w in text.split()]
+    for _, text, _ in licenses.TEMPLATES:
+        told = text.split()
+        texts += [text, " ".join(told[: len(told) // 2]), " ".join(told[len(told) // 3 :]), " ".join(w for w in told if draw.random() > 0.1)]
+        texts += [" ".join(w if draw.random() > share else draw.choice(words) for w in told) for share in (0.1, 0.3, 0.5, 0.6)]
+    for n in (2, 3, 4):
+        for _ in range(12):
+            parts = [draw.choice(licenses.TEMPLATES)[1] for _ in range(n)]
+            texts.append((" " + " ".join(draw.choices(words, k=draw.randint(0, 12))) + " ").join(parts))
+    texts += [" ".join(draw.choices(words, k=200)) for _ in range(20)] + [None, "", "plain text"] + [f"other words {i}" for i in range(200)]
+    docs = list(enumerate(texts)) + [(i, t) for i, t, *_ in edge_documents() if len(t or "") < 3000]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((repr(r.doc_id), r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, round(r.score, 9)) for r in QUERIES["op5_licenses"](spark, str(tmp_path)).collect())
+    expected = sorted(license_rows(docs), key=lambda r: tuple(map(repr, r)))
+    assert sorted(got, key=lambda r: tuple(map(repr, r))) == expected
+    assert {x for r in expected for x in r[6].split(",")} >= {label for label, *_ in licenses.TEMPLATES}
+
+
 def test_pipeline_on_edges(spark, edges):
     docs = spark.read.parquet(f"{edges}/documents.parquet")
     names, kept = docs.columns, {}
