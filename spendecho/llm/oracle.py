@@ -101,9 +101,11 @@ prior AS (
   FROM (SELECT rule, sum(failed) / sum(n) AS mean,
                (sum(n * (failed / n - m) * (failed / n - m)) - any_value(m) * (1 - any_value(m)) * (count(*) - 1)) / sum(n) AS spread
         FROM (SELECT *, sum(failed) OVER (PARTITION BY rule) / sum(n) OVER (PARTITION BY rule) AS m FROM rates) GROUP BY rule)),
+shrunk AS (SELECT source, mean, n + strength AS seen, (failed + mean * strength) / (n + strength) AS rate FROM rates JOIN prior USING (rule)),
 bad AS (
-  SELECT DISTINCT source FROM rates JOIN prior USING (rule)
-  WHERE (failed + mean * strength) / (n + strength) > {quality_rules.HOST_LIMIT})
+  SELECT DISTINCT source FROM shrunk
+  WHERE rate > {quality_rules.HOST_LIMIT}
+     OR rate - {quality_rules.HOST_SURE} * sqrt(rate * (1 - rate) / (seen + 1)) > greatest({quality_rules.HOST_FLOOR}, {quality_rules.HOST_FACTOR} * mean))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM bad)) AS kept
 FROM based"""

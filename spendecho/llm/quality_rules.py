@@ -1,6 +1,8 @@
 """Quality rules: per document, and per host with rates shrunk by an empirical beta prior.
 
 All features are expressions over one text; only narrow rows are grouped by host.
+NULL, empty and blank texts have no words and fail; texts of any length are one row.
+Ties at a limit keep the host; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -10,8 +12,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import words, written
 
 MIN_WORDS = 50
-#: Documents of a host that may break a rule, as a share, before the host is rejected.
+#: A host is rejected if its shrunk failure rate of a rule is above HOST_LIMIT, or if the
+#: rate is, to some 99 %, above both HOST_FLOOR and HOST_FACTOR times that of all documents.
 HOST_LIMIT = 0.5
+HOST_FLOOR, HOST_FACTOR, HOST_SURE = 0.15, 2.0, 2.33
 RULES = {
     "short": f"n_words < {MIN_WORDS}",
     "repeats": "100 * n_repeat_words > 50 * n_words",
@@ -49,7 +53,9 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def rejected_hosts(measured: DataFrame, host: Column, limit: float = HOST_LIMIT) -> DataFrame:
-    """(host, rules): hosts of which a rule's shrunk failure rate is above `limit`.
+    """(host, rules): hosts of which a rule's shrunk failure rate is above `limit`, or
+    surely far above that of other hosts (a normal bound on the beta posterior).
+    Hosts that all fail alike are alike by every rule, and none of them is rejected.
 
     The beta prior of a rule has the mean and the spread of the hosts' rates beyond
     what sampling explains (method of moments), so a host with few documents is
@@ -70,7 +76,9 @@ def rejected_hosts(measured: DataFrame, host: Column, limit: float = HOST_LIMIT)
     strength = F.when(spread <= 0, F.lit(1e6)).otherwise(F.least(F.greatest(noise / spread - 1, F.lit(1.0)), F.lit(1e6)))
     prior = prior.select("rule", "mean", strength.alias("strength"))
     shrunk = (F.col("failed") + F.col("mean") * F.col("strength")) / (F.col("n") + F.col("strength"))
-    over = rates.join(prior, "rule").filter(shrunk > limit)
+    least = shrunk - HOST_SURE * F.sqrt(shrunk * (1 - shrunk) / (F.col("n") + F.col("strength") + 1))
+    usual = F.greatest(F.lit(HOST_FLOOR), HOST_FACTOR * F.col("mean"))
+    over = rates.join(prior, "rule").filter((shrunk > limit) | (least > usual))
     return over.groupBy("host").agg(F.sort_array(F.collect_set("rule")).alias("rules"))
 
 
