@@ -5,10 +5,12 @@ probability comes from the expected times it is used in the training words, over
 ways to cut a word into pieces (one forward-backward pass from equal probabilities).
 A text is scored by the forward algorithm: the probability of a word is the sum over
 all its segmentations. Words are maximal runs of letters, lower-cased, with a mark in
-front; after `MAX_WORD` letters a run goes on as a new word.
+front, of any length: those above `LONG` letters are scored one by one with logarithms,
+from the last columns of the forward pass, all others many at once.
 
 What is gathered is one table of pieces by languages, and the score of the frequent
-words, at most `FREQUENT`. Words are counted by Spark; tasks score rare words anew.
+words, at most `FREQUENT`. Words are counted by Spark; tasks score rare words anew. In training
+a run of letters above `LONG` takes some 150 bytes a letter of its task.
 """
 
 from __future__ import annotations
@@ -25,9 +27,14 @@ from pyspark.sql.types import StructType
 from .common import mapped, written
 from .tokens import Lookup, mix64
 
-MAX_WORD = 32
-#: Words held by a task at once.
-HELD_WORDS = 300_000
+#: Letters of a word above which it is scored by itself, and places looked up at once then.
+LONG, BLOCK = 64, 1 << 16
+#: Words held by a task at once, and their letters.
+HELD_WORDS, HELD_LETTERS = 300_000, 1 << 25
+#: Training words of a task.
+WORDS_A_TASK = 50_000
+#: Languages of a model: the table of pieces by languages is held by driver and tasks.
+MOST_LANGUAGES = 1000
 #: Words of documents scored together.
 TOGETHER = 500_000
 #: Words of at least 1 / FREQUENT of all training words are scored once and broadcast.
@@ -57,13 +64,11 @@ def vocabulary(path: str | None = None) -> list[str]:
 
 
 def letters(text: str | None) -> list[str]:
-    """Runs of letters, lower-cased, in pieces of at most MAX_WORD."""
+    """Runs of letters, lower-cased."""
     text = (text or "").lower()
     out = text.encode().translate(_ASCII).decode().split()
     if not text.isascii() and out and not "".join(out).isalpha():
         out = "".join(c if c.isalpha() else " " for c in text).split()
-    if out and max(map(len, out)) > MAX_WORD:
-        out = [w[i : i + MAX_WORD] for w in out for i in range(0, len(w), MAX_WORD)]
     return out
 
 
@@ -102,6 +107,50 @@ class Pieces:
         return out
 
 
+    def ending(self, word: str, first: int, last: int) -> np.ndarray:
+        """Index of the piece of each length (rows, from 1) that ends at each place from
+        `first` to `last` of one word (columns); n + 1 for none, n for a single letter
+        without a piece."""
+        start = max(0, first - self.longest)
+        part = word[start:last]
+        totals = self._totals([part], len(part))[:, 0]
+        inverse = np.full(len(part) + 1, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
+        inverse[0] = 1
+        inverse = np.multiply.accumulate(inverse)
+        out = np.full((self.longest, last - first + 1), self.n + 1, dtype=np.int64)
+        for size in range(1, min(self.longest, len(part)) + 1):
+            hit, at = self.find(mix64((totals[size:] - totals[:-size]) * inverse[: len(totals) - size]).view(np.int64))
+            ends = start + size + np.arange(len(hit))  # where each of them ends
+            inside = (ends >= first) & (ends <= last)
+            out[size - 1, ends[inside] - first] = np.where(hit, at, self.n if size == 1 else self.n + 1)[inside]
+        return out
+
+
+def _blocks(pieces: Pieces, word: str) -> Iterator[tuple[int, np.ndarray]]:
+    """(place, index of the pieces by length that end there), a block looked up at a time."""
+    for first in range(1, len(word) + 1, BLOCK):
+        found = pieces.ending(word, first, min(len(word), first + BLOCK - 1))
+        yield from zip(range(first, first + found.shape[1]), found.T)
+
+
+def _forward(pieces: Pieces, logs: np.ndarray, word: str) -> Iterator[np.ndarray]:
+    """Log probability of the first 0, 1, 2 ... characters, per column of `logs`; of
+    earlier ones only as many are held as a piece is long."""
+    held = np.full((pieces.longest, logs.shape[1]), -np.inf)  # the nearest first
+    held[0] = 0.0
+    yield held[0].copy()
+    for _, found in _blocks(pieces, word):
+        new = np.logaddexp.reduce(held + logs[found], axis=0)
+        held[1:] = held[:-1].copy()
+        held[0] = new
+        yield new
+
+
+def _logs(table: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(table)
+
+
 @dataclass
 class Model:
     vocab: list[str]
@@ -123,7 +172,14 @@ def log_likelihood(pieces: Pieces, probability: np.ndarray, words: list[str]) ->
     piece, the last for letters without one)."""
     table = np.vstack([probability, np.zeros((1, probability.shape[1]))])
     out = np.zeros((len(words), probability.shape[1]))
-    for size, at in _by_size(words).items():
+    sizes, logs = _by_size(words), None
+    for at in [sizes.pop(n) for n in sorted(sizes) if n > LONG]:
+        logs = _logs(table) if logs is None else logs
+        for i in at:
+            for last in _forward(pieces, logs, _MARK + words[i]):
+                pass
+            out[i] = last
+    for size, at in sizes.items():
         forward = [np.ones((len(at), table.shape[1]))] + [0.0] * size
         for (a, b), piece in pieces.cuts([_MARK + words[i] for i in at], size).items():
             if b > a + 1:  # no piece adds nothing
@@ -139,7 +195,11 @@ def expected_counts(pieces: Pieces, words: list[str], times: np.ndarray) -> np.n
     even[pieces.n] *= OTHER
     even[pieces.n + 1] = 0
     counts = np.zeros(pieces.n + 2)
-    for size, at in _by_size(words).items():
+    sizes = _by_size(words)
+    for at in [sizes.pop(n) for n in sorted(sizes) if n > LONG]:
+        for i in at:
+            _expected_of_long(pieces, _logs(even), _MARK + words[i], times[i], counts)
+    for size, at in sizes.items():
         found = pieces.cuts([_MARK + words[i] for i in at], size)
         found = {k: p if k[1] == k[0] + 1 else np.where(p == pieces.n, pieces.n + 1, p) for k, p in found.items()}
         forward, backward = [np.ones(len(at))] + [0.0] * size, [0.0] * size + [np.ones(len(at))]
@@ -153,8 +213,30 @@ def expected_counts(pieces: Pieces, words: list[str], times: np.ndarray) -> np.n
     return counts[: pieces.n + 1]
 
 
+def _expected_of_long(pieces: Pieces, logs: np.ndarray, word: str, times: float, counts: np.ndarray) -> None:
+    """Adds one word's expected uses, by logarithms."""
+    forward = np.concatenate(list(_forward(pieces, logs[:, None], word)))
+    backward = np.full(len(word) + 1 + pieces.longest, -np.inf)
+    backward[len(word)] = 0.0
+    blocks = range(1, len(word) + 1, BLOCK)
+    for first in reversed(blocks):
+        last = min(len(word), first + BLOCK - 1)
+        found = pieces.ending(word, first, last)
+        for b in range(last, first - 1, -1):  # all pieces that end at b reach back from it
+            starts = np.arange(b - 1, max(-1, b - 1 - pieces.longest), -1)
+            way = backward[b] + logs[found[: len(starts), b - first]]
+            backward[starts] = np.logaddexp(backward[starts], way)
+        for size in range(1, pieces.longest + 1):
+            ends = np.arange(max(first, size), last + 1)
+            if len(ends):
+                piece = found[size - 1, ends - first]
+                share = np.exp(forward[ends - size] + logs[piece] + backward[ends] - forward[-1])
+                counts += np.bincount(piece, share * times, minlength=len(counts))
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: dict[str, Counter] = {}
+    taken = 0
 
     def rows():
         flat = [(lang, w, n) for lang, c in seen.items() for w, n in c.items()]
@@ -164,8 +246,11 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1)):
-            seen.setdefault(lang.as_py(), Counter()).update(letters(text.as_py()))
-            if sum(map(len, seen.values())) > HELD_WORDS:
+            found = letters(text.as_py())
+            seen.setdefault(lang.as_py(), Counter()).update(found)
+            taken += sum(map(len, found))
+            if sum(map(len, seen.values())) > HELD_WORDS or taken > HELD_LETTERS:
+                taken = 0
                 yield rows()
     yield rows()
 
@@ -189,9 +274,12 @@ def train(docs: DataFrame, usable: Column, vocab: list[str]) -> Model:
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int64()), pa.array(counts[used])], ["lang", "piece", "uses"])
 
-    uses = mapped(counted, run, "lang string, piece long, uses double").groupBy("lang", "piece").agg(F.sum("uses").alias("uses"))
+    spread = counted.repartition(1 + counted.count() // WORDS_A_TASK)
+    uses = mapped(spread, run, "lang string, piece long, uses double").groupBy("lang", "piece").agg(F.sum("uses").alias("uses"))
     found = uses.toArrow()  # at most pieces x languages
     langs = sorted(set(found.column("lang").to_pylist()))
+    if len(langs) > MOST_LANGUAGES:
+        raise ValueError(f"{len(langs)} languages to learn; at most {MOST_LANGUAGES}")
     table = np.full((len(vocab) + 1, len(langs)), SMOOTHING)
     place = {x: i for i, x in enumerate(langs)}
     np.add.at(table, (found.column("piece").to_numpy(), [place[x] for x in found.column("lang").to_pylist()]), found.column("uses").to_numpy())

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from check_results import compare, engine
-from spendecho.llm import chats, codes, decontaminate, graph, licenses, merkle, mixing, ppm, quality_rules, ranking, simhash, urls
+from spendecho.llm import chats, codes, decontaminate, graph, langid, licenses, merkle, mixing, ppm, quality_rules, ranking, simhash, urls
 from spendecho.llm.queries import ORACLE_SQL, QUERIES
 
-from .conftest import edge_documents, edge_turns, edge_vectors
+from .conftest import edge_documents, edge_turns, edge_vectors, prose
 
 NAMES = sorted(QUERIES)
 
@@ -221,6 +221,78 @@ def test_language(spark, sf_dir, result, edges):
     assert all(0 <= r.score <= 1 and r.lang_pred in ("xx", "yy", "und") for r in by_id.values())
 
 
+def language_rows(docs, vocab):
+    """What the language query returns, by plain sums over all pieces of all words."""
+    n, longest = len(vocab), max(map(len, vocab))
+    place = {p: i for i, p in enumerate(vocab)}
+
+    def spans(word):
+        for b in range(1, len(word) + 1):
+            for a in range(max(0, b - longest), b):
+                i = place.get(word[a:b], n if b == a + 1 else None)
+                if i is not None:
+                    yield a, b, i
+
+    def add(x, y):
+        return max(x, y) + math.log1p(math.exp(-abs(x - y))) if min(x, y) > -math.inf else max(x, y)
+
+    def runs(text):
+        return "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+
+    even = [math.log(1 / (n + 1))] * n + [math.log(langid.OTHER / (n + 1))]
+    uses = defaultdict(lambda: [langid.SMOOTHING] * (n + 1))
+    for i, text, lang in docs:
+        if lang is not None and not held_out(i, 5, 0):
+            uses[lang] if runs(text) else None
+            for w in runs(text):
+                word = "\u2581" + w
+                found = list(spans(word))
+                forward, backward = [0.0] + [-math.inf] * len(word), [-math.inf] * len(word) + [0.0]
+                for a, b, p in found:
+                    forward[b] = add(forward[b], forward[a] + even[p])
+                for a, b, p in reversed(found):
+                    backward[a] = add(backward[a], backward[b] + even[p])
+                for a, b, p in found:
+                    uses[lang][p] += math.exp(forward[a] + even[p] + backward[b] - forward[-1])
+    langs = sorted(uses)
+    logs = {x: [math.log(u / sum(uses[x])) for u in uses[x]] for x in langs}
+    for x in langs:
+        logs[x][n] += math.log(langid.OTHER)
+    known = {}
+
+    def score(w):
+        if w not in known:
+            word = "\u2581" + w
+            found = list(spans(word))
+            known[w] = []
+            for x in langs:
+                forward = [0.0] + [-math.inf] * len(word)
+                for a, b, p in found:
+                    forward[b] = add(forward[b], forward[a] + logs[x][p])
+                known[w].append(forward[-1])
+        return known[w]
+
+    for i, text, _ in docs:
+        words = runs(text)
+        if not words or not langs:
+            yield repr(i), held_out(i, 5, 0), "und", 0.0
+            continue
+        total = [sum(score(w)[k] for w in words) for k in range(len(langs))]
+        best = max(total)
+        yield repr(i), held_out(i, 5, 0), langs[total.index(best)], 1 / sum(math.exp(t - best) for t in total)
+
+
+def test_language_against_all_segmentations(result, edges, spark, tmp_path):
+    """The whole query on edge cases, a run of 5,000 letters and words above the size that is scored together among them."""
+    docs = [(i, t, lang) for i, t, lang, *_ in edge_documents() if len(t or "") < 6000]
+    docs += [(300 + i, "".join(prose(800 + i, 60)).replace(",", "").replace(".", "").replace("\n", ""), "xx" if i % 2 else "yy") for i in range(6)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((repr(r.doc_id), r.held_out, r.lang_pred, r.score) for r in QUERIES["op7_language"](spark, str(tmp_path)).collect())
+    expected = sorted(language_rows(docs, langid.vocabulary()))
+    for mine, theirs in zip(got, expected, strict=True):
+        assert mine[:3] == theirs[:3] and mine[3] == pytest.approx(theirs[3], rel=1e-6)
+
+
 def test_ranking(spark, result, edges):
     sf_dir = "/root/testdata/sf0.01"
     quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}

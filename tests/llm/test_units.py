@@ -119,9 +119,26 @@ def test_expected_counts_add_up():
     assert (counts * lengths).sum() == pytest.approx(3 * 3 + 2 * 2)
 
 
+def test_long_words_are_scored_like_short_ones(monkeypatch):
+    """By logarithms and in blocks, with few columns held: the same as many at once."""
+    vocab = ["▁", "▁a", "a", "b", "ab", "▁ab", "bba", "abab", "cc"]
+    pieces, draw = langid.Pieces(vocab), np.random.default_rng(4)
+    table = draw.random((len(vocab) + 1, 3)) / 20
+    words = ["".join(draw.choice(list("abcd"), size=n)) for n in (1, 2, 3, 7, 20, 40, 61, 62)]
+    times = draw.random(len(words)) * 5
+    short = langid.log_likelihood(pieces, table, words), langid.expected_counts(pieces, words, times)
+    for block in (1 << 16, 5, 1):
+        monkeypatch.setattr(langid, "LONG", 0)
+        monkeypatch.setattr(langid, "BLOCK", block)
+        assert langid.log_likelihood(pieces, table, words) == pytest.approx(short[0], rel=1e-12)
+        assert langid.expected_counts(pieces, words, times) == pytest.approx(short[1], rel=1e-9)
+    (row,) = langid.log_likelihood(pieces, table, ["ab" * 3000])
+    assert np.isfinite(row).all() and (row < -1000).all()  # far below what a double holds
+
+
 def test_letters():
     assert langid.letters("Über 12 e² \n x_y") == ["über", "e", "x", "y"]
-    assert list(map(len, langid.letters("q" * 70))) == [32, 32, 6]
+    assert list(map(len, langid.letters("q" * 70 + "7" + "w" * 5))) == [70, 5]
     assert langid.letters(None) == langid.letters("1 !") == []
 
 
