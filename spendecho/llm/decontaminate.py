@@ -6,9 +6,14 @@ window of `window` consecutive item words (all words of a shorter item), as numb
 words, and scans each whole text once; hits are mapped back to words and to characters
 of the original text.
 
-Only the test set is gathered. Its size is summed first: an automaton takes about
-`MAX_CHARS` characters of items (ten nodes a word, some 100 MB), and a larger set is dealt over several, which scan
-one after the other and add to the same hits.
+Only the test set is gathered, a shard at a time. Its size is summed first: an automaton
+takes about `MAX_CHARS` characters of items (ten nodes a word, some 100 MB). A larger set
+is dealt over several, long items in overlapping parts; they scan one after the other and
+add to the same hits. Rows are written between them, so that no stage, driver or executor
+holds more than one.
+
+NULL and empty texts have no words; a text of any length is scanned whole, its batch held
+by a task. Windows that tie or overlap all count.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from .common import mapped
+from .common import discard, mapped, written
 
 WINDOW = 10
 MAX_CHARS = 1_000_000
@@ -85,6 +90,24 @@ def characters(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]
     return [(len(raw[: spans[a][0]].decode()), len(raw[: spans[b][1]].decode())) for a, b in ranges]
 
 
+#: Words of an item that go to one automaton together.
+PART = 20_000
+
+
+def _parts(window: int):
+    """Items as normalised texts of at most `PART` words, with the windows across their edges."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = normalised(text.as_py())
+                starts = range(0, max(1, len(words) - window + 1), PART - window + 1) if len(words) > PART else [0]
+                found += [(item, b" ".join(words[i : i + PART]).decode()) for i in starts]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*found)] or [pa.nulls(0, pa.string())] * 2, ["item", "text"])
+
+    return run
+
+
 RANGE = pa.struct([("first", pa.int64()), ("last", pa.int64())])
 SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
@@ -123,7 +146,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, keep: list[str], wind
     the empty string; repeated items count once. Empty tables give no hits.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce("text", F.lit("")).alias("text"))
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    items = written(mapped(items, _parts(window), "item string, text string").distinct(), "decontaminate-items")
     size = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
     shards = max(1, -(-size // max_chars))
     frame = docs.select(
@@ -133,9 +157,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, keep: list[str], wind
     added = ("_text string, ranges array<struct<first:bigint,last:bigint>>, items array<string>, "
              "n_words bigint, spans array<struct<start:bigint,end:bigint>>")
     schema = StructType([*docs.select(*keep).schema, *StructType.fromDDL(added)])
+    before = None
     for shard in range(shards):
         mine = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == shard)
         held = spark.sparkContext.broadcast([tuple(r) for r in mine.collect()])
         frame = mapped(frame.select(*keep, "_text", "ranges", "items"), _scanner(held, window, keep), schema)
+        if shard < shards - 1:
+            frame = written(frame, "decontaminate-shard")
+            held.destroy()
+            if before is not None:
+                discard(before)
+            before = frame
     hit = F.aggregate("ranges", F.lit(0).cast("long"), lambda a, r: a + r["last"] - r["first"] + 1)
     return frame.withColumns({"n_hit": hit, "contaminated": F.size("ranges") > 0}).drop("_text", "ranges")

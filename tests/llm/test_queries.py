@@ -375,6 +375,20 @@ def test_pipeline_on_nothing(spark, nothing):
     assert corpus_pipeline.run(spark, nothing).collect() == []
 
 
+def test_one_automaton_a_stage(spark, edges, monkeypatch):
+    """Ten shards and long items in parts: the hits of one automaton, and one scan left in the plan."""
+    docs, items = (spark.read.parquet(f"{edges}/{t}.parquet") for t in ("documents", "benchmark"))
+    long_item = spark.createDataFrame([(77, " ".join(t or "" for _, t, *_ in edge_documents()))], "item_id long, text string")
+    items = items.unionByName(long_item)
+    one = sorted(map(str, decontaminate.contaminated(docs, items, keep=["doc_id"]).collect()))
+    monkeypatch.setattr(decontaminate, "PART", 50)
+    size = sum(len(t or "") for _, t, *_ in edge_documents()) + 1000
+    many = decontaminate.contaminated(docs, items, keep=["doc_id"], max_chars=size // 9)
+    plan = spark._jvm.PythonSQLUtils.explainString(many._jdf.queryExecution(), "simple")
+    assert plan.count("MapInArrow") == 1 and sorted(map(str, many.collect())) == one
+    assert sum("contaminated=True" in r for r in one) > 10
+
+
 def test_first_of_linked_fingerprints(spark, edges):
     """One row of each group of all pairs at two bits: the smallest id, and of repeated rows one."""
     rows = [(i, t) for i, t, *_ in edge_documents()]
