@@ -35,9 +35,17 @@ def workers_import_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder, else the warehouse: both are shared."""
+    """The cluster's checkpoint folder, else the warehouse, which has to be shared as well:
+    a folder of the driver's own machine will do only where all tasks run there."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    place = spark._jvm.org.apache.hadoop.fs.Path(warehouse)
+    scheme = place.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+    if scheme == "file" and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return warehouse
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
