@@ -618,6 +618,14 @@ select * {DOUBLES.format('')} from ad_spend where {SLICE} and channel = 'google_
     ),
 }
 
+IN_SLICE = "(select * from facts where posted_date between date '2024-02-01' and date '2024-09-30' and source_channel in ('meta', 'tiktok'))"
+ORACLE |= {
+    f"{name}_sliced": ORACLE[whole].replace("from facts", f"from {IN_SLICE}").replace("join facts", f"join {IN_SLICE}")
+    for name, whole in {
+        "language_split": "language_split", "theme_counts": "theme_counts", "confidence": "resolution_confidence",
+    }.items()
+}
+
 # Kept by increments, equal to the rebuild.
 ORACLE |= {
     "summary_after_increment": ORACLE["fct_campaign_summary"],

@@ -9,26 +9,35 @@ hashes only texts loaded since the last run and writes only rows that changed.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
+from pathlib import PurePosixPath
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import enrichment as enr
-from ..operators import history, incremental, maintained, quality, staging
+from ..operators import history, incremental, maintained, quality, slices, staging
 from ..schemas import AD_TABLES, ENRICHED_COLUMNS, KEY_NULL_TOKEN, KEY_SEPARATOR, SNAPSHOT_CHECKS, WATERMARK_FLOOR
 from ..session import clear_scratch, materialize, scratch_mark, scratch_path
 from ..sources import cache as cache_files
 from ..sources import files, landing
 from ..sources import ledger as ledger_files
-from ..sources.tables import append_table, create_layers, export_marts, replace_partitions, replace_table, save
+from ..sources.tables import (
+    append_clustered, append_table, create_layers, export_marts, finish_swap, replace_partitions, replace_table, save,
+    swap_table,
+)
 from . import checks, marts, views
 
 
 KEY_LOG, ENRICHED_LOG = "feedback_key_log", "feedback_enriched_log"
 #: Partial sums that marts and report views are made of.
 SPEND_LOG, THEME_LOG = "spend_state_log", "feedback_theme_log"
+FACT_LOG, SLICE_LOG = "fct_feedback_log", "feedback_slice_log"
+#: Logs of which `compact_log` keeps the live versions.
+COMPACTED = (("raw", KEY_LOG), ("raw", ENRICHED_LOG), ("marts", FACT_LOG))
 SUM_LOGS = {"voice": "voice_sum_log", "theme": "theme_sum_log", "confidence": "confidence_sum_log"}
 BUCKET_BYTES = 256 << 20
 ROUND_BATCHES, MAX_ROUNDS = 20, 64
@@ -70,6 +79,8 @@ class Run:
     def __init__(self, spark: SparkSession, settings: Settings):
         self.spark, self.s = spark, settings
         self.db = create_layers(spark, settings.prefix)
+        for layer, log in COMPACTED:
+            finish_swap(spark, self.name(layer, log))  # of a run that was stopped
         self.run_ts = F.lit(settings.run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
         self.new_records = (
             settings.cache_path if settings.keep_cache else scratch_path(spark, "new-records")
@@ -183,9 +194,22 @@ class Run:
             cache_files.fold(self.spark, self.s.cache_path)
 
     def compact_log(self, layer: str, log: str, column: str) -> None:
-        """Keep the live version of each key. Not for the history, whose versions count."""
+        """Keep the live version of each key in a log of `COMPACTED`. A failure leaves the
+        log before or the new one, whole; the next run ends the swap."""
         live = incremental.current_rows(self.table(layer, log), "feedback_id", column)
-        replace_table(materialize(live, "log-compacted"), self.name(layer, log), bucket=self.by_feedback)
+        swap_table(live, self.name(layer, log), self.by_feedback)
+
+    def compact_slices(self, most_files: int = 100) -> list[str]:
+        """Rewrite the months of the slice log that lie in more files than that, each by its
+        own rows: what was replaced goes. The log is made of others: dropped, it is laid out
+        anew by the next build, which is the way back should a rewrite be stopped midway."""
+        table = self.name("marts", SLICE_LOG)
+        in_month = Counter(PurePosixPath(f).parent.name.removeprefix("month=") for f in self.spark.table(table).inputFiles())
+        months = sorted(unquote(m) for m, n in in_month.items() if n > most_files)
+        if months:
+            rows = materialize(slices.netted(self.spark.table(table).filter(F.col("month").isin(months))), "slices-netted")
+            replace_partitions(rows, table, "month", slices.CLUSTER)
+        return months
 
     # -- Silver: lazy views over Bronze
 
@@ -233,7 +257,7 @@ class Run:
 
     def build_feedback(self, staged: dict[str, DataFrame]) -> None:
         """Facts, themes and sums take only enriched rows newer than themselves."""
-        log = "fct_feedback_log"
+        log = FACT_LOG
         enriched = staged["stg_feedback_enriched"]
         if self.exists("marts", log):
             enriched = incremental.newer_rows(enriched, self.table("marts", log), "_enriched_at")
@@ -242,6 +266,7 @@ class Run:
         self._current_view("marts", "fct_feedback", log, "_enriched_at")
         self._append_themes()
         self._append_sums()
+        self._append_slices()
         performance = maintained.campaign_performance(self.table("marts", "fct_campaign_summary"), self.sums("voice"))
         self.replace(performance, "fct_campaign_performance")
 
@@ -276,6 +301,18 @@ class Run:
             new = materialize(self._versions("marts", log, "as_of"), "sum-increment")
             append_table(getattr(maintained, f"{kind}_sums")(maintained.changes(new)), self.name("marts", log))
 
+    def _append_slices(self) -> None:
+        """Facts newer than the slice log, clustered by date and channel."""
+        facts, enriched = self.table("marts", FACT_LOG), self.table("raw", ENRICHED_LOG)
+        since, replaced = None, True
+        if self.exists("marts", SLICE_LOG):
+            since = F.lit(self._mark("marts", SLICE_LOG, "_enriched_at"))
+            enriched_since = enriched.filter(F.col("_enriched_at") > since)
+            replaced = not enriched_since.filter(F.col("_replaced").isNotNull()).isEmpty()
+            enriched = enriched if replaced else enriched_since
+        rows = materialize(slices.signed_rows(facts, enriched, since, replaced), "slice-increment")
+        append_clustered(rows, self.name("marts", SLICE_LOG), "month", slices.CLUSTER)
+
     def sums(self, kind: str) -> DataFrame:
         """The totals of one kind (voice, theme, confidence) over live enriched rows."""
         return maintained.total(self.table("marts", SUM_LOGS[kind]), getattr(maintained, f"{kind.upper()}_KEYS"))
@@ -415,28 +452,25 @@ def enrich_in_rounds(
 
 def sentiment_page(run: Run, high_spend: float = HIGH_SPEND, k: int = TOP_THEMES, **slicers) -> dict[str, DataFrame]:
     """The customer-voice report views over the built marts. `slicers` (date_from,
-    date_to, channels, campaigns) narrow every view of feedback rows; without any, the
-    views come from the kept sums and read no row of feedback."""
+    date_to, channels, campaigns) narrow every view of feedback rows, which then read that
+    part of the slice log; without any, the views come from the kept sums and read no row."""
     performance = marts.served(run.table("marts", "fct_campaign_performance"))
     page = {
         "spend_vs_sentiment": views.spend_vs_sentiment(performance, high_spend),
         "sentiment_mix": views.sentiment_mix(performance),
     }
     if not any(slicers.values()):
-        voice, themes = run.sums("voice"), run.sums("theme")
-        return page | {
-            "top_themes": maintained.top_themes(themes, k),
-            "theme_counts": maintained.theme_counts(themes),
-            "language_split": maintained.language_split(voice),
-            "resolution_confidence": maintained.resolution_confidence(voice, run.sums("confidence")),
-            "resolved_share": maintained.resolved_share(voice),
-        }
-    facts = views.slice_feedback(run.table("marts", "fct_feedback"), **slicers)
-    themes = run.table("marts", "fct_feedback_themes")
-    return page | {
-        "top_themes": views.top_themes(themes, facts, k),
-        "theme_counts": views.theme_counts(themes, facts),
-        "language_split": views.language_split(facts),
-        "resolution_confidence": views.resolution_confidence(facts),
-        "resolved_share": views.resolved_share(facts),
+        return page | _voice_views(run.sums("voice"), run.sums("theme"), run.sums("confidence"), k)
+    rows = views.slice_feedback(run.table("marts", SLICE_LOG), **slicers)
+    voice, themes = slices.sums(rows, "voice"), slices.sums(rows, "theme")
+    return page | _voice_views(voice, themes, slices.sums(rows, "confidence"), k)
+
+
+def _voice_views(voice: DataFrame, themes: DataFrame, confidences: DataFrame, k: int) -> dict[str, DataFrame]:
+    return {
+        "top_themes": maintained.top_themes(themes, k),
+        "theme_counts": maintained.theme_counts(themes),
+        "language_split": maintained.language_split(voice),
+        "resolution_confidence": maintained.resolution_confidence(voice, confidences),
+        "resolved_share": maintained.resolved_share(voice),
     }

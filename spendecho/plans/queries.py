@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import channel_of, content_hash, parse_date_any, parse_rating
 from ..operators import enrichment as enr
-from ..operators import history, incremental, maintained, quality, staging, uniqueness
+from ..operators import history, incremental, maintained, quality, slices, staging, uniqueness
 from ..schemas import AD_TABLES, CHANNELS, LIST_COLUMNS, SNAPSHOT_CHECKS
 from ..session import materialize, scratch_path
 from ..sources import cache as cache_files
@@ -614,6 +614,44 @@ def themes_after_increment(spark, sf):
     return maintained.theme_counts(*_kept_sums(spark, sf, "theme"))
 
 
+FEEDBACK_SLICE = dict(date_from=date(2024, 2, 1), date_to=date(2024, 9, 30), channels=["meta", "tiktok"])
+
+
+def _sliced_sums(spark: SparkSession, sf: str, *kinds: str) -> list[DataFrame]:
+    """Sums of a date and channel slice over signed rows of the same two runs, laid out by
+    month in ranges of date and channel."""
+    keys = sample.keys(spark, sf)
+    cached = sample.cache(spark, sf, keys)
+    first = materialize(enr.assemble(keys, cached, OLD_MODEL, ntz(RUNS[0])).filter("language <> 'fr'"), "enriched-log")
+    second = enr.assemble(keys, cached, MODEL, ntz(RUNS[1]), first, maintained.COUNTED)
+    newer = materialize(second.filter(F.col("_enriched_at") > ntz(RUNS[0])), "enriched-log")
+    feedback, facts, path = _staged_feedback(spark, sf), scratch_path(spark, "facts-log"), scratch_path(spark, "slices")
+    for rows, since in ((first, None), (newer, ntz(RUNS[0]))):
+        marts.fct_feedback(staging.stage_enriched(rows), feedback).write.mode("append").parquet(facts)
+        enriched = first.unionByName(newer, allowMissingColumns=True)
+        signed = slices.signed_rows(spark.read.parquet(facts), enriched, since)
+        signed.repartitionByRange("month", *slices.CLUSTER).sortWithinPartitions("month", *slices.CLUSTER).write.mode(
+            "append"
+        ).partitionBy("month").parquet(path)
+    sliced = views.slice_feedback(spark.read.parquet(path), **FEEDBACK_SLICE)
+    return [slices.sums(sliced, kind) for kind in kinds]
+
+
+@query
+def language_split_sliced(spark, sf):
+    return maintained.language_split(*_sliced_sums(spark, sf, "voice"))
+
+
+@query
+def theme_counts_sliced(spark, sf):
+    return maintained.theme_counts(*_sliced_sums(spark, sf, "theme"))
+
+
+@query
+def confidence_sliced(spark, sf):
+    return maintained.resolution_confidence(*_sliced_sums(spark, sf, "voice", "confidence"))
+
+
 @query
 def scd2_by_log(spark, sf):
     """The history of the same two runs, the second taken from the enriched log alone."""

@@ -13,6 +13,7 @@ from . import files
 from .observed import observed
 
 PUBLISHED = "_published"
+SWAPPING, SWAPPED = "__writing", "__whole"  # names of a table on its way to replace another
 LAYERS = ("raw", "staging", "marts", "snapshots")
 
 
@@ -59,10 +60,15 @@ def replace_table(
     return df.sparkSession.table(table)
 
 
-def replace_partitions(df: DataFrame, table: str, partition_by: str) -> None:
-    """Replace the partitions that `df` has rows of; the others stay."""
+def replace_partitions(df: DataFrame, table: str, partition_by: str, by: list[str] | None = None) -> None:
+    """Replace the partitions that `df` has rows of; the others stay. With `by`, their
+    files are laid out as `append_clustered` does."""
     spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
-    rows = df.select(*spark.table(table).columns).hint("rebalance", partition_by)
+    rows = df.select(*spark.table(table).columns)
+    if by:
+        rows = rows.repartitionByRange(partition_by, *by).sortWithinPartitions(partition_by, *by)
+    else:
+        rows = rows.hint("rebalance", partition_by)
     before = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")  # a table does not take it as an option of the write
     try:
@@ -75,6 +81,31 @@ def append_table(df: DataFrame, table: str, bucket: Bucket | None = None) -> Non
     save(df, table, "append", bucket=bucket)
 
 
+def append_clustered(df: DataFrame, table: str, partition_by: str, by: list[str]) -> None:
+    """Append rows in files that each hold a range of `by` within a partition, sorted, so
+    that statistics of files and row groups tell which of them a filter on `by` needs.
+    `partition_by` has no NULLs. Small ranges are joined by the adaptive planner."""
+    rows = df.repartitionByRange(partition_by, *by).sortWithinPartitions(partition_by, *by)
+    rows.write.mode("append").partitionBy(partition_by).format("parquet").saveAsTable(table)
+
+
+def swap_table(df: DataFrame, table: str, bucket: Bucket | None = None) -> None:
+    """Replace a table that `df` is read from. The new rows are whole in a table beside it
+    before the old one goes; `finish_swap` ends a swap that was stopped in between."""
+    spark, new = df.sparkSession, f"{table}{SWAPPED}"
+    finish_swap(spark, table)
+    save(df, f"{table}{SWAPPING}", "overwrite", bucket=bucket)
+    spark.sql(f"ALTER TABLE {table}{SWAPPING} RENAME TO {new}")
+    finish_swap(spark, table)
+
+
+def finish_swap(spark: SparkSession, table: str) -> None:
+    """A table of the second name is whole, whatever became of the old one."""
+    if spark.catalog.tableExists(f"{table}{SWAPPED}"):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"ALTER TABLE {table}{SWAPPED} RENAME TO {table}")
+
+
 def _published(spark: SparkSession, folder: str) -> tuple[int, dict]:
     """Number and content of the newest manifest; 0 if nothing is published."""
     found = [n for n in files.names(spark, f"{folder}/{PUBLISHED}") if n.isdigit()]
