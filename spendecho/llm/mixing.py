@@ -11,9 +11,11 @@ Shares are rounded to whole blocks. A source whose target is under about half a
 block gets no seat and none of its words are taken; its seats go to others. So the
 words of very many sources of a few words each are left out.
 
-No step needs all rows together: shards are bounded in words, sources are ranked
-by a range sort, and only quotients that can decide a seat are ever listed (about
-four per source), so the number of blocks costs nothing.
+No step needs all rows together: sources are ranked by a range sort, and only quotients
+that can decide a seat are ever listed (about four per source), so the number of blocks
+costs nothing. Rows of one id are in one shard, and a source has at most `MAX_SHARDS`;
+a shard that is large for either reason is laid end to end by a range sort over several
+tasks, which gives the same ends.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from .common import running_totals, words, written
 BLOCK_WORDS = 8
 SHARD_WORDS = 1 << 18
 MAX_SHARDS = 4096
+LARGE_ROWS, LARGE_WORDS = 1 << 16, 1 << 21  # of a shard that one task does not lay alone
 MAX_REPEATS = 3
 SEED = "mix-1"
 HEX = "0123456789abcdef"
@@ -117,6 +120,17 @@ def _shard_quotas(shards: DataFrame) -> DataFrame:
     )
 
 
+def _laid_apart(dealt: DataFrame, order: list) -> DataFrame:
+    """`dealt` with `_end`, the words of its shard up to it: from totals over a range sort
+    of all shards, less what lies before the shard's first row."""
+    totals = running_totals(dealt, [F.col("source").asc_nulls_last(), "_shard", *order], {"_before": F.col("size")}, "mix-large")
+    starts = totals.groupBy("source", "_shard").agg(F.min("_before").alias("_start"))
+    a, b = totals.alias("a"), starts.alias("b")
+    same = F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a._shard") == F.col("b._shard"))
+    end = F.col("_before") - F.col("_start") + F.col("size")
+    return a.join(b, same).select("a.*", end.alias("_end")).drop("_before")
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """`docs` with `size`: words of the text; 0 for NULL or blank text."""
     return docs.withColumn("size", F.size(words(F.col("text"))).cast("long"))
@@ -132,14 +146,16 @@ def mix(
 
     No document is taken more than `max_repeats` times. A NULL source is a source.
     Documents of size 0, NULL ids and repeated rows are rows like any other; rows
-    equal in id and size may swap their shares. An empty table gives an empty one.
+    equal in id and size may swap their shares. An empty table gives an empty one. It
+    is read several times and has to come from files or other rows of a fixed order.
     Columns whose names begin with an underscore are kept for this function.
     """
     digest = F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string")))
     digit = [F.instr(F.lit(HEX), F.substring("_order", i, 1)) - 1 for i in (1, 2, 3)]
     bucket = (digit[0] * 256 + digit[1] * 16 + digit[2]).cast("long")
     docs = docs.withColumn("_order", digest).withColumn("_bucket", bucket)
-    buckets = written(docs.groupBy("source", "_bucket").agg(F.sum("size").alias("words")), "mix-buckets")
+    counted = [F.sum("size").alias("words"), F.count("*").alias("rows")]
+    buckets = written(docs.groupBy("source", "_bucket").agg(*counted), "mix-buckets")
     totals = buckets.groupBy("source").agg(F.sum("words").alias("source_size"))
     aims = written(targets(cycled_weights(totals, cycle), max_repeats), "mix-targets")
     total = aims.agg(F.sum("source_size")).first()[0] or 0
@@ -148,26 +164,40 @@ def mix(
     quotas = written(quotas.select("source", "source_size", "target", "quota", n.alias("_shards")), "mix-quotas")
 
     a, b = buckets.alias("a"), quotas.alias("b")
-    per_shard = (
+    per_shard = written(
         a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")))
         .groupBy("a.source", (F.col("_bucket") % F.col("_shards")).alias("shard"), "quota")
-        .agg(F.sum("words").alias("shard_words"))
+        .agg(F.sum("words").alias("shard_words"), F.sum("rows").alias("rows")),
+        "mix-sizes-of-shards",
+    )
+    large = (F.col("rows") > LARGE_ROWS) | (F.col("shard_words") > LARGE_WORDS)
+    blocks = _shard_quotas(per_shard.drop("rows")).select("source", "shard", "blocks").alias("d")
+    c = per_shard.alias("c")
+    plan = written(
+        c.join(blocks, F.col("c.source").eqNullSafe(F.col("d.source")) & (F.col("c.shard") == F.col("d.shard")), "left")
+        .select("c.source", "c.shard", "c.shard_words", F.coalesce("d.blocks", F.lit(0)).alias("blocks"), large.alias("large")),
+        "mix-shards",
     )
-    plan = written(_shard_quotas(per_shard), "mix-shards")
 
-    a, b, c = docs.alias("a"), quotas.alias("b"), plan.alias("c")
-    shard = F.col("a._bucket") % F.col("b._shards")
-    stream = Window.partitionBy("source", "_shard").orderBy("_order", F.col("doc_id").asc_nulls_last(), "size")
-    laid = (
-        a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")))
-        .join(c, F.col("a.source").eqNullSafe(F.col("c.source")) & (shard == F.col("c.shard")), "left")
-        .select(
-            "a.*", "b.source_size", "b.target", shard.alias("_shard"),
-            F.coalesce("c.shard_words", F.lit(0)).alias("_words"),
-            F.least(F.coalesce("c.blocks", F.lit(0)) * block_words, F.coalesce("c.shard_words", F.lit(0)) * max_repeats).alias("_take"),
+    def dealt(docs: DataFrame, shards: DataFrame) -> DataFrame:
+        a, b, c = docs.alias("a"), quotas.alias("b"), shards.alias("c")
+        shard = F.col("a._bucket") % F.col("b._shards")
+        return (
+            a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")))
+            .join(c, F.col("a.source").eqNullSafe(F.col("c.source")) & (shard == F.col("c.shard")))
+            .select(
+                "a.*", "b.source_size", "b.target", shard.alias("_shard"), F.col("c.shard_words").alias("_words"),
+                F.least(F.col("c.blocks") * block_words, F.col("c.shard_words") * max_repeats).alias("_take"),
+            )
         )
-        .withColumn("_end", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)))
-    )
+
+    order = ["_order", F.col("doc_id").asc_nulls_last(), "size"]
+    stream = Window.partitionBy("source", "_shard").orderBy(*order)
+    end = F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0))
+    laid = dealt(docs, plan.filter(~F.col("large"))).withColumn("_end", end)
+    if not plan.filter("large").isEmpty():
+        numbered = docs.withColumn("_tie", F.monotonically_increasing_id())  # cuts rows of one id and size
+        laid = laid.unionByName(_laid_apart(dealt(numbered, plan.filter("large")), [*order, "_tie"]).drop("_tie"))
     whole = F.expr("CASE WHEN _words > 0 THEN _take DIV _words ELSE 0 END")
     rest = F.expr("CASE WHEN _words > 0 THEN _take % _words ELSE 0 END")
     extra = F.greatest(F.least(F.col("_end"), rest) - (F.col("_end") - F.col("size")), F.lit(0))

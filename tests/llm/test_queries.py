@@ -427,6 +427,62 @@ def test_mixed_rows_meet_the_targets(spark, sf_dir):
     assert all(sizes[r.doc_id] == r.taken for r in rows) and max(r.copy for r in rows) > 0
 
 
+def ranking_rows(docs, labels):
+    """What the ranking query returns, with features counted one by one, probabilities of
+    single pairs, and the threshold found by walking down the sorted scores."""
+    def measured(text):
+        raw = (text or "").encode()
+        if not raw:
+            return [0.0] * ranking.N_FEATURES
+        words, lines = raw.split(), [x for x in raw.split(b"\n") if x.strip()]
+        n, m, counts = max(1, len(words)), max(1, len(lines)), Counter(raw)
+        triples = {tuple(words[i : i + 3]) for i in range(len(words) - 2)}
+        return [math.sqrt(counts[b] / len(raw)) for b in range(256)] + [
+            math.log(1 + len(words)), len(raw) / n / 10, len(set(words)) / n, 1 - len(set(lines)) / m, n / m / 50,
+            sum(w.isupper() for w in words) / n, sum(w.isalpha() for w in words) / n, 1 - len(triples) / max(1, n - 2)]
+
+    usable = [(i, q) for i, q in labels if not held_out(i, 3, 1) and q in (0, 1)]
+    texts = {}
+    for i, t in docs:
+        texts.setdefault(i, t)  # rows of one id are equal here
+    train = sorted((i, q) for i, q in usable if i in texts and i is not None)
+    x = np.array([measured(texts[i]) for i, _ in train])
+    mean, spread = x.mean(axis=0), np.sqrt(((x - x.mean(axis=0)) ** 2).mean(axis=0)) + 1e-3
+    z, good = (x - mean) / spread, [q == 1 for _, q in train]
+    better, worse = [k for k, g in enumerate(good) if g], [k for k, g in enumerate(good) if not g]
+    draw = np.random.default_rng(1)
+    pairs = Counter(zip(draw.choice(better, ranking.PAIRS).tolist(), draw.choice(worse, ranking.PAIRS).tolist()))
+    w = np.zeros(ranking.N_FEATURES)
+    for _ in range(ranking.STEPS):
+        slope, curve = -ranking.PENALTY * w, ranking.PENALTY * np.eye(len(w))
+        for (b, c), n in pairs.items():
+            d = z[b] - z[c]
+            p = 1 / (1 + math.exp(max(-30, min(30, float(d @ w)))))
+            slope, curve = slope + n * p * d, curve + n * p * (1 - p) * np.outer(d, d)
+        w = w + np.linalg.solve(curve, slope)
+    points, rate = z @ w, sum(q for _, q in usable) / len(usable)
+    share = {True: rate / len(better), False: (1 - rate) / len(worse)}
+    below, threshold = 0.0, max(points)
+    for point, g in sorted(zip(points, good)):
+        below += share[g]
+        if below >= 1 - rate - 1e-12:
+            threshold = point
+            break
+    for i, t in docs:
+        value = ((np.array(measured(t)) - mean) / spread @ w - threshold) / ((points.std() + 1e-9) / 4)
+        yield i, held_out(i, 3, 1), 1 / (1 + math.exp(-max(-500, min(500, value))))
+
+
+def test_ranking_by_hand(spark, edges, result):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{edges}/documents.parquet").collect()]
+    labels = [(r.doc_id, r.quality) for r in spark.read.parquet(f"{edges}/labels.parquet").collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[2])
+    mine = sorted(((r.doc_id, r.held_out, r.score) for r in result("op10_ranking", edges)), key=key)
+    theirs = sorted(ranking_rows(docs, labels), key=key)
+    assert [r[:2] for r in mine] == [r[:2] for r in theirs]
+    assert np.allclose([r[2] for r in mine], [r[2] for r in theirs], atol=1e-4)
+
+
 def test_ranking_takes_a_repeated_document_once(spark, monkeypatch):
     docs = [(1, "hot text")] * 200 + [(1, "another text")] * 100 + [(i, f"text {i}") for i in range(2, 12)]
     labels = [(i, i % 2) for i in range(1, 12)]
@@ -446,6 +502,38 @@ def test_sources_below_half_a_block(spark):
     assert abs(sum(r.taken for r in got) - sum(r.size for r in got)) <= mixing.BLOCK_WORDS
 
 
+def test_large_shards_are_laid_apart(spark, edges, monkeypatch):
+    """Half of all rows are copies with one id, a quarter has none: same shares as by one
+    task a shard, by tasks that hold a part of the hot id each. The SQL holds as well."""
+    rows = [(7 if i % 2 else (None if i % 4 else i), "a", 5 if i % 2 else i % 9) for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long").repartition(4)
+    docs.write.parquet(path := f"{edges}/hot-ids.parquet")
+    docs = spark.read.parquet(path)
+    plain = sorted(map(str, mixing.mix(docs).collect()))
+    seen = []
+
+    def totals(rows, order, sums, label):
+        out = running_totals(rows, order, sums, label)
+        if label == "mix-large":
+            seen.append(rows.orderBy(*order).groupBy(F.spark_partition_id()).agg(F.count_if(F.col("doc_id") == 7).alias("n")).collect())
+        return out
+
+    running_totals = mixing.running_totals
+    monkeypatch.setattr(mixing, "running_totals", totals)
+    for rows_, words in ((100, 1 << 21), (1 << 16, 100), (0, 0)):
+        monkeypatch.setattr(mixing, "LARGE_ROWS", rows_)
+        monkeypatch.setattr(mixing, "LARGE_WORDS", words)
+        adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # would join parts as small as these
+        try:
+            assert sorted(map(str, mixing.mix(docs).collect())) == plain
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(seen) == 3 and all(max(r.n for r in parts) < 2500 and sum(r.n for r in parts) == 4000 for parts in seen)
+    mine = QUERIES["op1_mix"](spark, edges).toArrow()
+    assert compare(mine, engine(edges).sql(ORACLE_SQL["op1_mix"]).to_arrow_table()) is None
+
+
 def test_codes_save_distances_and_stay_exact(spark):
     """Bounds with net displacements save most distances on clustered vectors, and codes
     and books are those of plain rounds."""
